@@ -13,7 +13,8 @@ Fixed values of the orders log (batch, op, which keys, LSN offset):
   batch 2  u  k % 5 = 0, late      lsn = 1000000000 + k   status 'stale', amount 0.5
 Each delete is followed by a NULL-valued record (tombstone); batch 1 also
 carries broken records: k % 13 = 0 malformed JSON, k % 17 = 0 empty value,
-k % 19 = 0 truncate event without images.
+k % 19 = 0 truncate event without images, k % 23 = 0 update without images,
+k % 29 = 0 insert whose image has a NULL order_id (lsn 5000000000 + k).
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyfold.functions.time import epoch_millis
+
 NO_NULL_SKIP = {"ignoreNullFields": "false"}
 SOURCE_TS_BASE = 1_700_000_000_000
 
@@ -126,7 +129,7 @@ def orders_change_batches(spark: SparkSession, sf_dir: str, *, with_junk: bool =
     del_lsn = F.lit(3_000_000_000) + k
     b1_d = kafka_records(dele, key, envelope_value("d", del_lsn, table=topic, before=_order_image(dele)),
                          topic, del_lsn)
-    b1_dt = _tombstone(dele, key, topic, del_lsn + F.lit(1) * 0)
+    b1_dt = _tombstone(dele, key, topic, del_lsn)
     unseen = o.filter(k % 11 == 0)
     ghost = -k - 1
     b1_g = kafka_records(
@@ -142,6 +145,12 @@ def orders_change_batches(spark: SparkSession, sf_dir: str, *, with_junk: bool =
             kafka_records(o.filter(k % 17 == 0), key, F.lit(""), topic, F.lit(-1)),
             kafka_records(o.filter(k % 19 == 0), key,
                           envelope_value("t", F.lit(4_000_000_000) + k, table=topic), topic, F.lit(-1)),
+            kafka_records(o.filter(k % 23 == 0), key,
+                          envelope_value("u", F.lit(4_000_000_000) + k, table=topic), topic, F.lit(-1)),
+            kafka_records(o.filter(k % 29 == 0), key,
+                          envelope_value("c", F.lit(5_000_000_000) + k, table=topic,
+                                         after=_order_image(o, order_id=F.lit(None).cast("long"))),
+                          topic, F.lit(5_000_000_000) + k),
         ]
     b1 = parts[0]
     for p in parts[1:]:
@@ -165,18 +174,19 @@ def events_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User-activity log: every event is an upsert of its user, LSN = event_id;
     `props` becomes a nested object in the image."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ts_ms = epoch_millis(e, "ts")
     image = _image([
         ("user_id", F.col("user_id")),
         ("event_id", F.col("event_id")),
         ("event_type", F.col("event_type")),
         ("value", F.col("value")),
-        ("ts_ms", F.unix_millis(F.col("ts"))),
+        ("ts_ms", ts_ms),
         ("props", F.parse_json(F.col("props"))),
     ])
     lsn = F.col("event_id")
     return kafka_records(
         e, F.struct(F.col("user_id")),
-        envelope_value("c", lsn, table="user_activity", after=image, ts_ms=F.unix_millis(F.col("ts"))),
+        envelope_value("c", lsn, table="user_activity", after=image, ts_ms=ts_ms - 5),
         "user_activity", lsn,
     )
 
