@@ -248,6 +248,17 @@ class ChangeTable:
             raise FileNotFoundError(f"no table at {self.path}")
         return visible(st, self.spec)
 
+    def active_files(self, as_of: int | None = None) -> DataFrame:
+        """(path, length) of the files a read of version `as_of` opens."""
+        snap, logs, _ = self._plan(as_of)
+        dirs = [f"{self.log_path}/_commit={c}" for c in logs]
+        if snap is not None:
+            dirs.append(f"{self.snapshot_path}/_commit={snap}")
+        out = layout.list_files(self.spark, self.path).limit(0)
+        for d in dirs:
+            out = out.unionByName(layout.list_files(self.spark, d))
+        return out
+
     def history(self, limit: int = 20) -> DataFrame:
         return self.commits().orderBy(F.desc("_commit")).limit(limit)
 
