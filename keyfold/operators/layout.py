@@ -62,8 +62,11 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 def file_stats(spark: SparkSession, path: str, small_file_threshold_mb: int = SMALL_FILE_MB) -> DataFrame:
     """files, bytes, avg_file_bytes, small_files (C1). Missing path -> zeros."""
+    return stats_of(list_files(spark, path), small_file_threshold_mb)
+
+
+def stats_of(files: DataFrame, small_file_threshold_mb: int = SMALL_FILE_MB) -> DataFrame:
     threshold = small_file_threshold_mb * 1024 * 1024
-    files = list_files(spark, path)
     return files.agg(
         F.count(F.lit(1)).alias("files"),
         F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("bytes"),

@@ -88,7 +88,9 @@ class ChangeTable:
     def _meta(self) -> list[CommitInfo]:
         """The commit list (one small row per commit) on the driver."""
         out = []
-        for r in self.commits().orderBy("_commit").collect():
+        # Consolidation may briefly leave a commit row twice (same content).
+        rows = self.commits().dropDuplicates(["_commit"]).orderBy("_commit").collect()
+        for r in rows:
             out.append(
                 CommitInfo(
                     commit=r["_commit"],
@@ -248,6 +250,30 @@ class ChangeTable:
             raise FileNotFoundError(f"no table at {self.path}")
         return visible(st, self.spec)
 
+    def data_file_stats(self, small_file_threshold_mb: int = layout.SMALL_FILE_MB) -> DataFrame:
+        """Data files on disk (log + snapshots, live or superseded), not metadata."""
+        files = layout.list_files(self.spark, self.log_path).unionByName(
+            layout.list_files(self.spark, self.snapshot_path))
+        return layout.stats_of(files, small_file_threshold_mb)
+
+    def consolidate_commits(self) -> int:
+        """Rewrite the commit rows into one file, then drop the old small files.
+
+        The new file is written before any old one is deleted and readers
+        deduplicate by commit number, so a crash at any point loses nothing.
+        """
+        if not self.exists():
+            return 0
+        fs, jpath = layout._fs(self.spark, self.commits_path)
+        old = [st.getPath() for st in fs.listStatus(jpath) if st.getPath().getName().endswith(".parquet")]
+        if len(old) <= 1:
+            return 0
+        rows = self.commits().dropDuplicates(["_commit"]).collect()
+        self.spark.createDataFrame(rows, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
+        for p in old:
+            fs.delete(p, False)
+        return len(old)
+
     def active_files(self, as_of: int | None = None) -> DataFrame:
         """(path, length) of the files a read of version `as_of` opens."""
         snap, logs, _ = self._plan(as_of)

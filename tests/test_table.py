@@ -16,8 +16,8 @@ def write(table, make_batch, records, **kw):
     return table.append_changes(flatten_changes(parse_envelope(make_batch(records)), table.spec), **kw)
 
 
-def fragmented(spark, make_batch, batches=8, per_batch=5):
-    t = ChangeTable(spark, scratch_dir(spark, "t"), ORDERS)
+def fragmented(spark, make_batch, batches=8, per_batch=5, path=None):
+    t = ChangeTable(spark, path or scratch_dir(spark, "t"), ORDERS)
     lsn = 0
     for b in range(batches):
         recs = []
@@ -122,3 +122,18 @@ def test_missing_table_raises(spark):
         t.read()
     with pytest.raises(FileNotFoundError):
         t.optimize()
+
+
+def test_maintain_all_skips_missing_tables_and_consolidates_commits(spark, make_batch):
+    from keyfold.plans.maintenance import maintain_all
+    from keyfold.spec import TABLE_SPECS
+    root = scratch_dir(spark, "lake")
+    fragmented(spark, make_batch, batches=4, path=f"{root}/orders")
+    res = {r["table_name"]: r for r in maintain_all(spark, root, list(TABLE_SPECS), retain_hours=0,
+                                                     allow_short_retention=True).collect()}
+    assert set(res) == {"orders"}
+    assert res["orders"]["files_after"] < res["orders"]["files_before"]
+    moved = ChangeTable(spark, f"{root}/orders", ORDERS)
+    assert moved.read().count() == 20
+    assert layout.file_stats(spark, moved.commits_path).first()["files"] == 1
+    assert moved.commits().dropDuplicates(["_commit"]).count() == 6
