@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -147,19 +148,24 @@ class ChangeTable:
         table_schema = evolve(prior, batch_schema)
         changes = _cast_to(changes, table_schema)
 
-        counted = Observation(f"commit_{n}")
+        tag = uuid.uuid4().hex[:8]
+        counted = Observation(f"events_{n}_{tag}")
+        written = Observation(f"deduped_{n}_{tag}")
         collapsed = deduplicate_with_seen(changes.observe(counted, F.count(F.lit(1)).alias("events")), self.spec)
         collapsed = collapsed.withColumn(COLS, F.array(*[F.lit(c) for c in payload]).cast("array<string>"))
         out = self.log_path
+        # One job: collapse, write `_commit=N`, and count input and output rows
+        # on the way (observed metrics, no second pass).
         (
             collapsed.withColumn("_commit", F.lit(n).cast("long"))
+            .observe(written, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("_commit")
             .parquet(out)
         )
         seen_events = counted.get.get("events", 0)
-        deduped = self.spark.read.parquet(f"{out}/_commit={n}").count()
+        deduped = written.get.get("rows", 0)
         self._write_commit(
             {
                 "_commit": n,
