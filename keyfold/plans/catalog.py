@@ -27,7 +27,7 @@ from keyfold.plans.pipeline import flattened_batches, fold_in_order, merge_in_or
 from keyfold.session import scratch_dir
 from keyfold.sources import changelogs as logs
 from keyfold.sources.envelope import dead_letters, parse_envelope
-from keyfold.sources.files import write_records
+from keyfold.sources.files import stage_records, write_records
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
 from keyfold.streaming.sink import StreamConfig, start_table_stream
@@ -42,29 +42,44 @@ USERS = TableSpec("user_activity", ("user_id",))
 ORDER_COLUMNS = ["order_id", "customer_id", "status", "total_amount", "priority", "_op", "_lsn", "_deleted"]
 
 
+def _orders_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The three orders batches, produced to topic folders and read back."""
+    return [stage_records(spark, b, f"orders-{i}") for i, b in enumerate(logs.orders_change_batches(spark, sf_dir))]
+
+
 def _orders_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders after the three batches, merged in log order (M1)."""
-    return merge_in_order(logs.orders_change_batches(spark, sf_dir), ORDERS)
+    return merge_in_order(_orders_batches(spark, sf_dir), ORDERS)
+
+
+def _items_log(spark, sf_dir):
+    return stage_records(spark, logs.order_items_changes(spark, sf_dir), "order-items")
+
+
+def _inventory_log(spark, sf_dir):
+    return stage_records(spark, logs.inventory_changes(spark, sf_dir), "inventory")
 
 
 def _items_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve_log([logs.order_items_changes(spark, sf_dir)], ITEMS)
+    return resolve_log([_items_log(spark, sf_dir)], ITEMS)
 
 
 def _inventory_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve_log([logs.inventory_changes(spark, sf_dir)], INVENTORY)
+    return resolve_log([_inventory_log(spark, sf_dir)], INVENTORY)
 
 
 def _customers_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve_log(logs.customers_change_batches(spark, sf_dir), CUSTOMERS)
+    batches = [stage_records(spark, b, f"customers-{i}")
+               for i, b in enumerate(logs.customers_change_batches(spark, sf_dir))]
+    return resolve_log(batches, CUSTOMERS)
 
 
 def _orders_log_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bs = logs.orders_change_batches(spark, sf_dir)
-    out = bs[0]
-    for b in bs[1:]:
+    records = logs.orders_change_batches(spark, sf_dir)
+    out = records[0]
+    for b in records[1:]:
         out = out.unionByName(b)
-    return out
+    return stage_records(spark, out, "orders-all")
 
 
 def _orders_cols(df: DataFrame) -> DataFrame:
@@ -99,7 +114,7 @@ def q_dead_letter_reasons(spark, sf_dir):
 
 def q_schema_inferred(spark, sf_dir):
     rows = []
-    for i, b in enumerate(logs.orders_change_batches(spark, sf_dir)):
+    for i, b in enumerate(_orders_batches(spark, sf_dir)):
         schema = infer_payload_schema(parse_envelope(b))
         for f in schema.fields:
             rows.append((i, f.name, f.dataType.simpleString()))
@@ -110,7 +125,8 @@ def q_schema_inferred(spark, sf_dir):
 
 
 def _user_changes(spark, sf_dir):
-    return flatten_changes(parse_envelope(logs.events_changes(spark, sf_dir)), USERS)
+    records = stage_records(spark, logs.events_changes(spark, sf_dir), "user-activity")
+    return flatten_changes(parse_envelope(records), USERS)
 
 
 def q_dedupe_latest_per_key(spark, sf_dir):
@@ -120,7 +136,7 @@ def q_dedupe_latest_per_key(spark, sf_dir):
 
 
 def _inventory_changes(spark, sf_dir):
-    return flatten_changes(parse_envelope(logs.inventory_changes(spark, sf_dir)), INVENTORY)
+    return flatten_changes(parse_envelope(_inventory_log(spark, sf_dir)), INVENTORY)
 
 
 def q_dedupe_composite_key(spark, sf_dir):
@@ -140,12 +156,12 @@ def q_merge_orders_state(spark, sf_dir):
 
 
 def q_merge_replay_idempotent(spark, sf_dir):
-    bs = logs.orders_change_batches(spark, sf_dir)
+    bs = _orders_batches(spark, sf_dir)
     return _orders_cols(merge_in_order(bs, ORDERS, [0, 1, 2, 1, 2, 0]))
 
 
 def q_merge_out_of_order(spark, sf_dir):
-    bs = logs.orders_change_batches(spark, sf_dir)
+    bs = _orders_batches(spark, sf_dir)
     return _orders_cols(merge_in_order(bs, ORDERS, [0, 2, 1]))
 
 
@@ -155,7 +171,7 @@ def q_resolve_any_order(spark, sf_dir):
 
 
 def q_fold_any_order(spark, sf_dir):
-    bs = logs.orders_change_batches(spark, sf_dir)
+    bs = _orders_batches(spark, sf_dir)
     return _orders_cols(fold_in_order(bs, ORDERS, [2, 1, 0]))
 
 
@@ -171,13 +187,13 @@ def q_hard_delete_state(spark, sf_dir):
     """Hard deletes through the order-independent fold: the deleted row's LSN
     survives as a hidden tombstone, so the late batch cannot resurrect it."""
     spec = ORDERS.with_(hard_delete=True)
-    return _orders_cols(fold_in_order(logs.orders_change_batches(spark, sf_dir), spec))
+    return _orders_cols(fold_in_order(_orders_batches(spark, sf_dir), spec))
 
 
 def q_hard_delete_in_order(spark, sf_dir):
     """The guarded merge with hard deletes (M4) over batches 0 and 1."""
     spec = ORDERS.with_(hard_delete=True)
-    return _orders_cols(merge_in_order(logs.orders_change_batches(spark, sf_dir)[:2], spec))
+    return _orders_cols(merge_in_order(_orders_batches(spark, sf_dir)[:2], spec))
 
 
 def q_unseen_delete_ignored(spark, sf_dir):
@@ -198,7 +214,7 @@ def q_customers_tier_coverage(spark, sf_dir):
 
 
 def q_row_history(spark, sf_dir):
-    flat = flattened_batches(logs.orders_change_batches(spark, sf_dir), ORDERS)
+    flat = flattened_batches(_orders_batches(spark, sf_dir), ORDERS)
     changes = stack_batches(flat).select("order_id", "_op", "_lsn")
     h = row_history(changes, ORDERS.primary_key)
     return h.select("order_id", "_op", "valid_from_lsn", "valid_to_lsn", "is_current")
@@ -209,7 +225,7 @@ def q_row_history(spark, sf_dir):
 
 def _write_orders_table(spark, sf_dir, label: str) -> ChangeTable:
     table = ChangeTable(spark, scratch_dir(spark, label), ORDERS)
-    for b in logs.orders_change_batches(spark, sf_dir):
+    for b in _orders_batches(spark, sf_dir):
         parsed = parse_envelope(b).persist()
         try:
             table.append_changes(flatten_changes(parsed, ORDERS))
@@ -428,7 +444,7 @@ def q_table_checksum(spark, sf_dir):
 
 def q_diff_to_changes_roundtrip(spark, sf_dir):
     """Capture old -> new as change records, apply them, get new back (K13 + M1)."""
-    bs = logs.orders_change_batches(spark, sf_dir)
+    bs = _orders_batches(spark, sf_dir)
     old_state = merge_in_order(bs[:1], ORDERS)
     old = old_state.select("order_id", "customer_id", "status", "total_amount")
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
@@ -441,8 +457,8 @@ def q_diff_to_changes_roundtrip(spark, sf_dir):
         (k + 10_000_000).alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.lit("pending").alias("status"), F.col("o_totalprice").alias("total_amount"))
     new = kept.unionByName(added)
-    records = logs.diff_to_changes(old, new, ["order_id"], lsn=F.lit(4_000_000_000) + F.abs(F.col("order_id")),
-                                   table="orders")
+    records = stage_records(spark, logs.diff_to_changes(
+        old, new, ["order_id"], lsn=F.lit(4_000_000_000) + F.abs(F.col("order_id")), table="orders"), "diff")
     changes = flatten_changes(parse_envelope(records), ORDERS)
     state = apply_changes(old_state, deduplicate_batch(changes, ORDERS), ORDERS)
     return live(state).select("order_id", "customer_id", "status", "total_amount")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -46,3 +46,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def apply_recommended(spark: SparkSession) -> None:
     for key, value in RECOMMENDED_CONF.items():
         spark.conf.set(key, value)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give row-heavy work at least the cluster's parallelism.
+
+    A scan of a file with a single row group is a single task, and everything
+    up to the first shuffle (JSON building and parsing here) would run there.
+    When the input already has enough splits (the normal case at scale) this
+    is a no-op; otherwise one round-robin exchange spreads the rows. Spark
+    sorts before a round-robin repartition, so a retried task gets the same rows.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.functions.time import epoch_millis
+from keyfold.session import spread
 
 NO_NULL_SKIP = {"ignoreNullFields": "false"}
 SOURCE_TS_BASE = 1_700_000_000_000
@@ -103,9 +104,9 @@ def _order_image(o: DataFrame, *, status: Column | None = None, amount: Column |
 
 def orders_change_batches(spark: SparkSession, sf_dir: str, *, with_junk: bool = True) -> list[DataFrame]:
     """The three Kafka-shaped batches of the orders log (see module docstring)."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    o = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
-    )
+    ))
     k = F.col("o_orderkey")
     topic = "orders"
     key = F.struct(k.alias("order_id"))
@@ -173,7 +174,7 @@ def orders_change_batches(spark: SparkSession, sf_dir: str, *, with_junk: bool =
 def events_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User-activity log: every event is an upsert of its user, LSN = event_id;
     `props` becomes a nested object in the image."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    e = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     ts_ms = epoch_millis(e, "ts")
     image = _image([
         ("user_id", F.col("user_id")),
@@ -198,7 +199,8 @@ def inventory_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     to one key never share an LSN. Lines with l_linenumber = 1 arrive as snapshot
     reads, the rest as updates.
     """
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
     lsn = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     image = _image([
         ("product_id", F.col("l_partkey")),
@@ -222,7 +224,8 @@ def order_item_id(prefix: str = "l_") -> Column:
 def order_items_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines: inserts, plus a cascaded delete for every line of an order
     deleted in the orders log (o_orderkey % 7 = 0)."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"))
     lsn = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     image = _image([
         ("order_item_id", order_item_id()),
@@ -243,7 +246,7 @@ def order_items_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_change_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Customers: snapshot of all, then an update adding `loyalty_tier` on
     c_custkey % 4 = 0 (the column added mid-stream)."""
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    c = spread(spark.read.parquet(f"{sf_dir}/customer.parquet"))
     k = F.col("c_custkey")
     base = [
         ("customer_id", k),

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from keyfold.session import scratch_dir
 from keyfold.sources.envelope import KAFKA_SHAPE
 
 
@@ -16,6 +17,18 @@ def write_records(records: DataFrame, topic_dir: str) -> None:
     records.select(*[f.name for f in KAFKA_SHAPE.fields]).write.mode("append").parquet(topic_dir)
 
 
-def read_records(spark, topic_dir: str) -> DataFrame:
+def read_records(spark: SparkSession, topic_dir: str) -> DataFrame:
     """The same records as a static batch."""
     return spark.read.schema(KAFKA_SHAPE).parquet(topic_dir)
+
+
+def stage_records(spark: SparkSession, records: DataFrame, label: str) -> DataFrame:
+    """Produce derived records into a fresh topic folder in the shared
+    directory and read them back, as a consumer would see them.
+
+    Parsing then starts from stored records (one JSON build, file splits for
+    parallelism) rather than re-deriving the JSON inside every later plan.
+    """
+    path = scratch_dir(spark, f"topic-{label}")
+    write_records(records, path)
+    return read_records(spark, path)
