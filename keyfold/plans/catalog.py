@@ -31,7 +31,7 @@ from keyfold.sources.files import stage_records, write_records
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
 from keyfold.streaming.sink import StreamConfig, start_table_stream
-from keyfold.table import ChangeTable
+from keyfold.table import ChangeTable, register_views
 
 ORDERS = get_spec("orders")
 ITEMS = get_spec("order_items")
@@ -223,8 +223,8 @@ def q_row_history(spark, sf_dir):
 # ---------------------------------------------------------- table (log + snapshots)
 
 
-def _write_orders_table(spark, sf_dir, label: str) -> ChangeTable:
-    table = ChangeTable(spark, scratch_dir(spark, label), ORDERS)
+def _write_orders_table(spark, sf_dir, label: str, path: str | None = None) -> ChangeTable:
+    table = ChangeTable(spark, path or scratch_dir(spark, label), ORDERS)
     for b in _orders_batches(spark, sf_dir):
         parsed = parse_envelope(b).persist()
         try:
@@ -251,6 +251,25 @@ def q_table_history(spark, sf_dir):
                               "events", "deduped")
 
 
+def q_schema_registry(spark, sf_dir):
+    return _write_orders_table(spark, sf_dir, "registry").schema_registry()
+
+
+def q_ingest_summary(spark, sf_dir):
+    return _write_orders_table(spark, sf_dir, "summary").ingest_summary()
+
+
+def q_sql_views_order_book(spark, sf_dir):
+    """Tables registered as SQL views (`orders`, `orders_live`) and queried in SQL."""
+    lake = scratch_dir(spark, "views")
+    _write_orders_table(spark, sf_dir, "views", path=f"{lake}/orders")
+    register_views(spark, lake, [ORDERS, ITEMS])  # order_items is absent: skipped
+    return spark.sql(
+        "select status, count(*) as orders, cast(sum(cast(total_amount as decimal(18,2))) as decimal(18,2)) "
+        "as revenue from orders_live group by status"
+    )
+
+
 def q_compaction_preserves_content(spark, sf_dir):
     t = _write_orders_table(spark, sf_dir, "compact")
     t.optimize(zorder=False)
@@ -619,6 +638,22 @@ ORACLE: dict[str, str] = {
         from orders
         union all select 2, 'merge', count(*), count(*) from orders where o_orderkey%5=0
         union all select 3, 'optimize', null, null""",
+    "schema_registry": """
+        select * from (values ('customer_id', 'bigint', cast(0 as bigint)), ('order_id', 'bigint', 0),
+          ('status', 'string', 0), ('total_amount', 'double', 0), ('priority', 'string', 1))
+        t(column_name, data_type, first_commit)""",
+    "ingest_summary": """
+        select 'orders' as table_name, cast(3 as bigint) as commits,
+               count(*) + count(*) filter (where o_orderkey%3=0) + count(*) filter (where o_orderkey%7=0)
+                 + count(*) filter (where o_orderkey%11=0) + count(*) filter (where o_orderkey%5=0) as events,
+               count(*) + count(*) filter (where o_orderkey%3=0 or o_orderkey%7=0)
+                 + count(*) filter (where o_orderkey%11=0) + count(*) filter (where o_orderkey%5=0) as rows_merged,
+               count(*) filter (where o_orderkey%3=0) + count(*) filter (where o_orderkey%7=0)
+                 - count(*) filter (where o_orderkey%3=0 or o_orderkey%7=0) as collapsed
+        from orders""",
+    "sql_views_order_book": f"""
+        select status, count(*) as orders, cast(sum({_money('total_amount')}) as {MONEY}) as revenue
+        from ({ORDERS_EXPECTED}) s where not _deleted group by status""",
     "compaction_preserves_content": STATE,
     "zorder_preserves_content": STATE,
     "stream_drain_state": STATE,

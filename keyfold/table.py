@@ -75,6 +75,8 @@ class ChangeTable:
         self.log_path = f"{self.path}/log"
         self.snapshot_path = f"{self.path}/snapshot"
         self.commits_path = f"{self.path}/commits"
+        self._meta_key: tuple | None = None
+        self._meta_cache: list[CommitInfo] = []
 
     # ------------------------------------------------------------ metadata
 
@@ -86,8 +88,23 @@ class ChangeTable:
             return self.spark.createDataFrame([], COMMITS_SCHEMA)
         return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
 
+    def _commit_listing(self) -> tuple:
+        """Names and sizes of the commit files: a cheap filesystem listing that
+        tells whether the commit list changed since it was last read."""
+        fs, jpath = layout._fs(self.spark, self.commits_path)
+        if not fs.exists(jpath):
+            return ()
+        return tuple(sorted((st.getPath().getName(), st.getLen()) for st in fs.listStatus(jpath)))
+
     def _meta(self) -> list[CommitInfo]:
-        """The commit list (one small row per commit) on the driver."""
+        """The commit list (one small row per commit) on the driver.
+
+        Re-read only when the commit folder's listing changed; a writer's own
+        commits do not trigger a re-read.
+        """
+        key = self._commit_listing()
+        if key == self._meta_key:
+            return list(self._meta_cache)
         out = []
         # Consolidation may briefly leave a commit row twice (same content).
         rows = self.commits().dropDuplicates(["_commit"]).orderBy("_commit").collect()
@@ -105,13 +122,26 @@ class ChangeTable:
                     ts_ms=r["ts_ms"],
                 )
             )
-        return out
+        self._meta_key, self._meta_cache = key, out
+        return list(out)
 
     def _write_commit(self, info: dict) -> None:
+        cached = self._meta_key is not None and self._meta_key == self._commit_listing()
         row = {f.name: info.get(f.name) for f in COMMITS_SCHEMA.fields}
         self.spark.createDataFrame([row], COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(
             self.commits_path
         )
+        if cached:
+            # Extend the cached list with our own row instead of re-reading.
+            self._meta_cache.append(CommitInfo(
+                commit=row["_commit"], kind=row["kind"], query_id=row["query_id"], batch_id=row["batch_id"],
+                events=row["events"], deduped=row["deduped"],
+                schema=T.StructType.fromJson(json.loads(row["schema_json"])) if row["schema_json"] else None,
+                batch_columns=json.loads(row["batch_columns"]) if row["batch_columns"] else [],
+                ts_ms=row["ts_ms"]))
+            self._meta_key = self._commit_listing()
+        else:
+            self._meta_key = None
 
     def version(self) -> int | None:
         meta = self._meta()
@@ -291,6 +321,30 @@ class ChangeTable:
             out = out.unionByName(layout.list_files(self.spark, d))
         return out
 
+    def schema_registry(self) -> DataFrame:
+        """(column_name, data_type, first_commit) for every payload column the
+        table has had: the running union of batch schemas (E7)."""
+        first: dict[str, tuple[str, int]] = {}
+        for c in self._meta():
+            if c.schema is None:
+                continue
+            for f in c.schema.fields:
+                first.setdefault(f.name, (f.dataType.simpleString(), c.commit))
+        rows = [(name, dtype, commit) for name, (dtype, commit) in first.items()]
+        return self.spark.createDataFrame(rows, "column_name string, data_type string, first_commit long")
+
+    def ingest_summary(self) -> DataFrame:
+        """Commits, events, rows merged and events collapsed (K11), from the
+        commits table."""
+        merges = self.commits().dropDuplicates(["_commit"]).filter(F.col("kind") == "merge")
+        return merges.agg(
+            F.lit(self.spec.name).alias("table_name"),
+            F.count(F.lit(1)).alias("commits"),
+            F.coalesce(F.sum("events"), F.lit(0)).cast("long").alias("events"),
+            F.coalesce(F.sum("deduped"), F.lit(0)).cast("long").alias("rows_merged"),
+            F.coalesce(F.sum(F.col("events") - F.col("deduped")), F.lit(0)).cast("long").alias("collapsed"),
+        )
+
     def history(self, limit: int = 20) -> DataFrame:
         return self.commits().orderBy(F.desc("_commit")).limit(limit)
 
@@ -365,3 +419,20 @@ def _cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
         else:
             out.append(F.expr(f"try_cast(`{f.name}` as {want.simpleString()})").alias(f.name))
     return df.select(*out)
+
+
+def register_views(spark: SparkSession, root: str, specs) -> list[str]:
+    """One temp view per existing table (`<name>`) plus `<name>_live` without
+    soft-deleted rows (S9, P14). Missing tables are skipped."""
+    from keyfold.spec import table_path
+
+    made = []
+    for spec in specs:
+        table = ChangeTable(spark, table_path(root, spec.name), spec)
+        if not table.exists():
+            continue
+        df = table.read()
+        df.createOrReplaceTempView(spec.name)
+        df.filter(~F.col("_deleted")).createOrReplaceTempView(f"{spec.name}_live")
+        made.append(spec.name)
+    return made

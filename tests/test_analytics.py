@@ -90,3 +90,12 @@ def test_row_history_with_a_hot_key_matches_plain_lead(spark):
     want = sorted(tuple(r) for r in spark.sql(
         "select order_id, _lsn, lead(_lsn) over (partition by order_id order by _lsn) from h").collect())
     assert got == want
+
+
+def test_runner_keeps_going_and_caps_rows(spark):
+    from keyfold.plans.runner import run_named, time_queries
+    ok = lambda: spark.range(100).toDF("x")
+    bad = lambda: spark.sql("select * from no_such_table_anywhere")
+    out = run_named({"bad": bad, "ok": ok}, limit=10)
+    assert "error" in out["bad"] and len(out["ok"]["rows"]) == 10
+    assert set(time_queries({"ok": ok}, runs=2)) == {"ok"}
