@@ -106,7 +106,7 @@ def plan_files(total_bytes: int, target_file_mb: int) -> int:
 
 def _bucket(column: Column, bounds: list) -> Column:
     """Index of the quantile range `column` falls in: count of bounds below it.
-    Bounds are few (`buckets - 1`), sorted and distinct."""
+    Bounds are few, sorted and distinct."""
     if not bounds:
         return F.lit(0).cast("long")
     arr = F.array(*[F.lit(b) for b in bounds])
@@ -115,26 +115,31 @@ def _bucket(column: Column, bounds: list) -> Column:
     ).cast("long")
 
 
-def zorder_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
+def _ranked(df: DataFrame, c: str) -> Column:
+    dtype = df.schema[c].dataType
+    if isinstance(dtype, T.NumericType):
+        return F.col(f"`{c}`").cast("double")
+    # Non-numeric: ranked by hash (spreads values, keeps equal values together).
+    return F.xxhash64(F.col(f"`{c}`")).cast("double")
+
+
+def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, *,
+               stats: DataFrame | None = None) -> Column:
     """Interleaved-bit clustering key over `columns` (C4).
 
-    Non-numeric columns are ranked by their 64-bit hash (spreads them, keeps
-    equal values together). The quantile bounds are one aggregate job.
+    Each column is mapped to its quantile bucket (`2**bits` buckets, bounds
+    from one `percentile_approx` aggregate over `stats`, default `df`), and the
+    bucket ids are bit-interleaved into one long.
     """
+    stats = stats if stats is not None else df
     buckets = 1 << bits
     probs = [i / buckets for i in range(1, buckets)]
-    keyed = []
-    for c in columns:
-        dtype = df.schema[c].dataType
-        if isinstance(dtype, T.NumericType):
-            keyed.append(F.col(f"`{c}`").cast("double"))
-        else:
-            keyed.append(F.xxhash64(F.col(f"`{c}`")).cast("double"))
-    row = df.agg(*[F.percentile_approx(k, probs, 10000).alias(f"q{i}") for i, k in enumerate(keyed)]).first()
+    row = stats.agg(*[F.percentile_approx(_ranked(stats, c), probs, 10000).alias(f"q{i}")
+                      for i, c in enumerate(columns)]).first()
     ids = []
-    for i, k in enumerate(keyed):
+    for i, c in enumerate(columns):
         bounds = sorted({b for b in (row[f"q{i}"] or []) if b is not None})
-        ids.append(_bucket(k, bounds))
+        ids.append(_bucket(_ranked(df, c), bounds))
     n = len(ids)
     z = F.lit(0).cast("long")
     for bit in range(bits):
@@ -143,20 +148,33 @@ def zorder_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column
     return z
 
 
+def zorder_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
+    return zorder_key(df, columns, bits)
+
+
 def clustered(df: DataFrame, n_files: int, *, zorder_by: Sequence[str] = (),
-              partition_by: Sequence[str] = ()) -> DataFrame:
+              partition_by: Sequence[str] = (), stats: DataFrame | None = None) -> DataFrame:
     """Lay out `df` for writing: z-ordered ranges, or plain bin-packing.
 
-    With partition columns the range partitioning leads with them, so each
-    partition value gets its own files and no file mixes values (C6).
+    The file a row goes to is a deterministic function of the row: with
+    z-order, the rank range of its z-value (range bounds from quantiles over
+    `stats`, e.g. the raw inputs of a fold, so `df` itself is computed once and
+    never sampled); without, a hash of the row. Partition columns lead, and a
+    hot partition value is spread over several files.
     """
+    pcols = [F.col(f"`{c}`") for c in partition_by]
     if zorder_by:
-        z = zorder_value(df, zorder_by)
-        keyed = df.withColumn("_z", z)
-        sort_cols = [F.col(f"`{c}`") for c in partition_by] + [F.col("_z")]
-        return keyed.repartitionByRange(n_files, *sort_cols).sortWithinPartitions(*sort_cols).drop("_z")
-    # No clustering: range-partition on (partition columns, row hash). A hot
-    # partition value is split over as many files as its size needs, and the
-    # hash is deterministic, so a recomputed task writes the same rows.
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.repartitionByRange(n_files, *[F.col(f"`{c}`") for c in partition_by], spread)
+        stats = stats if stats is not None else df
+        z = zorder_key(df, zorder_by, stats=stats)
+        z_stats = zorder_key(stats, zorder_by, stats=stats) if stats is not df else z
+        if n_files > 1:
+            probs = [i / n_files for i in range(1, n_files)]
+            splits = stats.agg(F.percentile_approx(z_stats, probs, 10000).alias("s")).first()["s"] or []
+            file_id = _bucket(F.col("_z"), sorted(set(splits)))
+        else:
+            file_id = F.lit(0)
+        keyed = df.withColumn("_z", z).withColumn("_file", file_id)
+        return (keyed.repartition(n_files, *pcols, F.col("_file"))
+                .sortWithinPartitions(*pcols, F.col("_z")).drop("_z", "_file"))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n_files))
+    return df.repartition(n_files, *pcols, salt)

@@ -235,12 +235,13 @@ class ChangeTable:
         schema = next((c.schema for c in reversed(meta) if c.commit <= n and c.schema is not None), None)
         return snap, logs, schema
 
-    def state(self, as_of: int | None = None) -> DataFrame | None:
-        """Folded state with tombstones (`_seen`), as of commit `as_of`."""
-        snap, logs, schema = self._plan(as_of)
-        if schema is None:
-            return None
-        meta_fields = [
+    # Reads fold only the keys the log touched when their number is known to
+    # be small: the commits table records each commit's collapsed row count,
+    # a hard upper bound on its distinct keys.
+    BROADCAST_KEYS_MAX_ROWS = 1_000_000
+
+    def _meta_fields(self) -> list:
+        return [
             T.StructField("_op", T.StringType()),
             T.StructField("_lsn", T.LongType()),
             T.StructField("_source_ts_ms", T.LongType()),
@@ -250,7 +251,14 @@ class ChangeTable:
             T.StructField(HASH, T.LongType()),
             T.StructField(SEEN, T.BooleanType()),
         ]
-        parts = []
+
+    def _inputs(self, as_of: int | None = None):
+        """(snapshot frame or None, log frame or None, schema, touched-key bound)."""
+        snap, logs, schema = self._plan(as_of)
+        if schema is None:
+            return None, None, None, 0
+        meta_fields = self._meta_fields()
+        log = None
         if logs:
             log_schema = T.StructType(
                 list(schema.fields) + meta_fields
@@ -260,24 +268,37 @@ class ChangeTable:
                 self.spark.read.schema(log_schema)
                 .option("basePath", self.log_path)
                 .parquet(self.log_path)
-                .filter(F.col("_commit").isin(logs))
+                .filter(F.col("_commit").isin(logs))  # partition pruning on _commit=N
                 .drop("_commit")
             )
-            parts.append(log)
+        sdf = None
         if snap is not None:
             snap_schema = T.StructType(list(schema.fields) + meta_fields)
             sdf = self.spark.read.schema(snap_schema).parquet(f"{self.snapshot_path}/_commit={snap}")
-            payload = [f.name for f in schema.fields]
-            sdf = sdf.withColumn(COLS, F.array(*[F.lit(c) for c in payload]).cast("array<string>"))
-            parts.append(sdf.select(*parts[0].columns) if parts else sdf)
-        if not parts:
+        bound = sum((c.deduped or 0) for c in self._meta() if c.commit in set(logs))
+        return sdf, log, schema, bound
+
+    def state(self, as_of: int | None = None) -> DataFrame | None:
+        """Folded state with tombstones (`_seen`), as of commit `as_of`."""
+        sdf, log, schema, bound = self._inputs(as_of)
+        if schema is None or (sdf is None and log is None):
             return None
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        if len(parts) == 1 and snap is not None:
-            return union.drop(COLS)
-        return latest_state(union, self.spec)
+        if log is None:
+            return sdf
+        if sdf is None:
+            return latest_state(log, self.spec)
+        payload = [f.name for f in schema.fields]
+        with_cols = sdf.withColumn(COLS, F.array(*[F.lit(c) for c in payload]).cast("array<string>"))
+        if bound > self.BROADCAST_KEYS_MAX_ROWS:
+            # Many touched keys: one grouped fold over snapshot and log.
+            return latest_state(with_cols.unionByName(log), self.spec)
+        # Few touched keys (bounded above): keys broadcast, snapshot not shuffled.
+        pk = list(self.spec.primary_key)
+        keys = F.broadcast(log.select(*pk).distinct())
+        untouched = sdf.join(keys, pk, "left_anti")
+        touched = with_cols.join(keys, pk, "left_semi")
+        folded = latest_state(touched.unionByName(log), self.spec)
+        return untouched.unionByName(folded.select(*untouched.columns))
 
     def read(self, as_of: int | None = None) -> DataFrame:
         """The table as consumers see it (tombstones hidden; soft deletes kept)."""
@@ -356,6 +377,10 @@ class ChangeTable:
         if not meta:
             raise FileNotFoundError(f"no table at {self.path}")
         st = self.state()
+        sdf, log, _, _ = self._inputs()
+        keep = list(self.spec.zorder_by) + list(self.spec.partition_by)
+        parts = [d.select(*keep) for d in (sdf, log) if d is not None]
+        raw = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         n = meta[-1].commit + 1
         before = layout.bytes_under(self.spark, self.path)
         n_files = layout.plan_files(layout.bytes_under(self.spark, self.log_path)
@@ -365,6 +390,7 @@ class ChangeTable:
             st, n_files,
             zorder_by=self.spec.zorder_by if zorder else (),
             partition_by=self.spec.partition_by,
+            stats=raw,  # quantiles from the scans, not from the fold
         )
         writer = data.write.mode("overwrite")
         if self.spec.partition_by:

@@ -137,3 +137,19 @@ def test_maintain_all_skips_missing_tables_and_consolidates_commits(spark, make_
     assert moved.read().count() == 20
     assert layout.file_stats(spark, moved.commits_path).first()["files"] == 1
     assert moved.commits().dropDuplicates(["_commit"]).count() == 6
+
+
+def test_touched_key_read_equals_full_fold(spark, make_batch):
+    t = fragmented(spark, make_batch, batches=4)
+    t.optimize()
+    write(t, make_batch, [("1", envelope("u", lsn=100, after=order(1, "shipped", priority="p1"))),
+                          ("2", envelope("d", lsn=101, before=order(2))),
+                          ("77", envelope("d", lsn=102, before=order(77)))])
+    fast = content(t.read())
+    t.BROADCAST_KEYS_MAX_ROWS = 0  # force the full fold
+    full = content(t.read())
+    assert fast == full
+    # a soft delete stores the before image carried by the delete event
+    assert (1, "shipped", 10.0, 100, False) in fast and (2, "new", 10.0, 101, True) in fast
+    assert not any(r[0] == 77 for r in fast)
+    assert sorted(r["priority"] for r in t.read().filter("order_id = 1").collect()) == ["p1"]
