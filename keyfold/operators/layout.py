@@ -100,46 +100,59 @@ def reduction(before: int, after: int) -> float:
     return 0.0 if before <= 0 else 1.0 - after / before
 
 
-def plan_files(total_bytes: int, target_file_mb: int) -> int:
+def plan_files(total_bytes: int, target_file_mb: float) -> int:
     return max(1, math.ceil(total_bytes / (target_file_mb * 1024 * 1024)))
 
 
-def _bucket(column: Column, bounds: list) -> Column:
-    """Index of the quantile range `column` falls in: count of bounds below it.
-    Bounds are few, sorted and distinct."""
+def _bucket_sql(column_sql: str, bounds: list) -> str:
+    """SQL for the number of `bounds` (sorted, distinct) strictly below a value.
+
+    A balanced tree of comparisons: log2(len(bounds)) comparisons per row, plain
+    CASE WHEN inside whole-stage codegen, built as one expression string."""
+
+    def search(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return (f"CASE WHEN {float(bounds[mid])!r} < {column_sql} THEN {search(mid + 1, hi)} "
+                f"ELSE {search(lo, mid)} END")
+
     if not bounds:
-        return F.lit(0).cast("long")
-    arr = F.array(*[F.lit(b) for b in bounds])
-    return F.when(column.isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(arr, lambda b: b < column))
-    ).cast("long")
+        return "CAST(0 AS BIGINT)"
+    return f"CAST(CASE WHEN {column_sql} IS NULL THEN 0 ELSE {search(0, len(bounds))} END AS BIGINT)"
 
 
-def _ranked(df: DataFrame, c: str) -> Column:
+def _ranked_sql(df: DataFrame, c: str) -> str:
     dtype = df.schema[c].dataType
     if isinstance(dtype, T.NumericType):
-        return F.col(f"`{c}`").cast("double")
+        return f"CAST(`{c}` AS DOUBLE)"
     # Non-numeric: ranked by hash (spreads values, keeps equal values together).
-    return F.xxhash64(F.col(f"`{c}`")).cast("double")
+    return f"CAST(xxhash64(`{c}`) AS DOUBLE)"
 
 
-def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, *,
-               stats: DataFrame | None = None) -> Column:
-    """Interleaved-bit clustering key over `columns` (C4).
+def _ranked(df: DataFrame, c: str) -> Column:
+    return F.expr(_ranked_sql(df, c))
 
-    Each column is mapped to its quantile bucket (`2**bits` buckets, bounds
-    from one `percentile_approx` aggregate over `stats`, default `df`), and the
-    bucket ids are bit-interleaved into one long.
-    """
-    stats = stats if stats is not None else df
+
+def zorder_bounds(stats: DataFrame, columns: Sequence[str], bits: int = 8) -> list[list[float]]:
+    """Per-column quantile bounds (`2**bits - 1` each) in one aggregate job."""
     buckets = 1 << bits
     probs = [i / buckets for i in range(1, buckets)]
     row = stats.agg(*[F.percentile_approx(_ranked(stats, c), probs, 10000).alias(f"q{i}")
                       for i, c in enumerate(columns)]).first()
-    ids = []
-    for i, c in enumerate(columns):
-        bounds = sorted({b for b in (row[f"q{i}"] or []) if b is not None})
-        ids.append(_bucket(_ranked(df, c), bounds))
+    return [sorted({b for b in (row[f"q{i}"] or []) if b is not None}) for i in range(len(columns))]
+
+
+def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, *,
+               bounds: list[list[float]] | None = None) -> Column:
+    """Interleaved-bit clustering key over `columns` (C4): each column's
+    quantile bucket, bits interleaved into one long."""
+    bounds = bounds if bounds is not None else zorder_bounds(df, columns, bits)
+    ids = [F.expr(_bucket_sql(_ranked_sql(df, c), b)) for c, b in zip(columns, bounds)]
+    return _interleave(ids, bits)
+
+
+def _interleave(ids: list[Column], bits: int) -> Column:
     n = len(ids)
     z = F.lit(0).cast("long")
     for bit in range(bits):
@@ -148,6 +161,14 @@ def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, *,
     return z
 
 
+def _with_zorder(df: DataFrame, columns: Sequence[str], bounds, bits: int = 8) -> DataFrame:
+    """`df` plus `_z`; bucket ids are computed once per row as their own columns."""
+    names = [f"_zb{j}" for j in range(len(columns))]
+    staged = df.select("*", *[F.expr(_bucket_sql(_ranked_sql(df, c), b)).alias(nm)
+                              for c, b, nm in zip(columns, bounds, names)])
+    return staged.withColumn("_z", _interleave([F.col(nm) for nm in names], bits)).drop(*names)
+
+
 def zorder_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
     return zorder_key(df, columns, bits)
 
@@ -165,15 +186,16 @@ def clustered(df: DataFrame, n_files: int, *, zorder_by: Sequence[str] = (),
     pcols = [F.col(f"`{c}`") for c in partition_by]
     if zorder_by:
         stats = stats if stats is not None else df
-        z = zorder_key(df, zorder_by, stats=stats)
-        z_stats = zorder_key(stats, zorder_by, stats=stats) if stats is not df else z
+        bounds = zorder_bounds(stats, zorder_by)
+        keyed = _with_zorder(df, zorder_by, bounds)
         if n_files > 1:
             probs = [i / n_files for i in range(1, n_files)]
-            splits = stats.agg(F.percentile_approx(z_stats, probs, 10000).alias("s")).first()["s"] or []
-            file_id = _bucket(F.col("_z"), sorted(set(splits)))
+            zs = _with_zorder(stats, zorder_by, bounds)
+            splits = zs.agg(F.percentile_approx("_z", probs, 10000).alias("s")).first()["s"] or []
+            file_id = F.expr(_bucket_sql("_z", sorted(set(splits))))
         else:
             file_id = F.lit(0)
-        keyed = df.withColumn("_z", z).withColumn("_file", file_id)
+        keyed = keyed.withColumn("_file", file_id)
         return (keyed.repartition(n_files, *pcols, F.col("_file"))
                 .sortWithinPartitions(*pcols, F.col("_z")).drop("_z", "_file"))
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n_files))

@@ -371,7 +371,7 @@ class ChangeTable:
 
     # ---------------------------------------------------------- maintenance
 
-    def optimize(self, *, target_file_mb: int = 128, zorder: bool = True) -> dict:
+    def optimize(self, *, target_file_mb: float = 128, zorder: bool = True) -> dict:
         """Fold everything into one snapshot commit, compacted (and clustered)."""
         meta = self._meta()
         if not meta:
