@@ -177,26 +177,20 @@ def clustered(df: DataFrame, n_files: int, *, zorder_by: Sequence[str] = (),
               partition_by: Sequence[str] = (), stats: DataFrame | None = None) -> DataFrame:
     """Lay out `df` for writing: z-ordered ranges, or plain bin-packing.
 
-    The file a row goes to is a deterministic function of the row: with
-    z-order, the rank range of its z-value (range bounds from quantiles over
-    `stats`, e.g. the raw inputs of a fold, so `df` itself is computed once and
-    never sampled); without, a hash of the row. Partition columns lead, and a
-    hot partition value is spread over several files.
+    Column quantiles for the z-value come from `stats` (e.g. the raw scans
+    behind a fold: column-pruned, no shuffle). Without z-order a row's file is
+    a hash of the row (deterministic under retries). Partition columns lead,
+    and a hot partition value is spread over several files.
     """
     pcols = [F.col(f"`{c}`") for c in partition_by]
     if zorder_by:
         stats = stats if stats is not None else df
-        bounds = zorder_bounds(stats, zorder_by)
-        keyed = _with_zorder(df, zorder_by, bounds)
-        if n_files > 1:
-            probs = [i / n_files for i in range(1, n_files)]
-            zs = _with_zorder(stats, zorder_by, bounds)
-            splits = zs.agg(F.percentile_approx("_z", probs, 10000).alias("s")).first()["s"] or []
-            file_id = F.expr(_bucket_sql("_z", sorted(set(splits))))
-        else:
-            file_id = F.lit(0)
-        keyed = keyed.withColumn("_file", file_id)
-        return (keyed.repartition(n_files, *pcols, F.col("_file"))
-                .sortWithinPartitions(*pcols, F.col("_z")).drop("_z", "_file"))
+        keyed = _with_zorder(df, zorder_by, zorder_bounds(stats, zorder_by))
+        # Exact, balanced ranges of (partition columns, z). The range bounds are
+        # sampled once per exchange and held by the driver, so a retried task
+        # routes rows the same way; the sampling pass re-reads the upstream
+        # shuffle output, it does not recompute the fold's map side.
+        return (keyed.repartitionByRange(n_files, *pcols, F.col("_z"))
+                .sortWithinPartitions(*pcols, F.col("_z")).drop("_z"))
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n_files))
     return df.repartition(n_files, *pcols, salt)
