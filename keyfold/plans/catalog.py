@@ -529,7 +529,8 @@ select l_partkey as product_id, l_suppkey as warehouse_id, cast(l_quantity as bi
        cast(25 as bigint) as reorder_level, l_orderkey*10 + l_linenumber as _lsn,
        case when l_linenumber = 1 then 'r' else 'u' end as _op, false as _deleted
 from lineitem
-qualify row_number() over (partition by l_partkey, l_suppkey order by l_orderkey*10 + l_linenumber desc) = 1
+qualify row_number() over (partition by l_partkey, l_suppkey
+                           order by l_orderkey*10 + l_linenumber desc, l_shipdate desc) = 1
 """
 
 MONEY_SQL = f"cast({{x}} as {MONEY})"

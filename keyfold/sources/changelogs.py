@@ -195,13 +195,15 @@ def events_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inventory_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stock levels keyed by (product_id, warehouse_id) = (l_partkey, l_suppkey).
 
-    LSN = l_orderkey * 10 + l_linenumber; with line numbers below 10 two changes
-    to one key never share an LSN. Lines with l_linenumber = 1 arrive as snapshot
-    reads, the rest as updates.
+    LSN = l_orderkey * 10 + l_linenumber; the event time is the ship date, which
+    orders two changes of one key that share an LSN (the four line columns are
+    not unique in every extract). Lines with l_linenumber = 1 arrive as
+    snapshot reads, the rest as updates.
     """
     li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"))
     lsn = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    ship_ms = epoch_millis(li, "l_shipdate")
     image = _image([
         ("product_id", F.col("l_partkey")),
         ("warehouse_id", F.col("l_suppkey")),
@@ -211,30 +213,34 @@ def inventory_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = F.when(F.col("l_linenumber") == 1, F.lit("r")).otherwise(F.lit("u"))
     return kafka_records(
         li, F.struct(F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("warehouse_id")),
-        envelope_value(op, lsn, table="inventory", after=image), "inventory", lsn,
+        envelope_value(op, lsn, table="inventory", after=image, ts_ms=ship_ms), "inventory", lsn,
     )
 
 
-def order_item_id(prefix: str = "l_") -> Column:
+def order_item_id(ship_ms: Column, prefix: str = "l_") -> Column:
+    """Line identity: order, line number, part, supplier, ship date, quantity
+    (the first four alone repeat in some extracts)."""
     p = prefix
     return F.concat_ws("-", F.col(f"{p}orderkey"), F.col(f"{p}linenumber"),
-                       F.col(f"{p}partkey"), F.col(f"{p}suppkey"))
+                       F.col(f"{p}partkey"), F.col(f"{p}suppkey"), ship_ms,
+                       F.col(f"{p}quantity").cast("long"))
 
 
 def order_items_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines: inserts, plus a cascaded delete for every line of an order
     deleted in the orders log (o_orderkey % 7 = 0)."""
     li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"))
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"))
     lsn = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    item_id = order_item_id(epoch_millis(li, "l_shipdate"))
     image = _image([
-        ("order_item_id", order_item_id()),
+        ("order_item_id", item_id),
         ("order_id", F.col("l_orderkey")),
         ("product_id", F.col("l_partkey")),
         ("quantity", F.col("l_quantity").cast("long")),
         ("unit_price", F.col("l_extendedprice")),
     ])
-    key = F.struct(order_item_id().alias("order_item_id"))
+    key = F.struct(item_id.alias("order_item_id"))
     ins = kafka_records(li, key, envelope_value("c", lsn, table="order_items", after=image), "order_items", lsn)
     gone = li.filter(F.col("l_orderkey") % 7 == 0)
     del_lsn = F.lit(3_000_000_000) + F.col("l_orderkey")
