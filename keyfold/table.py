@@ -264,11 +264,11 @@ class ChangeTable:
                 list(schema.fields) + meta_fields
                 + [T.StructField(COLS, T.ArrayType(T.StringType())), T.StructField("_commit", T.LongType())]
             )
+            # Only the needed commit directories are listed and read.
             log = (
                 self.spark.read.schema(log_schema)
                 .option("basePath", self.log_path)
-                .parquet(self.log_path)
-                .filter(F.col("_commit").isin(logs))  # partition pruning on _commit=N
+                .parquet(*[f"{self.log_path}/_commit={c}" for c in logs])
                 .drop("_commit")
             )
         sdf = None
