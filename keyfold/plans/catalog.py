@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 from keyfold.functions.money import MONEY
 from keyfold.functions.predicates import live
 from keyfold.functions.schema import infer_payload_schema
-from keyfold.operators import layout
 from keyfold.operators.dedupe import collapse_counts, deduplicate_batch
 from keyfold.operators.flatten import flatten_changes
 from keyfold.operators.history import row_history
-from keyfold.operators.merge import apply_changes, latest_state, stack_batches, visible
+from keyfold.operators.merge import apply_changes, stack_batches
 from keyfold.operators.reconcile import reconcile, table_checksum
 from keyfold.plans import analytics as K
 from keyfold.plans.pipeline import flattened_batches, fold_in_order, merge_in_order, resolve_log
@@ -285,11 +284,11 @@ def q_zorder_preserves_content(spark, sf_dir):
 
 def q_file_stats(spark, sf_dir):
     t = _write_orders_table(spark, sf_dir, "files")
-    before = layout.file_stats(spark, t.path).withColumn("stage", F.lit("before"))
-    before = spark.createDataFrame(before.collect(), before.schema)  # freeze before rewriting
+    before = t.data_file_stats().withColumn("stage", F.lit("before"))
+    before = spark.createDataFrame(before.collect(), before.schema)  # one row, frozen before rewriting
     t.optimize()
     t.vacuum(retain_hours=0, allow_short_retention=True)
-    after = layout.file_stats(spark, t.path).withColumn("stage", F.lit("after"))
+    after = t.data_file_stats().withColumn("stage", F.lit("after"))
     return before.unionByName(after)
 
 

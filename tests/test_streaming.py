@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import envelope, order
 from keyfold.session import scratch_dir
@@ -7,7 +6,7 @@ from keyfold.sources.files import write_records
 from keyfold.operators.flatten import flatten_changes
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
-from keyfold.streaming.sink import StreamConfig, run_streams, start_table_stream, summarise
+from keyfold.streaming.sink import ProgressRecorder, StreamConfig, progress_frame, run_streams, start_table_stream, summarise
 from keyfold.table import ChangeTable
 
 ORDERS = get_spec("orders")
@@ -104,3 +103,21 @@ def test_continuous_latest_per_key_and_window_counts(spark):
     counts = continuous.read_latest_rows(spark, f"{root}/win", ["window_start_ms", "_op"])
     got = sorted((r["window_start_ms"], r["events"]) for r in counts.collect())
     assert got == [(0, 2), (3_600_000, 2), (7_200_000, 2)]
+
+
+def test_progress_listener_and_frame(spark):
+    root, cfg, topic = setup(spark)
+    recorder = ProgressRecorder()
+    spark.streams.addListener(recorder)
+    try:
+        write_records(records(spark, [("1", envelope("c", lsn=1, after=order(1)))]), topic)
+        h = drain(spark, cfg)
+        import time
+        for _ in range(50):  # listener events arrive asynchronously
+            if recorder.rows:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(recorder)
+    assert any(r[0] == "keyfold-orders" and r[3] == 1 for r in recorder.rows)
+    assert progress_frame(spark, [h]).filter("input_rows = 1").count() >= 1
