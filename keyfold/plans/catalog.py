@@ -25,7 +25,7 @@ from keyfold.plans import analytics as K
 from keyfold.plans.pipeline import flattened_batches, fold_in_order, merge_in_order, resolve_log
 from keyfold.session import scratch_dir
 from keyfold.sources import changelogs as logs
-from keyfold.sources.envelope import dead_letters, parse_envelope
+from keyfold.sources.envelope import classify_records, dead_letters, parse_envelope
 from keyfold.sources.files import stage_records, write_records
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
@@ -96,14 +96,13 @@ def q_parse_op_types(spark, sf_dir):
 
 
 def q_tombstones_dropped(spark, sf_dir):
-    raw = _orders_log_union(spark, sf_dir)
-    v = F.col("value")
-    counts = raw.agg(
+    """Records in, empty values dropped, change rows out: one pass."""
+    classified = classify_records(_orders_log_union(spark, sf_dir))
+    return classified.agg(
         F.count(F.lit(1)).alias("records"),
-        F.count_if(v.isNull() | (F.length(v) == 0)).alias("empty_records"),
+        F.count_if(F.col("_reason") == "tombstone").alias("empty_records"),
+        F.count_if(F.col("_reason").isNull()).alias("parsed"),
     )
-    parsed = parse_envelope(raw).agg(F.count(F.lit(1)).alias("parsed"))
-    return counts.crossJoin(parsed)  # two single-row aggregates
 
 
 def q_dead_letter_reasons(spark, sf_dir):

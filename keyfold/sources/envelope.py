@@ -112,14 +112,21 @@ def parse_envelope(df: DataFrame, *, value_column: str = "value", key_column: st
 
 
 def _reason(primary_key: Sequence[str] | None) -> Column:
+    """Why a record is unusable; NULL when `parse_envelope` keeps it.
+
+    Reasons are exclusive and ordered so that `reason IS NULL OR reason =
+    'null_key'` is exactly the set of records the parse path keeps (a NULL key
+    is only detected after flattening)."""
     value = F.col("_value_str")
     env = F.col("_env")
     op = env["op"]
     image = F.when(op == F.lit(OP_DELETE), env["before"]).otherwise(env["after"])
+    empty_envelope = env.isNull() | (op.isNull() & env["source"].isNull() & env["after"].isNull()
+                                     & env["before"].isNull())
     reason = (
         F.when(value.isNull() | (F.length(value) == 0), F.lit("tombstone"))
-        .when(env.isNull() | (op.isNull() & env["source"].isNull()), F.lit("malformed"))
-        .when(op == F.lit(OP_TRUNCATE), F.lit("truncate"))
+        .when(empty_envelope, F.lit("malformed"))
+        .when(image.isNull() & (op == F.lit(OP_TRUNCATE)), F.lit("truncate"))
         .when(image.isNull(), F.lit("no_image"))
     )
     if primary_key:

@@ -86,3 +86,16 @@ def test_inference_none_when_nothing_parses(spark):
     df = spark.createDataFrame([("{bad",), ("[1]",)], "_row_json string")
     assert infer_payload_schema(df) is None
     assert infer_payload_schema(df.filter(F.lit(False))) is None
+
+
+def test_reasons_agree_with_parse_path(make_batch):
+    from keyfold.sources.envelope import classify_records
+    batch = make_batch([
+        ("1", None), ("2", ""), ("3", "{bad"), ("4", '{"after": {"order_id": 4}}'),
+        ("5", envelope("t", lsn=5)), ("6", envelope("t", lsn=6, after=order(6))),
+        ("7", envelope("u", lsn=7)), ("8", envelope("d", lsn=8, before=order(8))),
+        ("9", envelope("c", lsn=9, after=order(9))),
+    ])
+    kept = {r["_key"] for r in parse_envelope(batch).collect()}
+    usable = {r["_key"] for r in classify_records(batch).collect() if r["_reason"] is None}
+    assert kept == usable == {"4", "6", "8", "9"}
