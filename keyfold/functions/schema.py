@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,26 +140,61 @@ def infer_payload_schema(batch: DataFrame, column: str = "_row_json") -> T.Struc
     return variant_type_to_struct(row["s"] if row else None)
 
 
+def widen(stored: T.DataType, incoming: T.DataType) -> T.DataType:
+    """Type of a column after a batch with `incoming` meets a table with
+    `stored`: structs gain the new nested fields (recursively), arrays widen
+    their elements, anything else keeps the stored type (E5: the batch is cast
+    to the table, as a MERGE would)."""
+    if stored == incoming:
+        return stored
+    if isinstance(stored, T.StructType) and isinstance(incoming, T.StructType):
+        have = {f.name: f for f in incoming.fields}
+        fields = [T.StructField(f.name, widen(f.dataType, have[f.name].dataType) if f.name in have else f.dataType)
+                  for f in stored.fields]
+        names = {f.name for f in stored.fields}
+        fields += [f for f in incoming.fields if f.name not in names]
+        return T.StructType(fields)
+    if isinstance(stored, T.ArrayType) and isinstance(incoming, T.ArrayType):
+        return T.ArrayType(widen(stored.elementType, incoming.elementType), True)
+    return stored
+
+
 def evolve(target: T.StructType | None, batch: T.StructType) -> T.StructType:
-    """Running union of schemas (E3/E7). Existing columns keep their type (E5):
-    like a MERGE into an existing table, the batch is cast to the target type."""
+    """Running union of schemas (E3/E7); existing columns widened by `widen`."""
     if target is None:
         return batch
+    have = {f.name: f for f in batch.fields}
+    fields = [T.StructField(f.name, widen(f.dataType, have[f.name].dataType) if f.name in have else f.dataType)
+              for f in target.fields]
     known = {f.name for f in target.fields}
-    return T.StructType(list(target.fields) + [f for f in batch.fields if f.name not in known])
+    return T.StructType(fields + [f for f in batch.fields if f.name not in known])
+
+
+def conform_column(col: Column, have: T.DataType, want: T.DataType) -> Column:
+    """`col` (of type `have`) as type `want`: structs field by field (missing
+    fields NULL), nested data to JSON text when the table holds a string,
+    otherwise an ANSI-safe `try_cast` (NULL instead of an error)."""
+    if have == want:
+        return col
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        names = {f.name: f.dataType for f in have.fields}
+        parts = [
+            (conform_column(col.getField(f.name), names[f.name], f.dataType) if f.name in names
+             else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(col.isNull(), F.lit(None).cast(want)).otherwise(F.struct(*parts))
+    if isinstance(want, T.StringType) and isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(col)
+    return col.try_cast(want)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast a batch's columns to an evolved table schema (ANSI-safe: try_cast)."""
+    """Cast a batch's columns to an evolved table schema; other columns untouched."""
     types = {f.name: f.dataType for f in schema.fields}
     out = []
-    for name in df.columns:
-        want = types.get(name)
-        have = df.schema[name].dataType
-        if want is None or want == have:
-            out.append(F.col(f"`{name}`"))
-        elif isinstance(want, T.StringType) and isinstance(have, (T.StructType, T.ArrayType)):
-            out.append(F.to_json(F.col(f"`{name}`")).alias(name))
-        else:
-            out.append(F.expr(f"try_cast(`{name}` as {want.simpleString()})").alias(name))
+    for f in df.schema.fields:
+        want = types.get(f.name)
+        c = F.col(f"`{f.name}`")
+        out.append(c if want is None or want == f.dataType else conform_column(c, f.dataType, want).alias(f.name))
     return df.select(*out)

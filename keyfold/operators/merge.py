@@ -21,9 +21,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keyfold.functions.predicates import COLS, HASH, ORD, SEEN, change_order
+from keyfold.functions.schema import conform, evolve
 from keyfold.operators.flatten import with_fingerprint
 from keyfold.spec import TableSpec
 
@@ -34,19 +34,11 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _conform_to(changes: DataFrame, target: DataFrame) -> DataFrame:
-    """Cast shared columns to the target's type (a MERGE casts source to target)."""
-    ttypes = {f.name: f.dataType for f in target.schema.fields}
-    out = []
-    for f in changes.schema.fields:
-        want = ttypes.get(f.name)
-        if want is None or want == f.dataType:
-            out.append(_q(f.name))
-        elif isinstance(want, T.StringType):
-            out.append(_q(f.name).cast("string").alias(f.name))
-        else:
-            out.append(F.expr(f"try_cast(`{f.name}` as {want.simpleString()})").alias(f.name))
-    return changes.select(*out)
+def _aligned(target: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides on one evolved schema: nested structs gain new fields, other
+    shared columns take the stored type (a MERGE casts source to target)."""
+    schema = evolve(target.schema, changes.schema)
+    return conform(target, schema), conform(changes, schema)
 
 
 def _joined(target: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -92,7 +84,7 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, spec: TableSpec)
     if target is None:
         return changes.filter(~F.col("_deleted"))
     target = target.drop(*[c for c in INTERNAL if c in target.columns])
-    changes = _conform_to(changes, target)
+    target, changes = _aligned(target, changes)
     pk = list(spec.primary_key)
     j = _joined(target, changes, spec)
     t, s = F.col("_t"), F.col("_s")
@@ -113,7 +105,7 @@ def fold_changes(state: DataFrame | None, changes: DataFrame, spec: TableSpec) -
         changes = changes.withColumn(SEEN, ~F.col("_deleted"))
     if state is None:
         return changes
-    changes = _conform_to(changes, state)
+    state, changes = _aligned(state, changes)
     pk = list(spec.primary_key)
     j = _joined(state, changes, spec)
     t, s = F.col("_t"), F.col("_s")

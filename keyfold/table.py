@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.functions.predicates import COLS, HASH, SEEN
-from keyfold.functions.schema import evolve
+from keyfold.functions.schema import conform, evolve
 from keyfold.operators import layout
 from keyfold.operators.dedupe import deduplicate_with_seen
 from keyfold.operators.merge import latest_state, visible
@@ -176,7 +176,7 @@ class ChangeTable:
         batch_schema = T.StructType([changes.schema[c] for c in payload])
         prior = next((c.schema for c in reversed(meta) if c.schema is not None), None)
         table_schema = evolve(prior, batch_schema)
-        changes = _cast_to(changes, table_schema)
+        changes = conform(changes, table_schema)
 
         tag = uuid.uuid4().hex[:8]
         counted = Observation(f"events_{n}_{tag}")
@@ -433,20 +433,6 @@ class ChangeTable:
         return {"table": self.spec.name, "removed": removed, "oldest_readable": keep_from}
 
 
-def _cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    types = {f.name: f.dataType for f in schema.fields}
-    out = []
-    for f in df.schema.fields:
-        want = types.get(f.name)
-        if want is None or want == f.dataType:
-            out.append(F.col(f"`{f.name}`"))
-        elif isinstance(want, T.StringType) and isinstance(f.dataType, (T.StructType, T.ArrayType)):
-            out.append(F.to_json(F.col(f"`{f.name}`")).alias(f.name))
-        else:
-            out.append(F.expr(f"try_cast(`{f.name}` as {want.simpleString()})").alias(f.name))
-    return df.select(*out)
-
-
 def register_views(spark: SparkSession, root: str, specs) -> list[str]:
     """One temp view per existing table (`<name>`) plus `<name>_live` without
     soft-deleted rows (S9, P14). Missing tables are skipped."""

@@ -144,3 +144,17 @@ def test_insert_and_delete_in_one_batch_leaves_soft_deleted_row(make_batch):
     one = [("5", envelope("c", lsn=1, after=order(5))), ("5", envelope("d", lsn=2, before=order(5)))]
     st = fold_changes(None, deduplicate_with_seen(changes(make_batch, one), ORDERS), ORDERS)
     assert rows(visible(st, ORDERS), "order_id", "_deleted") == [(5, True)]
+
+
+def test_nested_object_gains_a_field(make_batch, spark):
+    from keyfold.session import scratch_dir
+    from keyfold.table import ChangeTable
+    t = ChangeTable(spark, scratch_dir(spark, "nested"), ORDERS)
+    t.append_changes(changes(make_batch, [("1", envelope("c", lsn=1, after=order(1, ship={"city": "A"})))]))
+    t.append_changes(changes(make_batch, [("2", envelope("c", lsn=2, after=order(2, ship={"city": "B", "zip": 7})))]))
+    got = {r["order_id"]: (r["ship"]["city"], r["ship"]["zip"]) for r in t.read().collect()}
+    assert got == {1: ("A", None), 2: ("B", 7)}
+    # the in-memory merge widens the same way
+    st = merge_all(make_batch, [[("1", envelope("c", lsn=1, after=order(1, ship={"city": "A"})))],
+                                [("1", envelope("u", lsn=2, after=order(1, ship={"city": "C", "zip": 9})))]])
+    assert [(r["ship"]["city"], r["ship"]["zip"]) for r in st.collect()] == [("C", 9)]
