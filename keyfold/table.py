@@ -65,6 +65,33 @@ class CommitInfo:
     schema: T.StructType | None
     batch_columns: list[str]
     ts_ms: int
+    files: int | None = None
+
+
+def _info(r: dict) -> CommitInfo:
+    return CommitInfo(
+        commit=r["_commit"],
+        kind=r["kind"],
+        query_id=r.get("query_id"),
+        batch_id=r.get("batch_id"),
+        events=r.get("events"),
+        deduped=r.get("deduped"),
+        schema=T.StructType.fromJson(json.loads(r["schema_json"])) if r.get("schema_json") else None,
+        batch_columns=json.loads(r["batch_columns"]) if r.get("batch_columns") else [],
+        ts_ms=r.get("ts_ms") or 0,
+        files=r.get("files"),
+    )
+
+
+def getattr_row(c: CommitInfo, name: str):
+    """A commit as a commits-table row field."""
+    if name == "_commit":
+        return c.commit
+    if name == "schema_json":
+        return c.schema.json() if c.schema is not None else None
+    if name == "batch_columns":
+        return json.dumps(c.batch_columns) if c.batch_columns else None
+    return getattr(c, name)
 
 
 class ChangeTable:
@@ -84,17 +111,48 @@ class ChangeTable:
         return layout.path_exists(self.spark, self.commits_path)
 
     def commits(self) -> DataFrame:
-        if not self.exists():
-            return self.spark.createDataFrame([], COMMITS_SCHEMA)
-        return self.spark.read.schema(COMMITS_SCHEMA).parquet(self.commits_path)
+        """The commit rows as a DataFrame (history, summaries)."""
+        rows = [{f.name: getattr_row(c, f.name) for f in COMMITS_SCHEMA.fields} for c in self._meta()]
+        return self.spark.createDataFrame(rows, COMMITS_SCHEMA)
+
+    # Commit rows are small JSON files written and read through the Hadoop
+    # FileSystem API on the driver, like a table format's log: metadata work
+    # costs no Spark job. Each file is written under a hidden name and renamed,
+    # so readers never see a partial row.
 
     def _commit_listing(self) -> tuple:
-        """Names and sizes of the commit files: a cheap filesystem listing that
-        tells whether the commit list changed since it was last read."""
+        """Names and sizes of the visible commit files (cheap listing)."""
         fs, jpath = layout._fs(self.spark, self.commits_path)
         if not fs.exists(jpath):
             return ()
-        return tuple(sorted((st.getPath().getName(), st.getLen()) for st in fs.listStatus(jpath)))
+        return tuple(sorted((st.getPath().getName(), st.getLen()) for st in fs.listStatus(jpath)
+                            if st.getPath().getName().endswith(".json")))
+
+    def _read_commit_file(self, name: str) -> list[dict]:
+        fs, _ = layout._fs(self.spark, self.commits_path)
+        jvm = self.spark.sparkContext._jvm
+        stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{self.commits_path}/{name}"))
+        try:
+            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return [json.loads(line) for line in text.splitlines() if line.strip()]
+
+    def _write_commit_file(self, rows: list[dict]) -> str:
+        fs, _ = layout._fs(self.spark, self.commits_path)
+        jvm = self.spark.sparkContext._jvm
+        first = rows[0]["_commit"]
+        name = f"{first:020d}-{uuid.uuid4().hex[:12]}.json"
+        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.commits_path}/.{name}.tmp")
+        final = jvm.org.apache.hadoop.fs.Path(f"{self.commits_path}/{name}")
+        out = fs.create(tmp, False)
+        try:
+            out.write(bytearray("".join(json.dumps(r) + "\n" for r in rows).encode("utf-8")))
+        finally:
+            out.close()
+        if not fs.rename(tmp, final):
+            raise OSError(f"could not publish commit file {final}")
+        return name
 
     def _meta(self) -> list[CommitInfo]:
         """The commit list (one small row per commit) on the driver.
@@ -105,40 +163,22 @@ class ChangeTable:
         key = self._commit_listing()
         if key == self._meta_key:
             return list(self._meta_cache)
-        out = []
-        # Consolidation may briefly leave a commit row twice (same content).
-        rows = self.commits().dropDuplicates(["_commit"]).orderBy("_commit").collect()
-        for r in rows:
-            out.append(
-                CommitInfo(
-                    commit=r["_commit"],
-                    kind=r["kind"],
-                    query_id=r["query_id"],
-                    batch_id=r["batch_id"],
-                    events=r["events"],
-                    deduped=r["deduped"],
-                    schema=T.StructType.fromJson(json.loads(r["schema_json"])) if r["schema_json"] else None,
-                    batch_columns=json.loads(r["batch_columns"]) if r["batch_columns"] else [],
-                    ts_ms=r["ts_ms"],
-                )
-            )
+        by_commit: dict[int, dict] = {}
+        for name, _size in key:
+            for r in self._read_commit_file(name):
+                # Consolidation may briefly leave a commit row twice (same content).
+                by_commit.setdefault(r["_commit"], r)
+        out = [_info(by_commit[c]) for c in sorted(by_commit)]
         self._meta_key, self._meta_cache = key, out
         return list(out)
 
     def _write_commit(self, info: dict) -> None:
         cached = self._meta_key is not None and self._meta_key == self._commit_listing()
         row = {f.name: info.get(f.name) for f in COMMITS_SCHEMA.fields}
-        self.spark.createDataFrame([row], COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.commits_path
-        )
+        self._write_commit_file([row])
         if cached:
             # Extend the cached list with our own row instead of re-reading.
-            self._meta_cache.append(CommitInfo(
-                commit=row["_commit"], kind=row["kind"], query_id=row["query_id"], batch_id=row["batch_id"],
-                events=row["events"], deduped=row["deduped"],
-                schema=T.StructType.fromJson(json.loads(row["schema_json"])) if row["schema_json"] else None,
-                batch_columns=json.loads(row["batch_columns"]) if row["batch_columns"] else [],
-                ts_ms=row["ts_ms"]))
+            self._meta_cache.append(_info(row))
             self._meta_key = self._commit_listing()
         else:
             self._meta_key = None
@@ -316,20 +356,20 @@ class ChangeTable:
     def consolidate_commits(self) -> int:
         """Rewrite the commit rows into one file, then drop the old small files.
 
-        The new file is written before any old one is deleted and readers
+        The new file is published before any old one is deleted and readers
         deduplicate by commit number, so a crash at any point loses nothing.
         """
-        if not self.exists():
-            return 0
-        fs, jpath = layout._fs(self.spark, self.commits_path)
-        old = [st.getPath() for st in fs.listStatus(jpath) if st.getPath().getName().endswith(".parquet")]
-        if len(old) <= 1:
+        listing = self._commit_listing()
+        if len(listing) <= 1:
             return 0
-        rows = self.commits().dropDuplicates(["_commit"]).collect()
-        self.spark.createDataFrame(rows, COMMITS_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
-        for p in old:
-            fs.delete(p, False)
-        return len(old)
+        rows = [{f.name: getattr_row(c, f.name) for f in COMMITS_SCHEMA.fields} for c in self._meta()]
+        self._write_commit_file(rows)
+        fs, _ = layout._fs(self.spark, self.commits_path)
+        jvm = self.spark.sparkContext._jvm
+        for name, _size in listing:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.commits_path}/{name}"), False)
+        self._meta_key = None
+        return len(listing)
 
     def active_files(self, as_of: int | None = None) -> DataFrame:
         """(path, length) of the files a read of version `as_of` opens."""
