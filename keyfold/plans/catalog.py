@@ -26,7 +26,7 @@ from keyfold.plans.pipeline import flattened_batches, fold_in_order, merge_in_or
 from keyfold.session import scratch_dir
 from keyfold.sources import changelogs as logs
 from keyfold.sources.envelope import classify_records, dead_letters, parse_envelope
-from keyfold.sources.files import stage_records, write_records
+from keyfold.sources.files import stage_records, topic, write_records
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
 from keyfold.streaming.sink import StreamConfig, start_table_stream
@@ -42,8 +42,9 @@ ORDER_COLUMNS = ["order_id", "customer_id", "status", "total_amount", "priority"
 
 
 def _orders_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """The three orders batches, produced to topic folders and read back."""
-    return [stage_records(spark, b, f"orders-{i}") for i, b in enumerate(logs.orders_change_batches(spark, sf_dir))]
+    """The three orders batches, produced to topic folders once and read back."""
+    return [topic(spark, (sf_dir, f"orders-{i}"),
+                  lambda i=i: logs.orders_change_batches(spark, sf_dir)[i]) for i in range(3)]
 
 
 def _orders_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,11 +53,11 @@ def _orders_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _items_log(spark, sf_dir):
-    return stage_records(spark, logs.order_items_changes(spark, sf_dir), "order-items")
+    return topic(spark, (sf_dir, "order-items"), lambda: logs.order_items_changes(spark, sf_dir))
 
 
 def _inventory_log(spark, sf_dir):
-    return stage_records(spark, logs.inventory_changes(spark, sf_dir), "inventory")
+    return topic(spark, (sf_dir, "inventory"), lambda: logs.inventory_changes(spark, sf_dir))
 
 
 def _items_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,17 +69,18 @@ def _inventory_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customers_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = [stage_records(spark, b, f"customers-{i}")
-               for i, b in enumerate(logs.customers_change_batches(spark, sf_dir))]
+    batches = [topic(spark, (sf_dir, f"customers-{i}"),
+                     lambda i=i: logs.customers_change_batches(spark, sf_dir)[i]) for i in range(2)]
     return resolve_log(batches, CUSTOMERS)
 
 
 def _orders_log_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = logs.orders_change_batches(spark, sf_dir)
-    out = records[0]
-    for b in records[1:]:
+    """The whole orders log as one unordered set of records."""
+    bs = _orders_batches(spark, sf_dir)
+    out = bs[0]
+    for b in bs[1:]:
         out = out.unionByName(b)
-    return stage_records(spark, out, "orders-all")
+    return out
 
 
 def _orders_cols(df: DataFrame) -> DataFrame:
@@ -123,7 +125,7 @@ def q_schema_inferred(spark, sf_dir):
 
 
 def _user_changes(spark, sf_dir):
-    records = stage_records(spark, logs.events_changes(spark, sf_dir), "user-activity")
+    records = topic(spark, (sf_dir, "user-activity"), lambda: logs.events_changes(spark, sf_dir))
     return flatten_changes(parse_envelope(records), USERS)
 
 

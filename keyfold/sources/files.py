@@ -32,3 +32,22 @@ def stage_records(spark: SparkSession, records: DataFrame, label: str) -> DataFr
     path = scratch_dir(spark, f"topic-{label}")
     write_records(records, path)
     return read_records(spark, path)
+
+
+_PRODUCED: dict[tuple, str] = {}
+
+
+def topic(spark: SparkSession, key: tuple, produce) -> DataFrame:
+    """A derived topic produced once per application and then shared by every
+    consumer, like a real topic: `produce()` builds the records on first use.
+
+    `key` must identify the content (e.g. the source tables' folder and the
+    log's name); the base tables are read-only inputs.
+    """
+    full = (spark.sparkContext.applicationId, *key)
+    path = _PRODUCED.get(full)
+    if path is None:
+        path = scratch_dir(spark, "topic-" + "-".join(str(k) for k in key[-1:]))
+        write_records(produce(), path)
+        _PRODUCED[full] = path
+    return read_records(spark, path)
