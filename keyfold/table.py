@@ -45,6 +45,7 @@ COMMITS_SCHEMA = T.StructType(
         T.StructField("schema_json", T.StringType()),  # table schema after this commit
         T.StructField("batch_columns", T.StringType()),  # payload columns of this batch (json list)
         T.StructField("files", T.LongType()),
+        T.StructField("key_bytes", T.LongType()),  # bytes of this commit's collapsed keys
         T.StructField("ts_ms", T.LongType()),
     ]
 )
@@ -66,6 +67,7 @@ class CommitInfo:
     batch_columns: list[str]
     ts_ms: int
     files: int | None = None
+    key_bytes: int | None = None
 
 
 def _info(r: dict) -> CommitInfo:
@@ -80,6 +82,7 @@ def _info(r: dict) -> CommitInfo:
         batch_columns=json.loads(r["batch_columns"]) if r.get("batch_columns") else [],
         ts_ms=r.get("ts_ms") or 0,
         files=r.get("files"),
+        key_bytes=r.get("key_bytes"),
     )
 
 
@@ -228,7 +231,7 @@ class ChangeTable:
         # on the way (observed metrics, no second pass).
         (
             collapsed.withColumn("_commit", F.lit(n).cast("long"))
-            .observe(written, F.count(F.lit(1)).alias("rows"))
+            .observe(written, F.count(F.lit(1)).alias("rows"), _key_bytes(self.spec, collapsed).alias("key_bytes"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("_commit")
@@ -236,6 +239,7 @@ class ChangeTable:
         )
         seen_events = counted.get.get("events", 0)
         deduped = written.get.get("rows", 0)
+        key_bytes = written.get.get("key_bytes", 0)
         self._write_commit(
             {
                 "_commit": n,
@@ -247,6 +251,7 @@ class ChangeTable:
                 "schema_json": table_schema.json(),
                 "batch_columns": json.dumps(payload),
                 "files": None,
+                "key_bytes": key_bytes,
                 "ts_ms": int(time.time() * 1000),
             }
         )
@@ -279,6 +284,7 @@ class ChangeTable:
     # be small: the commits table records each commit's collapsed row count,
     # a hard upper bound on its distinct keys.
     BROADCAST_KEYS_MAX_ROWS = 1_000_000
+    BROADCAST_KEYS_MAX_BYTES = 64 * 1024 * 1024
 
     def _meta_fields(self) -> list:
         return [
@@ -293,10 +299,11 @@ class ChangeTable:
         ]
 
     def _inputs(self, as_of: int | None = None):
-        """(snapshot frame or None, log frame or None, schema, touched-key bound)."""
+        """(snapshot frame or None, log frame or None, schema, (key rows, key bytes))
+        where the bounds cover every key the log commits touch."""
         snap, logs, schema = self._plan(as_of)
         if schema is None:
-            return None, None, None, 0
+            return None, None, None, (0, 0)
         meta_fields = self._meta_fields()
         log = None
         if logs:
@@ -315,8 +322,11 @@ class ChangeTable:
         if snap is not None:
             snap_schema = T.StructType(list(schema.fields) + meta_fields)
             sdf = self.spark.read.schema(snap_schema).parquet(f"{self.snapshot_path}/_commit={snap}")
-        bound = sum((c.deduped or 0) for c in self._meta() if c.commit in set(logs))
-        return sdf, log, schema, bound
+        wanted = set(logs)
+        rows = sum((c.deduped or 0) for c in self._meta() if c.commit in wanted)
+        size = sum((c.key_bytes if c.key_bytes is not None else float("inf"))
+                   for c in self._meta() if c.commit in wanted)
+        return sdf, log, schema, (rows, size)
 
     def state(self, as_of: int | None = None) -> DataFrame | None:
         """Folded state with tombstones (`_seen`), as of commit `as_of`."""
@@ -329,7 +339,8 @@ class ChangeTable:
             return latest_state(log, self.spec)
         payload = [f.name for f in schema.fields]
         with_cols = sdf.withColumn(COLS, F.array(*[F.lit(c) for c in payload]).cast("array<string>"))
-        if bound > self.BROADCAST_KEYS_MAX_ROWS:
+        rows, size = bound
+        if rows > self.BROADCAST_KEYS_MAX_ROWS or size > self.BROADCAST_KEYS_MAX_BYTES:
             # Many touched keys: one grouped fold over snapshot and log.
             return latest_state(with_cols.unionByName(log), self.spec)
         # Few touched keys (bounded above): keys broadcast, snapshot not shuffled.
@@ -488,3 +499,15 @@ def register_views(spark: SparkSession, root: str, specs) -> list[str]:
         df.filter(~F.col("_deleted")).createOrReplaceTempView(f"{spec.name}_live")
         made.append(spec.name)
     return made
+
+
+def _key_bytes(spec: TableSpec, df: DataFrame):
+    """Aggregate: bytes of the primary-key values of `df` (8 per fixed-width
+    value, the UTF-8 length for strings), an upper bound on broadcasting them."""
+    total = None
+    for k in spec.primary_key:
+        dtype = df.schema[k].dataType
+        width = (F.coalesce(F.octet_length(F.col(f"`{k}`").cast("string")), F.lit(0))
+                 if isinstance(dtype, (T.StringType, T.BinaryType)) else F.lit(8))
+        total = width if total is None else total + width
+    return F.sum(total + F.lit(16))  # plus per-row overhead
