@@ -117,41 +117,38 @@ def fold_changes(state: DataFrame | None, changes: DataFrame, spec: TableSpec) -
     return j.select(*cols, seen)
 
 
-def latest_state(changes: DataFrame, spec: TableSpec) -> DataFrame:
+def latest_state(changes: DataFrame, spec: TableSpec, partial_columns=None) -> DataFrame:
     """Latest change per key over any number of batches, tombstones kept.
 
     If the rows carry `_cols` (the payload columns of the batch each row came
-    from), a column is taken from the newest row whose batch had it (E6);
-    otherwise every column comes from the winning row. One grouped aggregate;
-    its partial stage runs before the shuffle.
+    from), a column that some batches lack is taken from the newest row whose
+    batch had it (E6); `partial_columns` names those columns when the caller
+    knows them (default: every payload column). All other columns come from
+    the winning row. One grouped aggregate; its partial stage runs before the
+    shuffle.
     """
     changes = with_fingerprint(changes)
     pk = list(spec.primary_key)
     others = [c for c in changes.columns if c not in pk and c not in (SEEN, COLS)]
     seen = F.col(SEEN) if SEEN in changes.columns else ~F.col("_deleted")
     ranked = changes.withColumn(ORD, change_order()).withColumn("_seen_in", seen)
+    payload = [c for c in others if not c.startswith("_")]
     if COLS in changes.columns:
-        meta = [c for c in others if c.startswith("_")]
-        payload = [c for c in others if not c.startswith("_")]
-        aggs = [F.max_by(F.struct(*[_q(c) for c in meta]), F.col(ORD)).alias("_w")]
-        for c in payload:
-            lit = c.replace("'", "\\'")
-            aggs.append(
-                F.expr(f"max_by(`{c}`, {ORD}) FILTER (WHERE array_contains({COLS}, '{lit}'))").alias(c)
-            )
-        aggs.append(F.bool_or("_seen_in").alias(SEEN))
-        agg = ranked.groupBy(*[_q(c) for c in pk]).agg(*aggs)
-        return agg.select(
-            *[_q(c) for c in pk],
-            *[_q(c) for c in payload],
-            *[F.col("_w").getField(c).alias(c) for c in meta],
-            SEEN,
-        )
-    agg = ranked.groupBy(*[_q(c) for c in pk]).agg(
-        F.max_by(F.struct(*[_q(c) for c in others]), F.col(ORD)).alias("_w"),
-        F.bool_or("_seen_in").alias(SEEN),
+        partial = [c for c in payload if partial_columns is None or c in set(partial_columns)]
+    else:
+        partial = []
+    whole = [c for c in others if c not in partial]
+    aggs = [F.max_by(F.struct(*[_q(c) for c in whole]), F.col(ORD)).alias("_w")]
+    for c in partial:
+        lit = c.replace("'", "\\'")
+        aggs.append(F.expr(f"max_by(`{c}`, {ORD}) FILTER (WHERE array_contains({COLS}, '{lit}'))").alias(c))
+    aggs.append(F.bool_or("_seen_in").alias(SEEN))
+    agg = ranked.groupBy(*[_q(c) for c in pk]).agg(*aggs)
+    return agg.select(
+        *[_q(c) for c in pk],
+        *[(F.col(c) if c in partial else F.col("_w").getField(c)).alias(c) for c in others],
+        SEEN,
     )
-    return agg.select(*[_q(c) for c in pk], *[F.col("_w").getField(c).alias(c) for c in others], SEEN)
 
 
 def visible(state: DataFrame, spec: TableSpec) -> DataFrame:
@@ -162,9 +159,17 @@ def visible(state: DataFrame, spec: TableSpec) -> DataFrame:
     return out.drop(*[c for c in INTERNAL if c in out.columns])
 
 
-def resolve_latest(changes: DataFrame, spec: TableSpec) -> DataFrame:
+def resolve_latest(changes: DataFrame, spec: TableSpec, partial_columns=None) -> DataFrame:
     """Whole-log, order-independent table state."""
-    return visible(latest_state(changes, spec), spec)
+    return visible(latest_state(changes, spec, partial_columns=partial_columns), spec)
+
+
+def partial_columns(column_sets) -> list[str]:
+    """Payload columns that some batch lacks: the only ones that need E6."""
+    sets = [{c for c in cols if not c.startswith("_")} for cols in column_sets]
+    if not sets:
+        return []
+    return sorted(set().union(*sets) - set.intersection(*sets))
 
 
 def stack_batches(batches: list[DataFrame]) -> DataFrame:

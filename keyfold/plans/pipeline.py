@@ -17,6 +17,7 @@ from keyfold.operators.merge import (
     apply_changes,
     fold_changes,
     latest_state,
+    partial_columns,
     stack_batches,
     visible,
 )
@@ -60,4 +61,5 @@ def fold_in_order(batches: Sequence[DataFrame], spec: TableSpec, order: Sequence
 def resolve_log(batches: Sequence[DataFrame], spec: TableSpec) -> DataFrame:
     """Whole-log resolve (M10) with per-batch column presence."""
     flat = flattened_batches(batches, spec)
-    return visible(latest_state(stack_batches(flat), spec), spec)
+    partial = partial_columns([f.columns for f in flat])
+    return visible(latest_state(stack_batches(flat), spec, partial_columns=partial), spec)

@@ -31,7 +31,7 @@ from keyfold.functions.predicates import COLS, HASH, SEEN
 from keyfold.functions.schema import conform, evolve
 from keyfold.operators import layout
 from keyfold.operators.dedupe import deduplicate_with_seen
-from keyfold.operators.merge import latest_state, visible
+from keyfold.operators.merge import latest_state, partial_columns, visible
 from keyfold.spec import TableSpec
 
 COMMITS_SCHEMA = T.StructType(
@@ -335,20 +335,25 @@ class ChangeTable:
             return None
         if log is None:
             return sdf
+        # Columns that some log commit lacks (snapshot rows carry every column).
+        _, logs, _ = self._plan(as_of)
+        wanted = set(logs)
+        payload_all = [f.name for f in schema.fields]
+        partial = partial_columns([payload_all] + [c.batch_columns for c in self._meta() if c.commit in wanted])
         if sdf is None:
-            return latest_state(log, self.spec)
+            return latest_state(log, self.spec, partial_columns=partial)
         payload = [f.name for f in schema.fields]
         with_cols = sdf.withColumn(COLS, F.array(*[F.lit(c) for c in payload]).cast("array<string>"))
         rows, size = bound
         if rows > self.BROADCAST_KEYS_MAX_ROWS or size > self.BROADCAST_KEYS_MAX_BYTES:
             # Many touched keys: one grouped fold over snapshot and log.
-            return latest_state(with_cols.unionByName(log), self.spec)
+            return latest_state(with_cols.unionByName(log), self.spec, partial_columns=partial)
         # Few touched keys (bounded above): keys broadcast, snapshot not shuffled.
         pk = list(self.spec.primary_key)
         keys = F.broadcast(log.select(*pk).distinct())
         untouched = sdf.join(keys, pk, "left_anti")
         touched = with_cols.join(keys, pk, "left_semi")
-        folded = latest_state(touched.unionByName(log), self.spec)
+        folded = latest_state(touched.unionByName(log), self.spec, partial_columns=partial)
         return untouched.unionByName(folded.select(*untouched.columns))
 
     def read(self, as_of: int | None = None) -> DataFrame:

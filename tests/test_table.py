@@ -172,3 +172,16 @@ def test_zorder_clusters_both_columns(spark, make_batch):
     hit_o = sum(1 for r in ranges if r["o0"] <= 123 <= r["o1"])
     assert hit_c < len(ranges) and hit_o < len(ranges)
     assert t.read().count() == 1600
+
+
+def test_column_absent_from_later_commit_keeps_value(spark, make_batch):
+    t = ChangeTable(spark, scratch_dir(spark, "absent"), ORDERS)
+    write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1, priority="high"))),
+                          ("2", envelope("c", lsn=2, after=order(2, priority="low")))])
+    write(t, make_batch, [("1", envelope("u", lsn=3, after=order(1, "paid")))])
+    got = {r["order_id"]: (r["status"], r["priority"]) for r in t.read().collect()}
+    assert got == {1: ("paid", "high"), 2: ("new", "low")}
+    t.optimize()
+    write(t, make_batch, [("2", envelope("u", lsn=4, after=order(2, "shipped")))])
+    got = {r["order_id"]: (r["status"], r["priority"]) for r in t.read().collect()}
+    assert got == {1: ("paid", "high"), 2: ("shipped", "low")}
