@@ -214,7 +214,8 @@ class ChangeTable:
                     return {"table": self.spec.name, "commit": c.commit, "skipped": True,
                             "events": c.events, "deduped": c.deduped}
         n = (meta[-1].commit + 1) if meta else 0
-        changes = changes.drop("_ingested_at") if "_ingested_at" in changes.columns else changes
+        if "_ingested_at" not in changes.columns:
+            changes = changes.withColumn("_ingested_at", F.current_timestamp())
         payload = [c for c in changes.columns if not c.startswith("_")]
         batch_schema = T.StructType([changes.schema[c] for c in payload])
         prior = next((c.schema for c in reversed(meta) if c.schema is not None), None)
@@ -294,6 +295,7 @@ class ChangeTable:
             T.StructField("_event_ts_ms", T.LongType()),
             T.StructField("_is_snapshot", T.BooleanType()),
             T.StructField("_deleted", T.BooleanType()),
+            T.StructField("_ingested_at", T.TimestampType()),
             T.StructField(HASH, T.LongType()),
             T.StructField(SEEN, T.BooleanType()),
         ]

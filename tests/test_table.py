@@ -185,3 +185,13 @@ def test_column_absent_from_later_commit_keeps_value(spark, make_batch):
     write(t, make_batch, [("2", envelope("u", lsn=4, after=order(2, "shipped")))])
     got = {r["order_id"]: (r["status"], r["priority"]) for r in t.read().collect()}
     assert got == {1: ("paid", "high"), 2: ("shipped", "low")}
+
+
+def test_ingestion_time_kept_for_freshness_and_lag(spark, make_batch):
+    from keyfold.plans.analytics import freshness
+    t = ChangeTable(spark, scratch_dir(spark, "fresh"), ORDERS)
+    write(t, make_batch, [("1", envelope("c", lsn=7, after=order(1)))])
+    t.optimize()
+    write(t, make_batch, [("2", envelope("c", lsn=9, after=order(2)))])
+    r = freshness({"orders": t.read()}, with_lag=True).first()
+    assert r["max_lsn"] == 9 and r["last_write"] is not None and r["max_lag_seconds"] > 0
