@@ -195,3 +195,15 @@ def test_ingestion_time_kept_for_freshness_and_lag(spark, make_batch):
     write(t, make_batch, [("2", envelope("c", lsn=9, after=order(2)))])
     r = freshness({"orders": t.read()}, with_lag=True).first()
     assert r["max_lsn"] == 9 and r["last_write"] is not None and r["max_lag_seconds"] > 0
+
+
+def test_hard_delete_table_keeps_tombstone_against_replay(spark, make_batch):
+    spec = ORDERS.with_(hard_delete=True)
+    t = ChangeTable(spark, scratch_dir(spark, "hard"), spec)
+    write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1))), ("2", envelope("c", lsn=2, after=order(2)))])
+    write(t, make_batch, [("1", envelope("d", lsn=3, before=order(1)))])
+    assert sorted(r["order_id"] for r in t.read().collect()) == [2]
+    t.optimize()
+    # replaying the old insert does not bring the row back (Q4)
+    write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1)))])
+    assert sorted(r["order_id"] for r in t.read().collect()) == [2]
