@@ -33,6 +33,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def make_dirs(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return fs.mkdirs(jpath)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs(spark, path)
     return fs.delete(jpath, True)
