@@ -25,17 +25,17 @@ def shared_root(spark: SparkSession) -> str:
     Only when nothing is configured (local tests) do we pick a local directory
     and register it, so later calls agree.
     """
-    jsc = spark.sparkContext._jsc
-    current = jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return jsc.sc().getCheckpointDir().get()
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
     local = tempfile.mkdtemp(prefix="keyfold-")
-    spark.sparkContext.setCheckpointDir(local)
-    return jsc.sc().getCheckpointDir().get()
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
