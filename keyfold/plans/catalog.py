@@ -25,8 +25,8 @@ from keyfold.plans import analytics as K
 from keyfold.plans.pipeline import flattened_batches, fold_in_order, merge_in_order, resolve_log
 from keyfold.session import scratch_dir
 from keyfold.sources import changelogs as logs
-from keyfold.sources.envelope import classify_records, dead_letters, parse_envelope
-from keyfold.sources.files import stage_records, topic, write_records
+from keyfold.sources.envelope import KAFKA_SHAPE, classify_records, dead_letters, parse_envelope
+from keyfold.sources.files import read_records, stage_records, topic, write_records
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
 from keyfold.streaming.sink import StreamConfig, start_table_stream
@@ -341,11 +341,14 @@ def q_stream_fresh_checkpoint_state(spark, sf_dir):
 
 
 def _user_stream(spark, sf_dir, root):
+    """The user-activity log as a file stream (two files per micro-batch).
+
+    A streaming aggregate needs its payload schema up front: it is inferred
+    once from the topic (E1) and pinned (E2)."""
     topic_dir = f"{root}/topics/user_activity"
     write_records(logs.events_changes(spark, sf_dir), topic_dir)
-    schema = infer_payload_schema(parse_envelope(spark.read.parquet(topic_dir)))
+    schema = infer_payload_schema(parse_envelope(read_records(spark, topic_dir)))
     pinned = USERS.with_(schema=schema)
-    from keyfold.sources.envelope import KAFKA_SHAPE
     stream = spark.readStream.schema(KAFKA_SHAPE).option("maxFilesPerTrigger", 2).parquet(topic_dir)
     return flatten_changes(parse_envelope(stream), pinned), pinned
 
@@ -489,8 +492,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # ---------------------------------------------------------------- oracles
 
-_N = "(select count(*) from orders where {c})"
-
 ORDERS_EXPECTED = """
 select o_orderkey as order_id, o_custkey as customer_id,
   case when o_orderkey%7=0 then null when o_orderkey%3=0 then o_orderpriority end as priority,
