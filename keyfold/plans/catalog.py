@@ -366,6 +366,11 @@ def q_stream_latest_per_key(spark, sf_dir):
 def q_windowed_op_counts(spark, sf_dir):
     root = scratch_dir(spark, "window")
     changes, _ = _user_stream(spark, sf_dir, root)
+    # The derived topic is produced by one parallel write, so its files carry
+    # no time order and any micro-batch can hold events from the whole extract:
+    # the lateness bound must cover that span or events would be dropped. On a
+    # time-ordered source (a topic fed by the database log) it is the source's
+    # real disorder, e.g. "1 hour".
     view = continuous.windowed_op_counts_view(changes, window="1 hour", watermark="3650 days",
                                               group_by="event_type")
     q = continuous.start_view(view, f"{root}/out", f"{root}/checkpoint")
