@@ -70,7 +70,11 @@ def _project(joined: DataFrame, target_cols, change_cols, pk, take_s: Column) ->
     return out
 
 
-def apply_changes(target: DataFrame | None, changes: DataFrame, spec: TableSpec) -> DataFrame:
+BROADCAST_KEYS_MAX_ROWS = 1_000_000
+
+
+def apply_changes(target: DataFrame | None, changes: DataFrame, spec: TableSpec, *,
+                  changes_rows: int | None = None) -> DataFrame:
     """Merge one deduplicated batch into `target` (M1-M6).
 
     Rules (t = stored row, s = change row, joined on the primary key):
@@ -79,6 +83,12 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, spec: TableSpec)
       both, s newer     -> hard_delete and s._deleted: drop; else take s
       both, not newer   -> keep t  (out-of-order and replayed events are no-ops)
     On an empty table the batch is inserted minus its deletes.
+
+    `changes_rows`, when the caller knows it (a counted, bounded micro-batch),
+    lets a small batch touch only its keys: target rows with other keys pass
+    through a broadcast anti join untouched instead of being shuffled into the
+    full-outer join. Without it, or above `BROADCAST_KEYS_MAX_ROWS`, one
+    full-outer join does everything.
     """
     changes = changes.drop(*[c for c in INTERNAL if c in changes.columns])
     if target is None:
@@ -86,6 +96,16 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, spec: TableSpec)
     target = target.drop(*[c for c in INTERNAL if c in target.columns])
     target, changes = _aligned(target, changes)
     pk = list(spec.primary_key)
+    if changes_rows is not None and changes_rows <= BROADCAST_KEYS_MAX_ROWS:
+        keys = F.broadcast(changes.select(*pk))  # unique per key after the collapse
+        untouched = target.join(keys, pk, "left_anti")
+        merged = _merge_rows(target.join(keys, pk, "left_semi"), changes, spec, pk)
+        # New batch columns are NULL for untouched rows.
+        return untouched.unionByName(merged, allowMissingColumns=True)
+    return _merge_rows(target, changes, spec, pk)
+
+
+def _merge_rows(target: DataFrame, changes: DataFrame, spec: TableSpec, pk) -> DataFrame:
     j = _joined(target, changes, spec)
     t, s = F.col("_t"), F.col("_s")
     newer = s.getField("_lsn") > t.getField("_lsn")

@@ -158,3 +158,19 @@ def test_nested_object_gains_a_field(make_batch, spark):
     st = merge_all(make_batch, [[("1", envelope("c", lsn=1, after=order(1, ship={"city": "A"})))],
                                 [("1", envelope("u", lsn=2, after=order(1, ship={"city": "C", "zip": 9})))]])
     assert [(r["ship"]["city"], r["ship"]["zip"]) for r in st.collect()] == [("C", 9)]
+
+
+def test_small_batch_touches_only_its_keys(make_batch):
+    base = merge_all(make_batch, [[(str(i), envelope("c", lsn=i, after=order(i))) for i in range(1, 30)]])
+    batch = deduplicate_batch(changes(make_batch, [
+        ("3", envelope("u", lsn=100, after=order(3, "paid", priority="p"))),
+        ("4", envelope("d", lsn=101, before=order(4))),
+        ("77", envelope("c", lsn=102, after=order(77))),
+        ("5", envelope("u", lsn=2, after=order(5, "stale")))]), ORDERS)
+    fast = apply_changes(base, batch, ORDERS, changes_rows=4)
+    full = apply_changes(base, batch, ORDERS)
+    cols = ("order_id", "status", "priority", "_lsn", "_deleted")
+    assert rows(fast, *cols) == rows(full, *cols)
+    assert (3, "paid", "p", 100, False) in rows(fast, *cols) and len(rows(fast, *cols)) == 30
+    plan = fast._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan
