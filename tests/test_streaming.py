@@ -121,3 +121,15 @@ def test_progress_listener_and_frame(spark):
         spark.streams.removeListener(recorder)
     assert any(r[0] == "keyfold-orders" and r[3] == 1 for r in recorder.rows)
     assert progress_frame(spark, [h]).filter("input_rows = 1").count() >= 1
+
+
+def test_dropped_records_land_in_dead_letters(spark):
+    root, cfg, topic = setup(spark)
+    write_records(records(spark, [("1", envelope("c", lsn=1, after=order(1))), ("1", None), ("2", "{bad"),
+                                  ("3", envelope("t", lsn=3)),
+                                  ("4", envelope("c", lsn=4, after={"status": "x", "order_id": None}))]), topic)
+    h = drain(spark, cfg)
+    assert h.stats.events == 1 and h.stats.dropped == 4
+    dlq = spark.read.parquet(f"{cfg.lake_root}/orders/dead_letters")
+    assert sorted(r["_reason"] for r in dlq.collect()) == ["malformed", "null_key", "tombstone", "truncate"]
+    assert state(spark, cfg) == [(1, "new", False)]
