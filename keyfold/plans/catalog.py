@@ -270,6 +270,16 @@ def q_sql_views_order_book(spark, sf_dir):
     )
 
 
+def q_commit_applied_counts(spark, sf_dir):
+    """Rows merged versus rows that changed the table, per commit (Q6); the
+    last commit replays batch 1 and changes nothing."""
+    t = _write_orders_table(spark, sf_dir, "applied")
+    replay = _orders_batches(spark, sf_dir)[1]
+    t.append_changes(flatten_changes(parse_envelope(replay), ORDERS))
+    rows = [(c.commit, c.deduped, t.applied_rows(c.commit)) for c in t._meta() if c.kind == "merge"]
+    return spark.createDataFrame(rows, "version long, deduped long, applied long")
+
+
 def q_compaction_preserves_content(spark, sf_dir):
     t = _write_orders_table(spark, sf_dir, "compact")
     t.optimize(zorder=False)
@@ -661,6 +671,22 @@ ORACLE: dict[str, str] = {
     "sql_views_order_book": f"""
         select status, count(*) as orders, cast(sum({_money('total_amount')}) as {MONEY}) as revenue
         from ({ORDERS_EXPECTED}) s where not _deleted group by status""",
+    "commit_applied_counts": """
+        select cast(0 as bigint) as version, count(*) as deduped, count(*) as applied from orders
+        union all
+        select 1,
+               count(*) filter (where o_orderkey%3=0 or o_orderkey%7=0) + count(*) filter (where o_orderkey%11=0),
+               count(*) filter (where o_orderkey%3=0 or o_orderkey%7=0) + count(*) filter (where o_orderkey%11=0)
+        from orders
+        union all
+        select 2, count(*) filter (where o_orderkey%5=0),
+               count(*) filter (where o_orderkey%5=0 and o_orderkey%3<>0 and o_orderkey%7<>0)
+        from orders
+        union all
+        select 3,
+               count(*) filter (where o_orderkey%3=0 or o_orderkey%7=0) + count(*) filter (where o_orderkey%11=0),
+               cast(0 as bigint)
+        from orders""",
     "compaction_preserves_content": STATE,
     "zorder_preserves_content": STATE,
     "stream_drain_state": STATE,

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyfold.functions.predicates import COLS, HASH, SEEN
+from keyfold.functions.predicates import COLS, HASH, SEEN, change_order
 from keyfold.functions.schema import conform, evolve
 from keyfold.operators import layout
 from keyfold.operators.dedupe import deduplicate_with_seen
@@ -412,6 +412,25 @@ class ChangeTable:
         rows = [(name, dtype, commit) for name, (dtype, commit) in first.items()]
         return self.spark.createDataFrame(rows, "column_name string, data_type string, first_commit long")
 
+    def applied_rows(self, commit: int) -> int:
+        """How many rows of merge commit `commit` became their key's latest
+        state (Q6): `deduped` counts collapsed rows, so a pure replay reports
+        rows merged; this counts the ones that changed something. Joins the
+        commit's rows with the folded state as of the previous commit."""
+        info = next((c for c in self._meta() if c.commit == commit and c.kind == "merge"), None)
+        if info is None:
+            raise VersionNotAvailable(f"{self.spec.name}: no merge commit {commit}")
+        pk = list(self.spec.primary_key)
+        rows = self.spark.read.parquet(f"{self.log_path}/_commit={commit}").select(
+            *pk, change_order().alias("_new"))
+        prior = [c.commit for c in self._meta() if c.commit < commit]
+        before = self.state(as_of=prior[-1]) if prior else None
+        if before is None:
+            return rows.count()
+        old = before.select(*pk, change_order().alias("_old"))
+        joined = rows.join(old, pk, "left")
+        return joined.filter(F.col("_old").isNull() | (F.col("_new") > F.col("_old"))).count()
+
     def ingest_summary(self) -> DataFrame:
         """Commits, events, rows merged and events collapsed (K11), from the
         commits table."""
