@@ -117,9 +117,12 @@ def _merge_rows(target: DataFrame, changes: DataFrame, spec: TableSpec, pk) -> D
     return j.filter(keep).select(*_project(j, target.columns, changes.columns, pk, take_s))
 
 
-def fold_changes(state: DataFrame | None, changes: DataFrame, spec: TableSpec) -> DataFrame:
+def fold_changes(state: DataFrame | None, changes: DataFrame, spec: TableSpec, *,
+                 changes_rows: int | None = None) -> DataFrame:
     """Order-independent fold (M13). `changes` come from `deduplicate_with_seen`;
-    the state keeps tombstones (`_seen = false`); read it through `visible`."""
+    the state keeps tombstones (`_seen = false`); read it through `visible`.
+    `changes_rows` as in `apply_changes`: a counted batch under the bound
+    joins only its own keys."""
     changes = with_fingerprint(changes)
     if SEEN not in changes.columns:
         changes = changes.withColumn(SEEN, ~F.col("_deleted"))
@@ -127,6 +130,15 @@ def fold_changes(state: DataFrame | None, changes: DataFrame, spec: TableSpec) -
         return changes
     state, changes = _aligned(state, changes)
     pk = list(spec.primary_key)
+    if changes_rows is not None and changes_rows <= BROADCAST_KEYS_MAX_ROWS:
+        keys = F.broadcast(changes.select(*pk))
+        untouched = state.join(keys, pk, "left_anti")
+        folded = _fold_rows(state.join(keys, pk, "left_semi"), changes, spec, pk)
+        return untouched.unionByName(folded, allowMissingColumns=True)
+    return _fold_rows(state, changes, spec, pk)
+
+
+def _fold_rows(state: DataFrame, changes: DataFrame, spec: TableSpec, pk) -> DataFrame:
     j = _joined(state, changes, spec)
     t, s = F.col("_t"), F.col("_s")
     t_ord = F.struct(*[t.getField(c) for c in ("_lsn", "_event_ts_ms", "_deleted", HASH)])

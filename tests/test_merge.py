@@ -174,3 +174,16 @@ def test_small_batch_touches_only_its_keys(make_batch):
     assert (3, "paid", "p", 100, False) in rows(fast, *cols) and len(rows(fast, *cols)) == 30
     plan = fast._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan
+
+
+def test_fold_small_batch_touches_only_its_keys(make_batch):
+    first = deduplicate_with_seen(changes(make_batch, [(str(i), envelope("c", lsn=i, after=order(i)))
+                                                       for i in range(1, 20)]), ORDERS)
+    state = fold_changes(None, first, ORDERS)
+    batch = deduplicate_with_seen(changes(make_batch, [
+        ("3", envelope("u", lsn=100, after=order(3, "paid"))), ("50", envelope("d", lsn=101, before=order(50)))]),
+        ORDERS)
+    fast = visible(fold_changes(state, batch, ORDERS, changes_rows=2), ORDERS)
+    full = visible(fold_changes(state, batch, ORDERS), ORDERS)
+    assert rows(fast, "order_id", "status", "_lsn") == rows(full, "order_id", "status", "_lsn")
+    assert len(rows(fast, "order_id")) == 19
