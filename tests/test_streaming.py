@@ -133,3 +133,14 @@ def test_dropped_records_land_in_dead_letters(spark):
     dlq = spark.read.parquet(f"{cfg.lake_root}/orders/dead_letters")
     assert sorted(r["_reason"] for r in dlq.collect()) == ["malformed", "null_key", "tombstone", "truncate"]
     assert state(spark, cfg) == [(1, "new", False)]
+
+
+def test_retried_batch_does_not_duplicate_dead_letters_or_rows(spark):
+    from keyfold.streaming.sink import process_batch
+    t = ChangeTable(spark, scratch_dir(spark, "retry") + "/orders", ORDERS)
+    batch = records(spark, [("1", envelope("c", lsn=1, after=order(1))), ("2", "{bad"), ("3", None)])
+    first = process_batch(spark, batch, t, query_id="q", batch_id=7)
+    again = process_batch(spark, batch, t, query_id="q", batch_id=7)
+    assert first["dropped"] == 2 and again["skipped"]
+    assert spark.read.parquet(f"{t.path}/dead_letters").count() == 2
+    assert t.read().count() == 1 and t.commits().count() == 1
