@@ -154,6 +154,36 @@ def classify_records(
     )
 
 
+def parse_with_reasons(
+    df: DataFrame,
+    *,
+    primary_key: Sequence[str] | None = None,
+    value_column: str = "value",
+    key_column: str = "key",
+) -> DataFrame:
+    """One envelope parse feeding both outputs: the normalised change-row
+    columns plus `_reason` (NULL = usable) and `_value` (the raw text, kept only
+    for unusable records). `usable_rows` and `unusable_rows` split it; persist
+    it once when both are needed."""
+    env = _with_envelope(df, value_column)
+    reason = _reason(primary_key)
+    return env.select(
+        *_normalised(key_column),
+        reason.alias("_reason"),
+        F.when(reason.isNotNull(), F.col("_value_str")).alias("_value"),
+    )
+
+
+def usable_rows(classified: DataFrame) -> DataFrame:
+    """Exactly what `parse_envelope` returns (a NULL key is found later, at flatten)."""
+    return classified.filter(F.col("_reason").isNull() | (F.col("_reason") == "null_key")).select(
+        *CHANGE_ROW_COLUMNS)
+
+
+def unusable_rows(classified: DataFrame) -> DataFrame:
+    return classified.filter(F.col("_reason").isNotNull()).select("_key", "_value", "_reason")
+
+
 def dead_letters(
     df: DataFrame,
     *,

@@ -99,3 +99,12 @@ def test_reasons_agree_with_parse_path(make_batch):
     kept = {r["_key"] for r in parse_envelope(batch).collect()}
     usable = {r["_key"] for r in classify_records(batch).collect() if r["_reason"] is None}
     assert kept == usable == {"4", "6", "8", "9"}
+
+
+def test_one_parse_splits_into_usable_and_unusable(make_batch):
+    from keyfold.sources.envelope import parse_with_reasons, unusable_rows, usable_rows
+    batch = make_batch([("1", None), ("2", "{bad"), ("3", envelope("c", lsn=3, after=order(3))),
+                        ("4", envelope("c", lsn=4, after={"order_id": None}))])
+    c = parse_with_reasons(batch, primary_key=["order_id"])
+    assert sorted(r["_key"] for r in usable_rows(c).collect()) == sorted(r["_key"] for r in parse_envelope(batch).collect())
+    assert {r["_key"]: r["_reason"] for r in unusable_rows(c).collect()} == {"1": "tombstone", "2": "malformed", "4": "null_key"}
