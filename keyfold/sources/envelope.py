@@ -19,6 +19,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from keyfold.functions.predicates import OP_DELETE, OP_TRUNCATE
 
+# Field names and types of the change envelope and its `source`
+# block, as the capture connector emits them.
 SOURCE_SCHEMA = StructType(
     [
         StructField("version", StringType()),
