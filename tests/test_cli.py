@@ -28,3 +28,14 @@ def test_cli_history_maintain_query(spark, make_batch, capsys):
     assert main(["query", "--lake", lake, "op_mix", "bench_full_count_all_rows"], spark=spark) == 1
     out = json.loads(capsys.readouterr().out)
     assert "rows" in out["op_mix"] and "error" in out["bench_full_count_all_rows"]
+
+
+def test_cli_stats_reports_data_files_per_table(spark, make_batch, capsys):
+    lake = scratch_dir(spark, "cli-stats")
+    t = ChangeTable(spark, f"{lake}/customers", get_spec("customers"))
+    for i in range(2):
+        recs = [(str(i), envelope("c", lsn=i + 1, after={"customer_id": i, "full_name": "x"}, table="customers"))]
+        t.append_changes(flatten_changes(parse_envelope(make_batch(recs)), t.spec))
+    assert main(["stats", "--lake", lake], spark=spark) == 0
+    rows = {r["table_name"]: r for r in json.loads(capsys.readouterr().out)}
+    assert set(rows) == {"customers"} and rows["customers"]["files"] >= 2
