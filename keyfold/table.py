@@ -389,60 +389,22 @@ class ChangeTable:
         self._meta_key = None
         return len(listing)
 
-    def active_files(self, as_of: int | None = None) -> DataFrame:
-        """(path, length) of the files a read of version `as_of` opens."""
+    def _active_dirs(self, as_of: int | None = None) -> list[str]:
+        """Directories a read of version `as_of` opens: the snapshot and the log
+        commits after it."""
         snap, logs, _ = self._plan(as_of)
         dirs = [f"{self.log_path}/_commit={c}" for c in logs]
         if snap is not None:
             dirs.append(f"{self.snapshot_path}/_commit={snap}")
+        return dirs
+
+    def active_files(self, as_of: int | None = None) -> DataFrame:
+        """(path, length) of the files a read of version `as_of` opens."""
         out = layout.list_files(self.spark, self.path).limit(0)
-        for d in dirs:
+        for d in self._active_dirs(as_of):
             out = out.unionByName(layout.list_files(self.spark, d))
         return out
 
-    def schema_registry(self) -> DataFrame:
-        """(column_name, data_type, first_commit) for every payload column the
-        table has had: the running union of batch schemas (E7)."""
-        first: dict[str, tuple[str, int]] = {}
-        for c in self._meta():
-            if c.schema is None:
-                continue
-            for f in c.schema.fields:
-                first.setdefault(f.name, (f.dataType.simpleString(), c.commit))
-        rows = [(name, dtype, commit) for name, (dtype, commit) in first.items()]
-        return self.spark.createDataFrame(rows, "column_name string, data_type string, first_commit long")
-
-    def applied_rows(self, commit: int) -> int:
-        """How many rows of merge commit `commit` became their key's latest
-        state (Q6): `deduped` counts collapsed rows, so a pure replay reports
-        rows merged; this counts the ones that changed something. Joins the
-        commit's rows with the folded state as of the previous commit."""
-        info = next((c for c in self._meta() if c.commit == commit and c.kind == "merge"), None)
-        if info is None:
-            raise VersionNotAvailable(f"{self.spec.name}: no merge commit {commit}")
-        pk = list(self.spec.primary_key)
-        rows = self.spark.read.parquet(f"{self.log_path}/_commit={commit}").select(
-            *pk, change_order().alias("_new"))
-        prior = [c.commit for c in self._meta() if c.commit < commit]
-        before = self.state(as_of=prior[-1]) if prior else None
-        if before is None:
-            return rows.count()
-        old = before.select(*pk, change_order().alias("_old"))
-        joined = rows.join(old, pk, "left")
-        return joined.filter(F.col("_old").isNull() | (F.col("_new") > F.col("_old"))).count()
-
-    def ingest_summary(self) -> DataFrame:
-        """Commits, events, rows merged and events collapsed (K11), from the
-        commits table."""
-        merges = self.commits().dropDuplicates(["_commit"]).filter(F.col("kind") == "merge")
-        return merges.agg(
-            F.lit(self.spec.name).alias("table_name"),
-            F.count(F.lit(1)).alias("commits"),
-            F.coalesce(F.sum("events"), F.lit(0)).cast("long").alias("events"),
-            F.coalesce(F.sum("deduped"), F.lit(0)).cast("long").alias("rows_merged"),
-            F.coalesce(F.sum(F.col("events") - F.col("deduped")), F.lit(0)).cast("long").alias("collapsed"),
-        )
-
     def history(self, limit: int = 20) -> DataFrame:
         return self.commits().orderBy(F.desc("_commit")).limit(limit)
 
@@ -460,8 +422,10 @@ class ChangeTable:
         raw = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         n = meta[-1].commit + 1
         before = layout.bytes_under(self.spark, self.path)
-        n_files = layout.plan_files(layout.bytes_under(self.spark, self.log_path)
-                                    + layout.bytes_under(self.spark, self.snapshot_path), target_file_mb)
+        # Sized from what the current version reads, not from superseded
+        # directories a vacuum has not removed yet.
+        live_bytes = sum(layout.bytes_under(self.spark, d) for d in self._active_dirs())
+        n_files = layout.plan_files(live_bytes, target_file_mb)
         started = time.monotonic()
         data = layout.clustered(
             st, n_files,
