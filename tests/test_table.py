@@ -207,3 +207,16 @@ def test_hard_delete_table_keeps_tombstone_against_replay(spark, make_batch):
     # replaying the old insert does not bring the row back (Q4)
     write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1)))])
     assert sorted(r["order_id"] for r in t.read().collect()) == [2]
+
+
+def test_registry_summary_and_applied_counts(spark, make_batch):
+    t = ChangeTable(spark, scratch_dir(spark, "meta"), ORDERS)
+    first = [("1", envelope("c", lsn=1, after=order(1))), ("2", envelope("c", lsn=2, after=order(2)))]
+    write(t, make_batch, first)
+    write(t, make_batch, [("1", envelope("u", lsn=3, after=order(1, "paid", priority="p")))])
+    write(t, make_batch, first)  # replay
+    reg = {r["column_name"]: (r["data_type"], r["first_commit"]) for r in t.schema_registry().collect()}
+    assert reg["priority"] == ("string", 1) and reg["order_id"] == ("bigint", 0)
+    s = t.ingest_summary().first()
+    assert (s["commits"], s["events"], s["rows_merged"]) == (3, 5, 5)
+    assert [t.applied_rows(c) for c in range(3)] == [2, 1, 0]
