@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import langid, mixing, packing, topk, url_filter, warc
+from keyfold.llm import langid, minhash, mixing, ngram_join, packing, topk, url_filter, warc
 from keyfold.llm.common import table
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -42,6 +42,14 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.with_followers(table(spark, sf_dir, "documents"))
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -78,7 +86,9 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES = {name: _ready(q) for name, q in {
     "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
+    "op4_minhash": op4_minhash,
     "op5_packing": op5_packing,
+    "op6_ngram_join": op6_ngram_join,
     "op7_mixing": op7_mixing,
     "op8_topk": op8_topk,
     "op9_langid": op9_langid,
