@@ -6,9 +6,9 @@ asks all languages. A text's n-grams are counted per language, each count is
 corrected by that language's measured false-positive rate, and the largest
 corrected share decides.
 
-Learning: per language at most ``sample_per_lang`` labelled rows (those with
-the smallest hash of their id and text), a bound that does not depend on the
-input. An n-gram belongs to a language when at least ``min_share`` of its
+Learning: per language about ``sample_per_lang`` labelled rows (those whose
+hash of id and text lies in a share of the range set by the language's row
+count; all, if there are fewer), a bound that does not depend on the input. An n-gram belongs to a language when at least ``min_share`` of its
 sampled texts hold it; so a language has at most (n-grams per text) /
 ``min_share`` of them, which bounds what is collected and broadcast.
 Prediction reads whole texts.
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,20 +128,17 @@ def train(docs: DataFrame, *, learn: Column, text: str = "text", lang: str = "la
           n: int = 3, sample_per_lang: int = 4000, min_share: float = 0.02, max_languages: int = 1024) -> LanguageFilter:
     """Learn from rows where ``learn`` holds and text and language are not null."""
     known = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull())
-    ids = known.select(F.col(lang).alias("lang"), F.xxhash64(id_col, text).alias("h"))
-    first = Window.partitionBy("lang").orderBy("h")
-    # Spark keeps at most sample_per_lang rows per language and task before the shuffle
-    picked = ids.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= sample_per_lang)
-    bounds = picked.groupBy("lang").agg(F.max("h").alias("upto"), F.count("*").alias("rows")).orderBy("lang").limit(max_languages + 1).collect()
+    bounds = known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("rows")).orderBy("lang").limit(max_languages + 1).collect()
     if len(bounds) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     names = [b.lang for b in bounds]
     if not names:
         return LanguageFilter.build([], np.empty(0, np.uint64), np.empty(0, np.int64), n=n)
-    upto = F.create_map(*[x for b in bounds for x in (F.lit(b.lang), F.lit(b.upto))])
+    # a fixed share of the hash range holds about sample_per_lang rows of each language
+    share = F.create_map(*[x for b in bounds for x in (F.lit(b.lang), F.lit(min(1.0, sample_per_lang / b.rows)))])
     index = F.create_map(*[x for i, b in enumerate(bounds) for x in (F.lit(b.lang), F.lit(i))])
-    sample = known.where(F.xxhash64(id_col, text) <= upto[F.col(lang)]).select(
-        F.col(text).alias("text"), index[F.col(lang)].alias("lang"))
+    place = F.pmod(F.xxhash64(id_col, text), F.lit(1 << 30)) / (1 << 30)
+    sample = known.where(place < share[F.col(lang)]).select(F.col(text).alias("text"), index[F.col(lang)].alias("lang"))
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -155,7 +152,7 @@ def train(docs: DataFrame, *, learn: Column, text: str = "text", lang: str = "la
                                                  names=["gram", "lang", "df"])
 
     counts = sample.mapInArrow(count, "gram long, lang int, df long").groupBy("gram", "lang").agg(F.sum("df").alias("df"))
-    least = F.create_map(*[x for i, b in enumerate(bounds) for x in (F.lit(i), F.lit(max(1.0, min_share * b.rows)))])
+    least = F.create_map(*[x for i, b in enumerate(bounds) for x in (F.lit(i), F.lit(max(1.0, min_share * min(b.rows, sample_per_lang))))])
     table = counts.where(F.col("df") >= least[F.col("lang")]).select("gram", "lang").toArrow()
     grams = table.column("gram").to_numpy().view(np.uint64)
     return LanguageFilter.build(names, grams, table.column("lang").to_numpy().astype(np.int64), n=n)

@@ -27,7 +27,7 @@ ignored. N-grams are told apart by 64-bit hashes, classes by 128-bit ones.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,16 +70,20 @@ def _texts(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
-def shared_ngrams(docs: DataFrame, n: int, fragments: int, text: str, id_col: str) -> DataFrame:
-    """(cls, n, h, df): per class and fragment its n-grams that other classes hold too, with their class counts."""
+def shared_ngrams(docs: DataFrame, features: Callable[[list[bytes]], list[tuple[bytes, np.ndarray]]], fragments: int,
+                  text: str, id_col: str) -> DataFrame:
+    """(cls, n, h, df): per class and fragment its hashes that other classes hold too, with their class counts.
+
+    ``features``: class key (16 bytes) and sorted distinct 64-bit hashes of each text.
+    """
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, np.ndarray] = {}
         size = 0
         for batch in parts:
             for _, _, texts in batches_of_texts(batch):
-                for s in shingle_sets(texts, n):
-                    if len(s) and (key := class_key(s)) not in held:  # a task sends a class once
+                for key, s in features(texts):
+                    if len(s) and key not in held:  # a task sends a class once
                         held[key] = s
                         size += len(s)
                 if size > FLUSH:
@@ -210,7 +214,8 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, threshold: float = 0.75, tex
     size = docs.agg(F.sum(F.length(F.col(text).cast("string")))).first()[0] or 0
     fragments = max(12, -(-size // FRAGMENT_BYTES))
     keys = materialize(set_keys(docs, n, text, id_col), "join-keys")
-    candidates = materialize(linkable(shared_ngrams(docs, n, fragments, text, id_col), threshold), "join-linkable")
+    features = lambda texts: [(class_key(s), s) for s in shingle_sets(texts, n)]
+    candidates = materialize(linkable(shared_ngrams(docs, features, fragments, text, id_col), threshold), "join-linkable")
     found = component_labels(candidates, threshold, hub_rounds)
     classes = keys.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("component_id"))
     if found:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import langid, minhash, mixing, ngram_join, packing, topk, url_filter, warc
+from keyfold.llm import langid, lm, minhash, mixing, ngram_join, packing, repeats, topk, url_filter, warc
 from keyfold.llm.common import table
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -42,6 +42,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), held_out=F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False)))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.with_followers(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,10 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Python workers find this package wherever the driver was started (on a cluster it is installed on all machines)."""
 
@@ -86,12 +94,14 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES = {name: _ready(q) for name, q in {
     "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
+    "op3_lm": op3_lm,
     "op4_minhash": op4_minhash,
     "op5_packing": op5_packing,
     "op6_ngram_join": op6_ngram_join,
     "op7_mixing": op7_mixing,
     "op8_topk": op8_topk,
     "op9_langid": op9_langid,
+    "op10_repeats": op10_repeats,
 }.items()}
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
