@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,18 +17,53 @@ from keyfold.session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Where this package lies.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers find this package wherever the driver was started (on a cluster it is installed on all machines)."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, remembered until ``release()``."""
+    path = scratch_dir(spark, label)
+    _scratch.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: later steps survive lost executors without recomputing."""
     spark = df.sparkSession
-    path = scratch_dir(spark, label)
+    path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Delete what ``materialize()`` has written; call it when all results so far have been used."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@atexit.register
+def _at_exit() -> None:
+    with contextlib.suppress(Exception):  # the session may be gone by now
+        release()
+
+
 def batches_of_texts(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
     """(first row, end row, UTF-8 texts; null: empty) of a batch, in slices of about ``limit`` bytes.
 

@@ -147,3 +147,21 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = (5, 2, 1), share: float =
     taken = first + F.when(F.col("_short") > 0, moved).otherwise(-moved)
     names = [c for c in keep if c not in ("source", "size")]
     return left.select(*names, "source", "size", "source_size", "target", "rate", "copies", taken.cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, *, text: str = "text", source: str = "source", id_col: str = "doc_id", **options) -> DataFrame:
+    """The documents as the mix takes them: a row per copy, and where a copy is taken in part, its first words.
+
+    Documents without words are never taken.
+    """
+    same = F.xxhash64(F.col(text))
+    taken = (mix(docs.withColumn("_h", same), text=text, source=source, keep=(id_col, "_h"), **options)
+             .groupBy(F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("_h").alias("_same"), F.col("size").alias("_size"))
+             .agg(F.sum("taken").alias("_taken")).where("_taken > 0"))
+    rows = docs.withColumn("_h", same).dropDuplicates([id_col, source, "_h"])
+    met = rows.join(taken, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_h") == F.col("_same")))
+    whole, part = (F.col("_taken") / F.col("_size")).cast("long"), F.col("_taken") % F.col("_size")
+    words = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    copies = F.sequence(F.lit(1).cast("long"), whole + F.when(part > 0, 1).otherwise(0))
+    start = F.when(F.col("_copy") > whole, F.array_join(F.slice(words, F.lit(1), part.cast("int")), " ")).otherwise(F.col(text))
+    return met.withColumn("_copy", F.explode(copies)).withColumn(text, start).select(*docs.columns)

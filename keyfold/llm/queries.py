@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.llm import langid, lm, minhash, mixing, ngram_join, packing, repeats, topk, url_filter, warc
-from keyfold.llm.common import table
+from keyfold.llm.common import table, workers_find_package
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 VOCABULARY = "word_bpe_49k.json"
 
 URL_RULES = [
@@ -80,12 +78,8 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Python workers find this package wherever the driver was started (on a cluster it is installed on all machines)."""
-
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
-        if ROOT not in paths:
-            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+        workers_find_package(spark)
         return query(spark, sf_dir)
 
     return run

@@ -299,22 +299,70 @@ def _bytes(text: str):
     return F.coalesce(F.encode(F.col(text).cast("string"), "UTF-8"), F.lit(b""))
 
 
-def remove_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text", id_col: str = "doc_id", with_text: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256 [, kept]) per document.
+def covered_spans(docs: DataFrame, classes: DataFrame, *, min_bytes: int, text: str, id_col: str) -> DataFrame:
+    """(cls, key, starts, ends): what repeats cover in the first copy of each text, smaller documents having them too."""
+    found = maximal_repeats(docs, min_bytes=min_bytes, text=text, id_col=id_col, classes=classes)
+    covered = (found.select("cls", "key", F.filter(F.arrays_zip("starts", "ends", "firsts"), lambda x: x.firsts < F.col("key")).alias("s"))
+               .where(F.size("s") > 0).groupBy("cls", "key").agg(F.flatten(F.collect_list("s")).alias("s"))
+               .select("cls", "key", F.col("s.starts").alias("starts"), F.col("s.ends").alias("ends")))
+    return materialize(covered, "repeat-covered")
+
+
+def _gone(n: int, starts: pa.Array, ends: pa.Array) -> np.ndarray:
+    """Which of n bytes the spans cover."""
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, starts.to_numpy(), 1)
+    np.add.at(change, ends.to_numpy(), -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def without_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The documents with the removed bytes cut out of their text, and of a character cut in half the rest.
+
+    A text of which nothing but white space is left, though something was, is
+    dropped; a null text stays null.
+    """
+    classes = materialize(text_classes(docs, text, id_col), "repeat-classes")
+    covered = covered_spans(docs, classes, min_bytes=min_bytes, text=text, id_col=id_col)
+    marked = docs.withColumns({"_cls": F.unhex(F.md5(_bytes(text))), "_key": _key(id_col)})
+    names = [f"_{i}" for i in range(4)]
+    spans = covered.toDF(*names)
+    first = classes.toDF("_c", "_first")
+    joined = (marked.join(spans, (F.col("_cls") == F.col("_0")) & (F.col("_key") == F.col("_1")), "left")
+              .join(first, F.col("_cls") == F.col("_c"))
+              .where((F.col("_key") == F.col("_first")) | (F.length(_bytes(text)) < min_bytes)))
+    at = joined.columns.index(text)
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            texts, starts, ends = batch.column(at), batch.column(width), batch.column(width + 1)
+            out, keep = [], []
+            for value, a, b in zip(texts, starts, ends):
+                plain = value.as_py()
+                if a.is_valid:
+                    data = np.frombuffer(plain.encode(), np.uint8)
+                    plain = data[~_gone(len(data), a.values, b.values)].tobytes().decode("utf-8", "ignore")
+                out.append(plain)
+                keep.append(not a.is_valid or bool(plain.strip()))
+            columns = [batch.column(i) if i != at else pa.array(out, texts.type) for i in range(width)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:width]).filter(pa.array(keep))
+
+    width = len(docs.columns)
+    return joined.select(*docs.columns, "_2", "_3").mapInArrow(cut, docs.schema)
+
+
+def remove_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document.
 
     Removed: each byte within a ``min_bytes`` string that also starts in a
-    document of smaller id. ``kept``: the remaining bytes, null where nothing
-    was removed.
+    document of smaller id.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _key(id_col).alias("key"), F.unhex(F.md5(_bytes(text))).alias("cls"),
                        F.length(_bytes(text)).cast("long").alias("n_bytes"), F.sha2(_bytes(text), 256).alias("sha"))
     rows = materialize(rows, "repeat-rows")
     classes = materialize(rows.groupBy("cls").agg(F.min("key").alias("key")), "repeat-classes")
-    found = maximal_repeats(docs, min_bytes=min_bytes, text=text, id_col=id_col, classes=classes)
-    covered = (found.select("cls", "key", F.filter(F.arrays_zip("starts", "ends", "firsts"), lambda x: x.firsts < F.col("key")).alias("s"))
-               .where(F.size("s") > 0).groupBy("cls", "key").agg(F.flatten(F.collect_list("s")).alias("s"))
-               .select("cls", "key", F.col("s.starts").alias("starts"), F.col("s.ends").alias("ends")))
-    covered = materialize(covered, "repeat-covered")
+    covered = covered_spans(docs, classes, min_bytes=min_bytes, text=text, id_col=id_col)
+    schema = pa.schema([("cls", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -322,27 +370,18 @@ def remove_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
             out = []
             for cls, blob, starts, ends in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 plain = np.frombuffer(unpack.decompress(blob, max_output_size=1 << 31), np.uint8)
-                change = np.zeros(len(plain) + 1, np.int64)
-                np.add.at(change, starts.values.to_numpy(), 1)
-                np.add.at(change, ends.values.to_numpy(), -1)
-                gone = np.cumsum(change[:-1]) > 0
+                gone = _gone(len(plain), starts.values, ends.values)
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                kept = plain[~gone].tobytes()
-                out.append({"cls": cls, "n_removed": int(gone.sum()), "n_spans": spans, "kept_sha256": hashlib.sha256(kept).hexdigest(),
-                            "kept": kept if with_text else None})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("cls", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                                                                    ("kept_sha256", pa.string()), ("kept", pa.binary())]))
+                out.append({"cls": cls, "n_removed": int(gone.sum()), "n_spans": spans,
+                            "kept_sha256": hashlib.sha256(plain[~gone].tobytes()).hexdigest()})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     results = (compressed(docs, text, id_col).join(covered, ["cls", "key"]).dropDuplicates(["cls", "key"]).select("cls", "blob", "starts", "ends")
-               .mapInArrow(cut, "cls binary, n_removed long, n_spans long, kept_sha256 string, kept binary"))
-    first = classes.withColumnRenamed("key", "first")
+               .mapInArrow(cut, "cls binary, n_removed long, n_spans long, kept_sha256 string"))
     copy = (F.col("key") > F.col("first")) & (F.col("n_bytes") >= min_bytes)
     own = F.col("key") == F.col("first")
-    nothing = hashlib.sha256(b"").hexdigest()
     pick = lambda whole, mine, else_: F.when(copy, whole).when(own, F.coalesce(mine, else_)).otherwise(else_)
-    out = rows.join(first, "cls").join(results, "cls", "left").select(
-        "doc_id", "n_bytes", pick(F.col("n_bytes"), F.col("n_removed"), F.lit(0)).alias("n_removed"),
+    return rows.join(classes.withColumnRenamed("key", "first"), "cls").join(results, "cls", "left").select(
+        "doc_id", "n_bytes", pick(F.col("n_bytes"), F.col("n_removed"), F.lit(0)).cast("long").alias("n_removed"),
         pick(F.lit(1), F.col("n_spans"), F.lit(0)).cast("long").alias("n_spans"),
-        pick(F.lit(nothing), F.col("kept_sha256"), F.col("sha")).alias("kept_sha256"),
-        *([F.when(copy, F.lit(b"")).when(own, F.col("kept")).alias("kept"), F.col("cls")] if with_text else []))
-    return out
+        pick(F.lit(hashlib.sha256(b"").hexdigest()), F.col("kept_sha256"), F.col("sha")).alias("kept_sha256"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 
-from keyfold.session import scratch_dir
+from keyfold.llm.common import scratch
 
 #: Names from the WARC and HTTP formats.
 MANIFEST = "_manifest.json"
@@ -335,7 +335,7 @@ def read_archives(spark: SparkSession, path: str, *, payload: bool = True, verif
 def roundtrip(pages: DataFrame) -> DataFrame:
     """Write all pages as archives in the shared folder and read them back, payloads checked against their digests."""
     spark = pages.sparkSession
-    path = scratch_dir(spark, "warc")
+    path = scratch(spark, "warc")
     write_archives(as_records(pages), path)
     return read_archives(spark, path, verify=True)
 
