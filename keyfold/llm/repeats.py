@@ -28,6 +28,7 @@ unless kept by name. Texts are told apart by their MD5, anchors by 64-bit hashes
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,7 +85,8 @@ def anchors(text: bytes, min_bytes: int) -> tuple[np.ndarray, np.ndarray]:
     least = _sliding(hashes, width, np.minimum)
     edge = np.zeros(width - 1, np.uint64)
     places = np.flatnonzero(_sliding(np.concatenate((edge, least, edge)), width, np.maximum) == hashes)
-    return places, hashes[places]
+    # least hashes are small: mix them again, so that they spread over the shards
+    return places, mix(hashes[places] + np.uint64(1))
 
 
 def text_key(text: bytes) -> bytes:
@@ -131,43 +133,51 @@ class Shard:
         same = np.concatenate(([False], hashes[self.order][1:] == hashes[self.order][:-1]))
         self.lcp = np.where(same, _prefix_lengths(right[self.order], n_right[self.order]), 0)
 
-    def groups(self) -> Iterator[tuple[np.ndarray, int, int]]:
-        """(members, bytes to the left, bytes to the right) of each maximal repeat, members as rows of the input.
+    def groups(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All maximal repeats: (members, as rows of the input; members of each; bytes to the left; to the right).
 
         Pairs, which most anchors are, are done all at once.
         """
         n = len(self.lcp)
-        if n < 2:
-            return
         linked = self.lcp >= K
         ends = np.append(linked[1:], False)
         pair = np.flatnonzero(linked & ~ends & ~np.roll(linked, 1))
         left = self._left_lcp(pair, pair - 1)
         good = left + self.lcp[pair] >= self.min_bytes
-        for at, size in zip(pair[good], left[good]):
-            yield self.order[at - 1:at + 1], int(size), int(self.lcp[at])
+        members = array("q", np.stack([self.order[pair[good] - 1], self.order[pair[good]]], axis=1).astype(np.int64).tobytes())
+        sizes, lefts = array("q", [2]) * int(good.sum()), array("q", left[good].astype(np.int64).tobytes())
+        rights = array("q", self.lcp[pair][good].astype(np.int64).tobytes())
         lcp = self.lcp.copy()
         lcp[pair] = 0
-        for begin, end, right in intervals(lcp.tolist(), K):
-            yield from self._by_left(np.arange(begin, end), right)
+        at = np.flatnonzero(lcp)
+        if n and len(at):
+            # scan only the stretches that have larger groups
+            keep = np.unique(np.concatenate((at - 1, at)))
+            for begin, end, right in intervals(lcp[keep].tolist(), K):
+                for rows, to_left in self._by_left(keep[begin:end], right):
+                    members.frombytes(self.order[rows].astype(np.int64).tobytes())
+                    sizes.append(len(rows))
+                    lefts.append(to_left)
+                    rights.append(right)
+        return tuple(np.frombuffer(x, np.int64) for x in (members, sizes, lefts, rights))
 
     def _left_lcp(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         differ = self.left[a] != self.left[b]
         first = np.where(differ.any(axis=1), differ.argmax(axis=1), differ.shape[1]) if len(a) else np.empty(0, np.int64)
         return np.minimum(first, np.minimum(self.n_left[a], self.n_left[b]))
 
-    def _by_left(self, rows: np.ndarray, right: int) -> Iterator[tuple[np.ndarray, int, int]]:
-        """The members of a right interval, split wherever the bytes to their left differ."""
+    def _by_left(self, rows: np.ndarray, right: int) -> Iterator[tuple[np.ndarray, int]]:
+        """The members of a right interval, split wherever the bytes to their left differ, with the bytes they share there."""
         least = self.min_bytes - right
         rows = rows[_sorted(self.left[rows])] if len(rows) > 2 else rows
         lcp = self._left_lcp(rows[1:], rows[:-1])
         if least <= 0:
             # even with nothing to the left: all members are one repeat, besides those that share more
             common = int(lcp.min())
-            yield self.order[rows], common, right
+            yield rows, common
             least = common + 1
         for begin, end, size in intervals([0, *lcp.tolist()], least):
-            yield self.order[rows[begin:end]], size, right
+            yield rows[begin:end], size
 
 
 def compressed(docs: DataFrame, text: str, id_col: str) -> DataFrame:
@@ -189,12 +199,13 @@ def _key(id_col: str):
 
 
 def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text", id_col: str = "doc_id",
-                    classes: DataFrame | None = None) -> DataFrame:
+                    classes: DataFrame | None = None, covered_only: bool = False) -> DataFrame:
     """(cls, key, starts, ends, firsts): the first copy of each text with its occurrences of maximal repeats.
 
     ``firsts``: the least key of each repeat's members; the repeat is told apart
     by the bytes that it covers. Repeats longer than the context come in pieces
-    that overlap.
+    that overlap. ``covered_only``: without the members of least key, and
+    without ``firsts``.
     """
     classes = classes if classes is not None else text_classes(docs, text, id_col)
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
@@ -260,33 +271,30 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
         around = whole(plain("around"), "u1").reshape(-1, side + min_bytes)
         left = np.ascontiguousarray(around[:, :side][:, ::-1])
         shard = Shard(hashes, keys[owner], around[:, side:], np.minimum(min_bytes, totals - places), left, np.minimum(side, places), min_bytes)
-        rows, starts, ends, firsts = [], [], [], []
-        for members, to_left, to_right in shard.groups():
-            own = keys[owner[members]]
-            first = own.min()
-            if own.max() == first:
-                continue  # one document only
-            rows.append(members)
-            starts.append(places[members] - to_left)
-            ends.append(places[members] + to_right)
-            firsts.append(np.full(len(members), first))
-        if not rows:
-            return out_schema.empty_table()
-        rows, starts, ends, firsts = (np.concatenate(x) for x in (rows, starts, ends, firsts))
+        members, sizes, to_left, to_right = shard.groups()
+        begins = np.cumsum(sizes) - sizes
+        key = keys[owner[members]]
+        first = np.repeat(np.minimum.reduceat(key, begins), sizes) if len(sizes) else key
+        last = np.repeat(np.maximum.reduceat(key, begins), sizes) if len(sizes) else key
+        wanted = first < (key if covered_only else last)  # never what a single document repeats
+        doc, firsts = owner[members][wanted], first[wanted]
+        starts = (places[members] - np.repeat(to_left, sizes))[wanted]
+        ends = (places[members] + np.repeat(to_right, sizes))[wanted]
         # one occurrence is met from several of a passage's anchors: keep each once
-        doc = owner[rows]
         order = np.lexsort((firsts, ends, starts, doc))
         doc, starts, ends, firsts = doc[order], starts[order], ends[order], firsts[order]
-        new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (starts[1:] != starts[:-1]) | (ends[1:] != ends[:-1]) | (firsts[1:] != firsts[:-1])))
+        new = np.ones(len(doc), dtype=bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (starts[1:] != starts[:-1]) | (ends[1:] != ends[:-1]) | ((firsts[1:] != firsts[:-1]) & (not covered_only))
         doc, starts, ends, firsts = doc[new], starts[new], ends[new], firsts[new]
-        own, sizes = np.unique(doc, return_counts=True)
-        offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (starts, ends, firsts)]
+        own, counts = np.unique(doc, return_counts=True)
+        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (starts, ends, *([] if covered_only else [firsts]))]
         return pa.Table.from_arrays([pa.array([cls[i].tobytes() for i in own], pa.binary()), pa.array(keys[own]), *lists], schema=out_schema)
 
-    out_schema = pa.schema([("cls", pa.binary()), ("key", pa.int64()), *[(c, pa.list_(pa.int64())) for c in ("starts", "ends", "firsts")]])
+    lists = ("starts", "ends") if covered_only else ("starts", "ends", "firsts")
+    out_schema = pa.schema([("cls", pa.binary()), ("key", pa.int64()), *[(c, pa.list_(pa.int64())) for c in lists]])
     sent = held.mapInArrow(contexts, "f int, " + ", ".join(f"{c} binary" for c in columns))
-    return sent.groupBy("f").applyInArrow(scan, "cls binary, key long, starts array<long>, ends array<long>, firsts array<long>")
+    return sent.groupBy("f").applyInArrow(scan, "cls binary, key long, " + ", ".join(f"{c} array<long>" for c in lists))
 
 
 def text_classes(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -301,10 +309,8 @@ def _bytes(text: str):
 
 def covered_spans(docs: DataFrame, classes: DataFrame, *, min_bytes: int, text: str, id_col: str) -> DataFrame:
     """(cls, key, starts, ends): what repeats cover in the first copy of each text, smaller documents having them too."""
-    found = maximal_repeats(docs, min_bytes=min_bytes, text=text, id_col=id_col, classes=classes)
-    covered = (found.select("cls", "key", F.filter(F.arrays_zip("starts", "ends", "firsts"), lambda x: x.firsts < F.col("key")).alias("s"))
-               .where(F.size("s") > 0).groupBy("cls", "key").agg(F.flatten(F.collect_list("s")).alias("s"))
-               .select("cls", "key", F.col("s.starts").alias("starts"), F.col("s.ends").alias("ends")))
+    found = maximal_repeats(docs, min_bytes=min_bytes, text=text, id_col=id_col, classes=classes, covered_only=True)
+    covered = found.groupBy("cls", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
     return materialize(covered, "repeat-covered")
 
 
