@@ -82,7 +82,8 @@ def solve(sizes: DataFrame, goals: DataFrame, max_copies: float, *, tolerance: f
     step that leaves the bracket is replaced by its middle; a bound of the
     bracket that turns out too small doubles.
     """
-    means = sizes.groupBy("source").agg((F.sum(F.col("size") * F.col("docs")) / F.sum("docs")).alias("scale"))
+    mean = F.sum(F.col("size") * F.col("docs")) / F.sum("docs")
+    means = sizes.groupBy("source").agg(F.greatest(mean, F.lit(1.0)).alias("scale"))
     full = F.col("target") >= max_copies * F.col("source_size") * (1 - 1e-12)
     state = materialize(goals.join(means, goals.source.eqNullSafe(means.source)).select(
         goals.source, "scale", "target", full.alias("full"), F.lit(0.0).alias("lam"),
@@ -98,7 +99,7 @@ def solve(sizes: DataFrame, goals: DataFrame, max_copies: float, *, tolerance: f
         widen_low, widen_high = (miss > 0) & (F.col("lam") <= F.col("low")), (miss < 0) & (F.col("lam") >= F.col("high"))
         low = F.when(widen_low, F.col("lam") * 2).when(miss < 0, F.col("lam")).otherwise(F.col("low"))
         high = F.when(widen_high, F.col("lam") * 2).when(miss > 0, F.col("lam")).otherwise(F.col("high"))
-        newton = F.col("lam") - miss / F.col("slope")
+        newton = F.col("lam") - miss / F.nullif("slope", F.lit(0.0))
         done = F.col("full") | (F.abs(miss) <= tolerance * F.greatest("target", F.lit(1.0)))
         state = (state.join(sums, state.source.eqNullSafe(sums._s)).withColumns({"_low": low, "_high": high, "_done": done})
                  .select("source", "scale", "target", "full",
