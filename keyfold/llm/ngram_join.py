@@ -11,17 +11,20 @@ into fragments; a task holds one fragment of all classes:
    yield the candidates.
 3. A candidate pair's overlap is counted fragment by fragment and summed.
 
-Components need not see every pair of a large family of near copies: in each
-round the classes that hold a prefix n-gram are compared with one hub, and
-classes already in one component are not compared again. After ``hub_rounds``
-rounds, or when no n-gram holds two components, the pairs that are left across
-components are all checked, so no link between components is missed.
+Components need not see every pair of a large family of near copies. In each
+round every prefix n-gram names one hub among the classes that hold it (the
+same rule everywhere, so a family has few hubs), and a class is compared with
+the two hubs that it shares most prefix n-grams with. Classes already in one
+component are not compared again, so the family soon is one component. When
+few enough pairs are left across components (or after ``hub_rounds`` rounds),
+all of them are checked, so no link between components is missed.
 
 Cases: a null text or one without words has an empty set and links with
 nothing; fewer than n words are one n-gram; repeated rows are one class; a row
 of null id belongs to its class but names no component (null, if the component
 has no other id); an empty table gives an empty result; other columns are
-ignored. N-grams are told apart by 64-bit hashes, classes by 128-bit ones.
+ignored. N-grams are told apart by 48 bits of their hash within a fragment (the
+number of fragments grows with the input), classes by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyfold.llm.common import batches_of_texts, materialize
@@ -107,13 +110,16 @@ def shared_ngrams(docs: DataFrame, features: Callable[[list[bytes]], list[tuple[
             if a < b:
                 own, counts = np.unique(owner[a:b], return_counts=True)
                 rows.append((f, keys[own].tobytes(), counts.astype(np.int32).tobytes(), lengths[own].astype(np.int32).tobytes(),
-                             hashes[a:b].tobytes()))
+                             _low48(hashes[a:b])))
         return pa.RecordBatch.from_pylist([dict(zip(("f", "cls", "counts", "n", "h"), r)) for r in rows],
                                           schema=pa.schema([("f", pa.int32()), *[(c, pa.binary()) for c in ("cls", "counts", "n", "h")]]))
 
     def count(table: pa.Table) -> pa.Table:
         joined = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
-        cls, counts, n_all, hashes = joined("cls", "V16"), joined("counts", "i4"), joined("n", "i4"), joined("h", "u8")
+        cls, counts, n_all, raw = joined("cls", "V16"), joined("counts", "i4"), joined("n", "i4"), joined("h", "u1").reshape(-1, 6)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, :6] = raw
+        hashes = wide.view(np.uint64).ravel() | np.uint64(table.column("f")[0].as_py() % 65536) << np.uint64(48)
         # several tasks may have sent the same class: count it once
         _, first = np.unique(cls, return_index=True)
         once = np.zeros(len(cls), dtype=bool)
@@ -138,22 +144,30 @@ def shared_ngrams(docs: DataFrame, features: Callable[[list[bytes]], list[tuple[
     return sent.groupBy("f").applyInArrow(count, "cls binary, n int, h array<long>, df array<int>")
 
 
+def _low48(hashes: np.ndarray) -> bytes:
+    """The lowest six bytes of each hash; the fragment stands for the others."""
+    return np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
 def fragment_of(hashes: np.ndarray, fragments: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
 
 
 def linkable(shared: DataFrame, threshold: float) -> DataFrame:
-    """(cls, n, h): classes with enough shared n-grams for a link, in the order of (frequency, hash)."""
+    """(id, cls, n, h): classes with enough shared n-grams for a link, these in the order of (frequency, hash).
+
+    The ids are short names for joins; they hold once the result is written.
+    """
     whole = shared.groupBy("cls", "n").agg(
         F.array_sort(F.flatten(F.collect_list(F.arrays_zip("df", "h")))).alias("z"))
     return (whole.where(F.size("z") >= F.ceil(F.lit(threshold) * F.col("n")))
-            .select("cls", "n", F.col("z.h").alias("h")))
+            .select(F.monotonically_increasing_id().alias("id"), "cls", "n", F.col("z.h").alias("h")))
 
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """(a, b, overlap): counted in each segment of the order, then summed."""
-    left = segments.select(F.col("cls").alias("a"), "s", F.col("h").alias("ha"))
-    right = segments.select(F.col("cls").alias("b"), "s", F.col("h").alias("hb"))
+    left = segments.select(F.col("id").alias("a"), "s", F.col("h").alias("ha"))
+    right = segments.select(F.col("id").alias("b"), "s", F.col("h").alias("hb"))
     part = pairs.join(left, "a").join(right, ["b", "s"]).select(
         "a", "b", F.size(F.array_intersect("ha", "hb")).alias("o"))
     return part.groupBy("a", "b").agg(F.sum("o").alias("overlap"))
@@ -165,64 +179,77 @@ def similar(overlap: Column, na: Column, nb: Column, threshold: float) -> Column
     return 100 * overlap >= hundredths * (na + nb - overlap)
 
 
-def component_labels(candidates: DataFrame, threshold: float, hub_rounds: int) -> tuple[DataFrame, DataFrame] | None:
-    """((cls, label) of classes that link, links (a, b)); None without any link. ``candidates``: (cls, n, h)."""
-    least = F.ceil(F.lit(threshold) * F.col("n"))
-    prefix = materialize(candidates.select(
-        "cls", "n", F.explode(F.slice("h", F.lit(1), F.size("h") - least.cast("int") + 1)).alias("p")), "join-prefix")
-    segment = F.shiftrightunsigned("h1", 62).cast("int")
-    segments = materialize(candidates.select("cls", F.explode("h").alias("h1")).groupBy("cls", segment.alias("s"))
+def component_labels(candidates: DataFrame, threshold: float, hub_rounds: int, most_pairs: int = 4) -> DataFrame | None:
+    """(id, label) of candidates that link; None without any link. ``candidates``: (id, n, h).
+
+    ``most_pairs``: the rounds go on while more pairs than that per prefix
+    n-gram are left to check.
+    """
+    least = F.ceil(F.lit(threshold) * F.col("n")).cast("int")
+    prefix = materialize(candidates.select("id", "n", F.explode(F.slice("h", F.lit(1), F.size("h") - least + 1)).alias("p")), "join-prefix")
+    segment = F.shiftright(F.col("h1"), 40).bitwiseAND(F.lit(SEGMENTS - 1)).cast("int")
+    segments = materialize(candidates.select("id", F.explode("h").alias("h1")).groupBy("id", segment.alias("s"))
                            .agg(F.collect_list("h1").alias("h")), "join-segments")
-    sizes = candidates.select("cls", "n")
-    fits = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * round(threshold * 100))
-    labels = links = done = None
+    sizes = candidates.select("id", "n")
+    rows = prefix.count()
+    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * round(threshold * 100)
+    labels = done = None
     for turn in range(hub_rounds + 1):
-        held = prefix.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")) if labels is not None else prefix.withColumn("label", F.col("cls"))
-        # n-grams that still hold two components
-        open_ = held.groupBy("p").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                      F.min_by(F.struct("cls", "n", "label"), F.xxhash64("cls", F.lit(turn))).alias("hub")).where("lo <> hi")
-        mine = held.select("p", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-        if turn < hub_rounds:
-            other = open_.select("p", F.col("hub.cls").alias("a"), F.col("hub.n").alias("na"), F.col("hub.label").alias("la"))
+        held = prefix if labels is None else prefix.join(labels, "id", "left")
+        held = held.withColumn("label", F.coalesce("label", "id") if labels is not None else F.col("id"))
+        parts = held.groupBy("p", "label").agg(F.count("*").alias("k"), F.min_by(F.struct("id", "n"), F.xxhash64("id", F.lit(turn))).alias("hub"))
+        # n-grams that still hold two components, their pairs across them, and the hub of the largest
+        open_ = materialize(parts.groupBy("p").agg(
+            F.count("*").alias("parts"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("inside"),
+            F.max_by(F.struct("hub", "label"), F.struct("k", F.xxhash64("hub.id", F.lit(turn)))).alias("top")).where("parts > 1"), "join-open")
+        left = open_.agg(F.sum((F.col("k") * F.col("k") - F.col("inside")) / 2)).first()[0] or 0
+        if not left:
+            break
+        every = turn == hub_rounds or left <= most_pairs * rows
+        mine = held.select("p", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+        if every:
+            other = held.join(open_.select("p"), "p", "left_semi").select("p", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+            met = other.join(mine, "p").where((F.col("la") < F.col("lb")) & fits)
+            pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         else:
-            other = held.join(open_.select("p"), "p", "left_semi").select("p", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-        pairs = (other.join(mine, "p").where((F.col("la") != F.col("lb")) & fits)
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            other = open_.select("p", F.col("top.hub.id").alias("a"), F.col("top.hub.n").alias("na"), F.col("top.label").alias("la"))
+            met = other.join(mine, "p").where((F.col("la") != F.col("lb")) & fits)
+            common = met.groupBy("a", "b").agg(F.count("*").alias("c"))
+            best = Window.partitionBy("b").orderBy(F.col("c").desc(), "a")
+            pairs = (common.withColumn("r", F.row_number().over(best)).where("r <= 2")
+                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "join-pairs")
-        if not pairs.take(1):
-            if turn < hub_rounds and not open_.take(1):
-                break
-            continue
-        found = overlaps(pairs, segments)
-        found = (found.join(sizes.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a")
-                 .join(sizes.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
+        found = (overlaps(pairs, segments)
+                 .join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a")
+                 .join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
                  .where(similar(F.col("overlap"), F.col("na"), F.col("nb"), threshold)).select("a", "b"))
         found = materialize(found, "join-links")
         done = pairs if done is None else done.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
         if found.take(1):
-            known = found if labels is None else found.unionByName(labels.select(F.col("cls").alias("a"), F.col("label").alias("b")))
-            labels = materialize(stars(known).select(F.col("node").alias("cls"), F.col("root").alias("label")), "join-labels")
-    return None if labels is None else (labels, links)
+            known = found if labels is None else found.unionByName(labels.select(F.col("id").alias("a"), F.col("label").alias("b")))
+            labels = materialize(stars(known).select(F.col("node").alias("id"), F.col("root").alias("label")), "join-labels")
+        if every:
+            break
+    return labels
 
 
 def near_duplicates(docs: DataFrame, *, n: int = 5, threshold: float = 0.75, text: str = "text", id_col: str = "doc_id",
-                    hub_rounds: int = 4) -> DataFrame:
+                    hub_rounds: int = 12) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per document."""
     size = docs.agg(F.sum(F.length(F.col(text).cast("string")))).first()[0] or 0
     fragments = max(12, -(-size // FRAGMENT_BYTES))
     keys = materialize(set_keys(docs, n, text, id_col), "join-keys")
     features = lambda texts: [(class_key(s), s) for s in shingle_sets(texts, n)]
     candidates = materialize(linkable(shared_ngrams(docs, features, fragments, text, id_col), threshold), "join-linkable")
-    found = component_labels(candidates, threshold, hub_rounds)
+    labels = component_labels(candidates, threshold, hub_rounds)
     classes = keys.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("component_id"))
-    if found:
-        labels = found[0]
-        named = classes.join(labels, "cls")
+    if labels is not None:
+        named = labels.join(candidates.select("id", "cls"), "id").join(classes, "cls")
         roots = named.groupBy("label").agg(F.min("component_id").alias("root_id"))
-        classes = (classes.join(labels, "cls", "left").join(roots, "label", "left")
-                   .select("cls", F.when(F.col("label").isNull(), F.col("component_id")).otherwise(F.col("root_id")).alias("component_id")))
+        named = named.join(roots, "label").select("cls", "root_id")
+        classes = classes.join(named.withColumn("linked", F.lit(True)), "cls", "left").select(
+            "cls", F.when(F.col("linked"), F.col("root_id")).otherwise(F.col("component_id")).alias("component_id"))
     return (keys.join(classes, "cls", "left")
             .select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
