@@ -31,6 +31,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--tables", nargs="*", default=[t.name for t in TABLE_SPECS])
     s.add_argument("--once", action="store_true")
     s.add_argument("--trigger", default="10 seconds")
+    s.add_argument("--starting-offsets", default="earliest", help="Kafka: earliest, latest or a JSON of offsets; folders: earliest only")
+    s.add_argument("--max-offsets-per-trigger", type=int, default=20_000)
+    s.add_argument("--max-files-per-trigger", type=int, default=1000)
+    s.add_argument("--max-bytes-per-trigger", help="for folders, instead of a number of files, such as 512m")
     s.add_argument("--timeout", type=float)
     m = sub.add_parser("maintain")
     m.add_argument("--lake", required=True)
@@ -83,19 +87,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName("keyfold").getOrCreate()
     out: object
     if args.command == "stream":
-        from keyfold.streaming.sink import StreamConfig, run_streams, summarise
+        from keyfold.streaming.sink import StreamConfig, ingested, run_streams
 
         cfg = StreamConfig(lake_root=args.lake, checkpoint_root=args.checkpoints, source_root=args.source,
-                           bootstrap_servers=args.bootstrap_servers, trigger_interval=args.trigger)
-        handles, failures = run_streams(spark, cfg, [get_spec(t) for t in args.tables], once=args.once,
-                                        timeout_seconds=args.timeout)
-        out = {**summarise(handles), "failures": failures}
+                           bootstrap_servers=args.bootstrap_servers, trigger_interval=args.trigger,
+                           starting_offsets=args.starting_offsets, max_offsets_per_trigger=args.max_offsets_per_trigger,
+                           max_files_per_trigger=args.max_files_per_trigger, max_bytes_per_trigger=args.max_bytes_per_trigger)
+        specs = [get_spec(t) for t in args.tables]
+        _, failures = run_streams(spark, cfg, specs, once=args.once, timeout_seconds=args.timeout)
+        out = {"streams": [r.asDict() for r in ingested(spark, cfg, specs).collect()], "failures": failures}
     elif args.command == "maintain":
-        from keyfold.plans.maintenance import maintain_all
+        from keyfold.plans.maintenance import maintain
 
-        df = maintain_all(spark, args.lake, list(TABLE_SPECS), retain_hours=args.retain_hours,
-                          target_file_mb=args.target_mb, skip_vacuum=args.skip_vacuum,
-                          allow_short_retention=args.allow_short_retention)
+        df = maintain(spark, args.lake, TABLE_SPECS, retain_hours=args.retain_hours,
+                      target_file_mb=args.target_mb, skip_vacuum=args.skip_vacuum,
+                      allow_short_retention=args.allow_short_retention)
         out = [r.asDict() for r in df.collect()]
     elif args.command == "history":
         from keyfold.table import ChangeTable

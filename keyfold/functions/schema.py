@@ -5,9 +5,11 @@ no Python worker, no RDD, partial aggregation on every partition. The variant
 type string is then normalised to the types the JSON reader would give:
 
   DECIMAL(p, s>0)            -> DOUBLE   (fractional number)
-  DECIMAL(p<=20, 0)          -> DOUBLE   (e.g. 100.0; integers that fit BIGINT come back as BIGINT)
+  DECIMAL(p<=20, 0)          -> DOUBLE, if a value is written with a point or an
+                                exponent (100.0); DECIMAL(20, 0) otherwise, a whole
+                                number beyond BIGINT, kept exactly
   DECIMAL(p>20, 0)           -> DECIMAL(p, 0) (very large integer)
-  VOID                       -> STRING   (all null)
+  VOID                       -> STRING   (all null; or left void, so that a later type counts)
   VARIANT                    -> STRING   (conflicting types; from_json yields the raw text)
   OBJECT<...>                -> STRUCT<...>, empty objects dropped
   ARRAY<T>                   -> ARRAY<normalised T>
@@ -16,6 +18,7 @@ type string is then normalised to the types the JSON reader would give:
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +33,7 @@ _SIMPLE = {
     "FLOAT": T.DoubleType(),
     "BOOLEAN": T.BooleanType(),
     "STRING": T.StringType(),
-    "VOID": T.StringType(),
+    "VOID": T.NullType(),
     "VARIANT": T.StringType(),
     "DATE": T.StringType(),
     "TIMESTAMP": T.StringType(),
@@ -38,6 +41,8 @@ _SIMPLE = {
     "BINARY": T.StringType(),
 }
 
+_WHOLE = T.DecimalType(20, 0)
+
 _DECIMAL = re.compile(r"DECIMAL\((\d+),\s*(\d+)\)")
 
 
@@ -107,9 +112,10 @@ class _TypeReader:
         if m:
             self.i = m.end()
             precision, scale = int(m.group(1)), int(m.group(2))
-            if scale > 0 or precision <= 20:
+            if scale > 0:
                 return T.DoubleType()
-            return T.DecimalType(min(precision, 38), 0)
+            # up to 20 digits: a large integer or a number like 100.0, see _settled
+            return _WHOLE if precision <= 20 else T.DecimalType(min(precision, 38), 0)
         start = self.i
         while self.i < len(self.s) and self.s[self.i] not in ",> ":
             self.i += 1
@@ -119,55 +125,100 @@ class _TypeReader:
         return _SIMPLE[word]
 
 
-def variant_type_to_struct(text: str | None) -> T.StructType | None:
-    """Normalise a `schema_of_variant_agg` result to a payload StructType."""
+def _mapped(dtype: T.DataType, leaf) -> T.DataType:
+    """`dtype` with every leaf type replaced by `leaf(type)`."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _mapped(f.dataType, leaf), True) for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_mapped(dtype.elementType, leaf), True)
+    return leaf(dtype)
+
+
+def _has_whole(dtype: T.DataType) -> bool:
+    found = []
+    _mapped(dtype, lambda t: found.append(t == _WHOLE) or t)
+    return any(found)
+
+
+def variant_type_to_struct(text: str | None, *, exact: frozenset[str] = frozenset(), keep_void: bool = False) -> T.StructType | None:
+    """Normalise a `schema_of_variant_agg` result to a payload StructType.
+
+    `exact`: columns whose whole numbers are integers. `keep_void`: leave
+    columns without any value void instead of calling them strings.
+    """
     if not text:
         return None
     dtype = _TypeReader(text).read()
     if not isinstance(dtype, T.StructType) or not dtype.fields:
         return None
-    return dtype
 
+    def settled(name: str, top: T.DataType) -> T.DataType:
+        if keep_void and isinstance(top, T.NullType):
+            return top
+        return _mapped(top, lambda t: T.StringType() if isinstance(t, T.NullType)
+                       else T.DoubleType() if t == _WHOLE and name not in exact else t)
+
+    return T.StructType([T.StructField(f.name, settled(f.name, f.dataType), True) for f in dtype.fields])
 
-def infer_payload_schema(batch: DataFrame, column: str = "_row_json") -> T.StructType | None:
+
+def infer_payload_schema(batch: DataFrame, column: str = "_row_json", *, keep_void: bool = False) -> T.StructType | None:
     """Schema of this batch's row images; None when empty or nothing parses.
 
-    One aggregate job (partial per partition, final on one small row).
+    One aggregate job (partial per partition, final on one small row), and a
+    second one only when a column holds whole numbers that might be integers
+    beyond BIGINT: its text tells.
     """
-    row = batch.agg(
-        F.expr(f"schema_of_variant_agg(try_parse_json(`{column}`))").alias("s")
-    ).first()
-    return variant_type_to_struct(row["s"] if row else None)
+    row = batch.agg(F.expr(f"schema_of_variant_agg(try_parse_json(`{column}`))").alias("s")).first()
+    text = row["s"] if row else None
+    raw = _TypeReader(text).read() if text else None
+    doubtful = [f.name for f in raw.fields if _has_whole(f.dataType) and "'" not in f.name] if isinstance(raw, T.StructType) else []
+    exact: frozenset[str] = frozenset()
+    if doubtful:
+        pointed = batch.agg(*[F.bool_or(F.get_json_object(column, f"$['{n}']").rlike(r"[0-9](\.|[eE])")).alias(f"c{i}")
+                              for i, n in enumerate(doubtful)]).first()
+        exact = frozenset(n for i, n in enumerate(doubtful) if not pointed[f"c{i}"])
+    return variant_type_to_struct(text, exact=exact, keep_void=keep_void)
 
 
 def widen(stored: T.DataType, incoming: T.DataType) -> T.DataType:
-    """Type of a column after a batch with `incoming` meets a table with
-    `stored`: structs gain the new nested fields (recursively), arrays widen
-    their elements, anything else keeps the stored type (E5: the batch is cast
-    to the table, as a MERGE would)."""
-    if stored == incoming:
+    """Type of a column when a batch of type `incoming` meets a table of type
+    `stored` (E5): nothing that fits either type is lost. Integers and larger
+    integers become a wider decimal, integers and fractions double, structs gain
+    fields, arrays widen their elements, and whatever else clashes becomes text."""
+    if stored == incoming or isinstance(incoming, T.NullType):
         return stored
+    if isinstance(stored, T.NullType):
+        return incoming
     if isinstance(stored, T.StructType) and isinstance(incoming, T.StructType):
-        have = {f.name: f for f in incoming.fields}
-        fields = [T.StructField(f.name, widen(f.dataType, have[f.name].dataType) if f.name in have else f.dataType)
-                  for f in stored.fields]
-        names = {f.name for f in stored.fields}
-        fields += [f for f in incoming.fields if f.name not in names]
-        return T.StructType(fields)
+        return evolve(stored, incoming)
     if isinstance(stored, T.ArrayType) and isinstance(incoming, T.ArrayType):
         return T.ArrayType(widen(stored.elementType, incoming.elementType), True)
-    return stored
-
-
-def evolve(target: T.StructType | None, batch: T.StructType) -> T.StructType:
-    """Running union of schemas (E3/E7); existing columns widened by `widen`."""
-    if target is None:
-        return batch
-    have = {f.name: f for f in batch.fields}
-    fields = [T.StructField(f.name, widen(f.dataType, have[f.name].dataType) if f.name in have else f.dataType)
-              for f in target.fields]
-    known = {f.name for f in target.fields}
-    return T.StructType(fields + [f for f in batch.fields if f.name not in known])
+    types = (stored, incoming)
+    if all(isinstance(t, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)) for t in types):
+        return T.LongType()
+    if all(isinstance(t, T.IntegralType) or (isinstance(t, T.DecimalType) and t.scale == 0) for t in types):
+        return T.DecimalType(max(20, *(t.precision for t in types if isinstance(t, T.DecimalType))), 0)
+    if all(isinstance(t, T.NumericType) for t in types):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def evolve(target: T.StructType | None, batch: T.StructType, *, keys: Sequence[str] = ()) -> T.StructType:
+    """Running union of schemas (E3/E7). Types widen, but for `keys`: a key's
+    type decides what is the same row, so the first one stays. A new column that
+    has no value yet is text."""
+    known = {f.name: f.dataType for f in target.fields} if target is not None else {}
+    incoming = {f.name: f.dataType for f in batch.fields}
+    out = []
+    for name in [*known, *(n for n in incoming if n not in known)]:
+        if name not in known:
+            dtype = T.StringType() if isinstance(incoming[name], T.NullType) else incoming[name]
+        elif name in incoming and name not in keys:
+            dtype = widen(known[name], incoming[name])
+        else:
+            dtype = known[name]
+        out.append(T.StructField(name, dtype, True))
+    return T.StructType(out)
 
 
 def conform_column(col: Column, have: T.DataType, want: T.DataType) -> Column:

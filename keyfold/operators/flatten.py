@@ -6,7 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NullType, StructType
 
 from keyfold.functions.predicates import HASH, OP_DELETE, row_fingerprint
 from keyfold.functions.schema import infer_payload_schema
@@ -25,10 +25,13 @@ def flatten_with_schema(batch: DataFrame, schema: StructType, spec: TableSpec |
     dropped = [f.name for f in schema.fields if f.name.startswith("_")]
     if dropped:
         log.warning("dropping payload columns that collide with metadata: %s", dropped)
-    names = [f.name for f in schema.fields if not f.name.startswith("_")]
-    parsed = batch.withColumn("_row", F.from_json(F.col("_row_json"), schema))
+    fields = [f for f in schema.fields if not f.name.startswith("_")]
+    # a column without any value has no type yet; it stays void for the table to decide
+    valued = StructType([f for f in fields if not isinstance(f.dataType, NullType)])
+    names = {f.name for f in fields}
+    parsed = batch.withColumn("_row", F.from_json(F.col("_row_json"), valued) if valued.fields else F.lit(None))
     out = parsed.select(
-        *[F.col("_row").getField(n).alias(n) for n in names],
+        *[(F.lit(None) if isinstance(f.dataType, NullType) else F.col("_row").getField(f.name)).alias(f.name) for f in fields],
         F.col("_op"),
         F.col("_lsn"),
         F.col("_source_ts_ms"),
@@ -39,16 +42,18 @@ def flatten_with_schema(batch: DataFrame, schema: StructType, spec: TableSpec |
     )
     if spec is not None:
         for k in spec.primary_key:
-            out = out.filter(F.col(f"`{k}`").isNotNull())
+            # no image has the column: the same as a NULL key in all of them
+            out = out.filter(F.col(f"`{k}`").isNotNull() if k in names else F.lit(False))
     return out
 
 
-def flatten_changes(batch: DataFrame, spec: TableSpec, schema: StructType | None = None) -> DataFrame | None:
+def flatten_changes(batch: DataFrame, spec: TableSpec, schema: StructType | None = None, *,
+                    keep_void: bool = False) -> DataFrame | None:
     """Pinned schema, else the given one, else inferred from this batch (one job).
 
     Returns None when there is no usable schema (empty batch, nothing parses).
     """
-    schema = spec.schema or schema or infer_payload_schema(batch)
+    schema = spec.schema or schema or infer_payload_schema(batch, keep_void=keep_void)
     if schema is None:
         return None
     return flatten_with_schema(batch, schema, spec)

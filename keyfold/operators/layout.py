@@ -3,7 +3,7 @@
 * `file_stats`: the files a table directory really holds (including files a
   newer snapshot superseded), from a `binaryFile` listing: only `path` and
   `length` are read, never the content.
-* `zorder_value`: multi-column clustering key. Each column is mapped to its
+* `zordered`: multi-column clustering key. Each column is mapped to its
   rank bucket using approximate quantile bounds (one aggregate over the data,
   `buckets` bounds per column come back to the driver), the bucket ids are
   bit-interleaved into one long, and the caller range-partitions on it.
@@ -109,6 +109,13 @@ def plan_files(total_bytes: int, target_file_mb: float) -> int:
     return max(1, math.ceil(total_bytes / (target_file_mb * 1024 * 1024)))
 
 
+def _literal(value) -> str:
+    """A bound as SQL; infinities have no plain notation."""
+    if isinstance(value, float):
+        return f"CAST('{value}' AS DOUBLE)" if math.isinf(value) or math.isnan(value) else f"{value!r}D"
+    return f"{value}L"
+
+
 def _bucket_sql(column_sql: str, bounds: list) -> str:
     """SQL for the number of `bounds` (sorted, distinct) strictly below a value.
 
@@ -119,7 +126,7 @@ def _bucket_sql(column_sql: str, bounds: list) -> str:
         if lo == hi:
             return str(lo)
         mid = (lo + hi) // 2
-        return (f"CASE WHEN {float(bounds[mid])!r} < {column_sql} THEN {search(mid + 1, hi)} "
+        return (f"CASE WHEN {_literal(bounds[mid])} < {column_sql} THEN {search(mid + 1, hi)} "
                 f"ELSE {search(lo, mid)} END")
 
     if not bounds:
@@ -128,17 +135,31 @@ def _bucket_sql(column_sql: str, bounds: list) -> str:
 
 
 def _ranked_sql(df: DataFrame, c: str) -> str:
+    """A number in the order of the column, so that ranges of it are ranges of files."""
     dtype = df.schema[c].dataType
     if isinstance(dtype, T.NumericType):
         return f"CAST(`{c}` AS DOUBLE)"
-    # Non-numeric: ranked by hash (spreads values, keeps equal values together).
-    return f"CAST(xxhash64(`{c}`) AS DOUBLE)"
+    if isinstance(dtype, T.BooleanType):
+        return f"CAST(`{c}` AS BIGINT)"
+    if isinstance(dtype, T.DateType):
+        return f"CAST(unix_date(`{c}`) AS BIGINT)"
+    if isinstance(dtype, T.TimestampType):
+        return f"unix_micros(`{c}`)"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"unix_micros(CAST(`{c}` AS TIMESTAMP))"
+    # text and bytes: their first seven bytes, which keep the byte order and fit a long
+    return f"CAST(conv(rpad(hex(substring(CAST(`{c}` AS BINARY), 1, 7)), 14, '0'), 16, 10) AS BIGINT)"
 
 
 def _ranked(df: DataFrame, c: str) -> Column:
     return F.expr(_ranked_sql(df, c))
 
 
+def zorder_bits(n_files: int, n_columns: int) -> int:
+    """Bits per column, enough for several buckets per file, at most 12 (4,095 bounds on the driver)."""
+    return max(1, min(12, math.ceil((math.log2(max(2, n_files)) + 3) / n_columns)))
+
+
 def zorder_bounds(stats: DataFrame, columns: Sequence[str], bits: int = 8) -> list[list[float]]:
     """Per-column quantile bounds (`2**bits - 1` each) in one aggregate job."""
     buckets = 1 << bits
@@ -148,15 +169,6 @@ def zorder_bounds(stats: DataFrame, columns: Sequence[str], bits: int = 8) -> li
     return [sorted({b for b in (row[f"q{i}"] or []) if b is not None}) for i in range(len(columns))]
 
 
-def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, *,
-               bounds: list[list[float]] | None = None) -> Column:
-    """Interleaved-bit clustering key over `columns` (C4): each column's
-    quantile bucket, bits interleaved into one long."""
-    bounds = bounds if bounds is not None else zorder_bounds(df, columns, bits)
-    ids = [F.expr(_bucket_sql(_ranked_sql(df, c), b)) for c, b in zip(columns, bounds)]
-    return _interleave(ids, bits)
-
-
 def _interleave(ids: list[Column], bits: int) -> Column:
     n = len(ids)
     z = F.lit(0).cast("long")
@@ -166,36 +178,32 @@ def _interleave(ids: list[Column], bits: int) -> Column:
     return z
 
 
-def _with_zorder(df: DataFrame, columns: Sequence[str], bounds, bits: int = 8) -> DataFrame:
-    """`df` plus `_z`; bucket ids are computed once per row as their own columns."""
+def zordered(df: DataFrame, columns: Sequence[str], bounds, bits: int = 8) -> DataFrame:
+    """`df` plus `_z`, the interleaved bits of each column's quantile bucket (C4)."""
     names = [f"_zb{j}" for j in range(len(columns))]
     staged = df.select("*", *[F.expr(_bucket_sql(_ranked_sql(df, c), b)).alias(nm)
                               for c, b, nm in zip(columns, bounds, names)])
     return staged.withColumn("_z", _interleave([F.col(nm) for nm in names], bits)).drop(*names)
 
 
-def zorder_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
-    return zorder_key(df, columns, bits)
-
-
-def clustered(df: DataFrame, n_files: int, *, zorder_by: Sequence[str] = (),
-              partition_by: Sequence[str] = (), stats: DataFrame | None = None) -> DataFrame:
-    """Lay out `df` for writing: z-ordered ranges, or plain bin-packing.
+def clustered(df: DataFrame, n_files: int, *, zorder_by: Sequence[str] = (), partition_by: Sequence[str] = (),
+              key: Sequence[str] = (), stats: DataFrame | None = None) -> DataFrame:
+    """Lay out `df` for writing in `n_files` ranges of even size.
 
-    Column quantiles for the z-value come from `stats` (e.g. the raw scans
-    behind a fold: column-pruned, no shuffle). Without z-order a row's file is
-    a hash of the row (deterministic under retries). Partition columns lead,
-    and a hot partition value is spread over several files.
+    The order is (partition columns, z-value, its columns, `key`) with z-order, else
+    (partition columns, row hash): the key or the hash splits what a hot value of
+    the columns before would otherwise hold together. Quantiles for the z-value
+    come from `stats` (e.g. the raw scans behind a fold: column-pruned, no
+    shuffle). Range bounds are sampled once per exchange and held by the driver,
+    so a retried task routes rows the same way.
     """
     pcols = [F.col(f"`{c}`") for c in partition_by]
     if zorder_by:
-        stats = stats if stats is not None else df
-        keyed = _with_zorder(df, zorder_by, zorder_bounds(stats, zorder_by))
-        # Exact, balanced ranges of (partition columns, z). The range bounds are
-        # sampled once per exchange and held by the driver, so a retried task
-        # routes rows the same way; the sampling pass re-reads the upstream
-        # shuffle output, it does not recompute the fold's map side.
-        return (keyed.repartitionByRange(n_files, *pcols, F.col("_z"))
-                .sortWithinPartitions(*pcols, F.col("_z")).drop("_z"))
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(n_files))
-    return df.repartition(n_files, *pcols, salt)
+        bits = zorder_bits(n_files, len(zorder_by))
+        keyed = zordered(df, zorder_by, zorder_bounds(stats if stats is not None else df, zorder_by, bits), bits)
+        # within a z-value by the columns themselves, which text needs (its number is a prefix)
+        order = [*pcols, F.col("_z"), *[F.col(f"`{c}`") for c in dict.fromkeys([*zorder_by, *key])]]
+    else:
+        keyed = df.withColumn("_z", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        order = [*pcols, F.col("_z")]
+    return keyed.repartitionByRange(n_files, *order).sortWithinPartitions(*order).drop("_z")

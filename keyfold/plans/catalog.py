@@ -315,11 +315,7 @@ def _stream_setup(spark, sf_dir, label):
 
 
 def _drain(spark, cfg, spec=ORDERS):
-    h = start_table_stream(spark, cfg, spec, once=True)
-    h.query.awaitTermination()
-    if h.query.exception() is not None:
-        raise RuntimeError(str(h.query.exception()))
-    return h
+    start_table_stream(spark, cfg, spec, once=True).awaitTermination()  # raises if the query fails
 
 
 def q_stream_drain_state(spark, sf_dir):

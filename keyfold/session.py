@@ -33,7 +33,9 @@ def shared_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="keyfold-")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    local = tempfile.mkdtemp(prefix="keyfold-")  # one machine: any folder is shared
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
 
@@ -43,11 +45,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/keyfold/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def apply_recommended(spark: SparkSession) -> None:
-    for key, value in RECOMMENDED_CONF.items():
-        spark.conf.set(key, value)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Give row-heavy work at least the cluster's parallelism.
 

@@ -18,6 +18,7 @@ convention over DataFrameWriter, not a storage engine.
 
 from __future__ import annotations
 
+import functools
 import json
 import time
 import uuid
@@ -37,7 +38,7 @@ from keyfold.spec import TableSpec
 COMMITS_SCHEMA = T.StructType(
     [
         T.StructField("_commit", T.LongType()),
-        T.StructField("kind", T.StringType()),  # merge | optimize | vacuum
+        T.StructField("kind", T.StringType()),  # merge | empty | optimize | vacuum
         T.StructField("query_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("events", T.LongType()),
@@ -46,11 +47,17 @@ COMMITS_SCHEMA = T.StructType(
         T.StructField("batch_columns", T.StringType()),  # payload columns of this batch (json list)
         T.StructField("files", T.LongType()),
         T.StructField("key_bytes", T.LongType()),  # bytes of this commit's collapsed keys
+        T.StructField("dropped", T.LongType()),  # unusable records of this batch
+        T.StructField("upto", T.LongType()),  # optimize: the last log commit that the snapshot holds
         T.StructField("ts_ms", T.LongType()),
     ]
 )
 
 
+#: Prefix of directory columns.
+_DIR = "_in_"
+
+
 class VersionNotAvailable(ValueError):
     pass
 
@@ -68,6 +75,13 @@ class CommitInfo:
     ts_ms: int
     files: int | None = None
     key_bytes: int | None = None
+    dropped: int | None = None
+    upto: int | None = None
+
+    @property
+    def folded(self) -> int:
+        """The last log commit that a snapshot holds."""
+        return self.commit if self.upto is None else self.upto
 
 
 def _info(r: dict) -> CommitInfo:
@@ -83,6 +97,8 @@ def _info(r: dict) -> CommitInfo:
         ts_ms=r.get("ts_ms") or 0,
         files=r.get("files"),
         key_bytes=r.get("key_bytes"),
+        dropped=r.get("dropped"),
+        upto=r.get("upto"),
     )
 
 
@@ -166,11 +182,12 @@ class ChangeTable:
         key = self._commit_listing()
         if key == self._meta_key:
             return list(self._meta_cache)
-        by_commit: dict[int, dict] = {}
+        # Consolidation may briefly leave a row twice (same content). Maintenance and
+        # the stream may end on the same number: those are two commits.
+        by_commit: dict[tuple[int, str], dict] = {}
         for name, _size in key:
             for r in self._read_commit_file(name):
-                # Consolidation may briefly leave a commit row twice (same content).
-                by_commit.setdefault(r["_commit"], r)
+                by_commit.setdefault((r["_commit"], r["kind"]), r)
         out = [_info(by_commit[c]) for c in sorted(by_commit)]
         self._meta_key, self._meta_cache = key, out
         return list(out)
@@ -205,8 +222,14 @@ class ChangeTable:
         query_id: str | None = None,
         batch_id: int | None = None,
         events: int | None = None,
+        dropped: int | None = None,
     ) -> dict:
-        """Collapse a flattened batch per key and commit it. Returns a summary."""
+        """Collapse a flattened batch per key and commit it. Returns a summary.
+
+        Rows without a key, or whose key doesn't fit its stored type, can't be
+        applied and are left out (a stream has put them to its dead letters
+        before). A batch without any row is recorded, but has no directory.
+        """
         meta = self._meta()
         if query_id is not None and batch_id is not None:
             for c in meta:
@@ -219,8 +242,10 @@ class ChangeTable:
         payload = [c for c in changes.columns if not c.startswith("_")]
         batch_schema = T.StructType([changes.schema[c] for c in payload])
         prior = next((c.schema for c in reversed(meta) if c.schema is not None), None)
-        table_schema = evolve(prior, batch_schema)
+        table_schema = evolve(prior, batch_schema, keys=self.spec.primary_key)
         changes = conform(changes, table_schema)
+        for k in self.spec.primary_key:
+            changes = changes.filter(F.col(f"`{k}`").isNotNull())
 
         tag = uuid.uuid4().hex[:8]
         counted = Observation(f"events_{n}_{tag}")
@@ -244,15 +269,16 @@ class ChangeTable:
         self._write_commit(
             {
                 "_commit": n,
-                "kind": "merge",
+                "kind": "merge" if deduped else "empty",
                 "query_id": query_id,
                 "batch_id": batch_id,
                 "events": events if events is not None else seen_events,
                 "deduped": deduped,
-                "schema_json": table_schema.json(),
+                "schema_json": (table_schema if deduped else prior).json() if deduped or prior else None,
                 "batch_columns": json.dumps(payload),
                 "files": None,
                 "key_bytes": key_bytes,
+                "dropped": dropped,
                 "ts_ms": int(time.time() * 1000),
             }
         )
@@ -271,13 +297,14 @@ class ChangeTable:
             raise VersionNotAvailable(f"{self.spec.name}: version {n} does not exist (latest {latest})")
         vacuumed_below = max((c.batch_id or 0 for c in meta if c.kind == "vacuum" and c.commit <= latest),
                              default=-1)
-        snaps = [c.commit for c in meta if c.kind == "optimize" and c.commit <= n]
-        snap = snaps[-1] if snaps else None
-        if n < vacuumed_below and (snap is None or snap < vacuumed_below):
+        snaps = [c for c in meta if c.kind == "optimize" and c.commit <= n]
+        snap, folded = (snaps[-1].commit, snaps[-1].folded) if snaps else (None, None)
+        if n < vacuumed_below:
             raise VersionNotAvailable(
                 f"{self.spec.name}: version {n} was vacuumed (oldest readable {vacuumed_below})"
             )
-        logs = [c.commit for c in meta if c.kind == "merge" and c.commit <= n and (snap is None or c.commit > snap)]
+        # commits that a stream made while the snapshot was being written come after it
+        logs = [c.commit for c in meta if c.kind == "merge" and c.commit <= n and (folded is None or c.commit > folded)]
         schema = next((c.schema for c in reversed(meta) if c.commit <= n and c.schema is not None), None)
         return snap, logs, schema
 
@@ -309,27 +336,37 @@ class ChangeTable:
         meta_fields = self._meta_fields()
         log = None
         if logs:
-            log_schema = T.StructType(
-                list(schema.fields) + meta_fields
-                + [T.StructField(COLS, T.ArrayType(T.StringType())), T.StructField("_commit", T.LongType())]
-            )
-            # Only the needed commit directories are listed and read.
-            log = (
-                self.spark.read.schema(log_schema)
-                .option("basePath", self.log_path)
-                .parquet(*[f"{self.log_path}/_commit={c}" for c in logs])
-                .drop("_commit")
-            )
+            log = self._read_typed(
+                [(f"{self.log_path}/_commit={c.commit}", c.schema) for c in self._meta() if c.commit in set(logs) and c.kind == "merge"],
+                schema, [*meta_fields, T.StructField(COLS, T.ArrayType(T.StringType()))])
         sdf = None
         if snap is not None:
-            snap_schema = T.StructType(list(schema.fields) + meta_fields)
-            sdf = self.spark.read.schema(snap_schema).parquet(f"{self.snapshot_path}/_commit={snap}")
+            written = next(c.schema for c in self._meta() if c.kind == "optimize" and c.commit == snap)
+            sdf = self._read_typed([(f"{self.snapshot_path}/_commit={snap}", written or schema)], schema, meta_fields)
         wanted = set(logs)
-        rows = sum((c.deduped or 0) for c in self._meta() if c.commit in wanted)
-        size = sum((c.key_bytes if c.key_bytes is not None else float("inf"))
-                   for c in self._meta() if c.commit in wanted)
+        merges = [c for c in self._meta() if c.commit in wanted and c.kind == "merge"]
+        rows = sum((c.deduped or 0) for c in merges)
+        size = sum((c.key_bytes if c.key_bytes is not None else float("inf")) for c in merges)
         return sdf, log, schema, (rows, size)
 
+    def _read_typed(self, dirs: list[tuple[str, T.StructType]], schema: T.StructType, more: list) -> DataFrame:
+        """Directories as one frame of the table's present types.
+
+        Files keep the types of their time; directories whose types agree are
+        read together, so there is one branch per change of a type, not per commit.
+        """
+        now = {f.name: f.dataType for f in schema.fields}
+        groups: dict[str, tuple[T.StructType, list[str]]] = {}
+        for path, then in dirs:
+            before = [f for f in then.fields if now.get(f.name) not in (None, f.dataType)]
+            types = {f.name: f.dataType for f in before}
+            kind = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType), True) for f in schema.fields])
+            groups.setdefault(T.StructType(before).json(), (kind, []))[1].append(path)
+        frames = [conform(self.spark.read.schema(T.StructType([*kind.fields, *more])).option("basePath", self.path).parquet(*paths), schema)
+                  .select(*[f"`{f.name}`" for f in [*schema.fields, *more]])
+                  for kind, paths in groups.values()]
+        return functools.reduce(DataFrame.unionByName, frames)
+
     def state(self, as_of: int | None = None) -> DataFrame | None:
         """Folded state with tombstones (`_seen`), as of commit `as_of`."""
         sdf, log, schema, bound = self._inputs(as_of)
@@ -341,7 +378,7 @@ class ChangeTable:
         _, logs, _ = self._plan(as_of)
         wanted = set(logs)
         payload_all = [f.name for f in schema.fields]
-        partial = partial_columns([payload_all] + [c.batch_columns for c in self._meta() if c.commit in wanted])
+        partial = partial_columns([payload_all] + [c.batch_columns for c in self._meta() if c.commit in wanted and c.kind == "merge"])
         if sdf is None:
             return latest_state(log, self.spec, partial_columns=partial)
         payload = [f.name for f in schema.fields]
@@ -428,7 +465,7 @@ class ChangeTable:
         pk = list(self.spec.primary_key)
         rows = self.spark.read.parquet(f"{self.log_path}/_commit={commit}").select(
             *pk, change_order().alias("_new"))
-        prior = [c.commit for c in self._meta() if c.commit < commit]
+        prior = [c.commit for c in self._meta() if c.commit < commit and c.kind != "vacuum"]
         before = self.state(as_of=prior[-1]) if prior else None
         if before is None:
             return rows.count()
@@ -458,8 +495,14 @@ class ChangeTable:
         meta = self._meta()
         if not meta:
             raise FileNotFoundError(f"no table at {self.path}")
-        st = self.state()
-        sdf, log, _, _ = self._inputs()
+        # everything below refers to one version, whatever a stream commits meanwhile
+        as_of = meta[-1].commit
+        upto = max((c.commit for c in meta if c.kind in ("merge", "empty")), default=-1)
+        st = self.state(as_of)
+        if st is None:
+            raise FileNotFoundError(f"no rows at {self.path}")
+        written = self._plan(as_of)[2]
+        sdf, log, _, _ = self._inputs(as_of)
         keep = list(self.spec.zorder_by) + list(self.spec.partition_by)
         parts = [d.select(*keep) for d in (sdf, log) if d is not None]
         raw = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -467,23 +510,27 @@ class ChangeTable:
         before = layout.bytes_under(self.spark, self.path)
         # Sized from what the current version reads, not from superseded
         # directories a vacuum has not removed yet.
-        live_bytes = sum(layout.bytes_under(self.spark, d) for d in self._active_dirs())
+        live_bytes = sum(layout.bytes_under(self.spark, d) for d in self._active_dirs(as_of))
         n_files = layout.plan_files(live_bytes, target_file_mb)
         started = time.monotonic()
         data = layout.clustered(
             st, n_files,
             zorder_by=self.spec.zorder_by if zorder else (),
             partition_by=self.spec.partition_by,
+            key=self.spec.primary_key,
             stats=raw,  # quantiles from the scans, not from the fold
         )
         writer = data.write.mode("overwrite")
         if self.spec.partition_by:
-            writer = writer.partitionBy(*self.spec.partition_by)
+            # Directories from copies: the files keep the columns themselves, so an
+            # empty string or any other value reads back as it was.
+            copies = {f"{_DIR}{c}": F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in self.spec.partition_by}
+            writer = data.withColumns(copies).write.mode("overwrite").partitionBy(*copies)
         writer.parquet(f"{self.snapshot_path}/_commit={n}")
         elapsed = time.monotonic() - started
         self._write_commit({
-            "_commit": n, "kind": "optimize", "schema_json": self.schema().json(),
-            "files": None, "ts_ms": int(time.time() * 1000),
+            "_commit": n, "kind": "optimize", "schema_json": written.json(),
+            "files": None, "upto": upto, "ts_ms": int(time.time() * 1000),
         })
         return {"table": self.spec.name, "commit": n, "bytes_before": before,
                 "optimize_seconds": round(elapsed, 3), "zordered_by": list(self.spec.zorder_by) if zorder else []}
@@ -499,22 +546,20 @@ class ChangeTable:
         horizon = now_ms - retain_hours * 3600 * 1000
         # The newest snapshot already outside the window anchors the cut: every
         # commit before it is superseded by it and older than the horizon.
-        anchors = [c.commit for c in meta if c.kind == "optimize" and c.ts_ms <= horizon]
+        anchors = [c for c in meta if c.kind == "optimize" and c.ts_ms <= horizon]
         if not anchors:
             return {"table": self.spec.name, "removed": 0}
-        keep_from = max(anchors)
+        anchor = max(anchors, key=lambda c: c.commit)
+        # The row first: a crash after it leaves directories that nothing reads,
+        # not versions that can't be read. batch_id is the oldest readable commit.
+        self._write_commit({"_commit": meta[-1].commit + 1, "kind": "vacuum", "batch_id": anchor.commit, "ts_ms": now_ms})
         removed = 0
         for c in meta:
-            if c.commit >= keep_from:
-                continue
-            if c.kind == "merge":
+            if c.kind == "merge" and c.commit <= anchor.folded:
                 removed += int(layout.delete_path(self.spark, f"{self.log_path}/_commit={c.commit}"))
-            elif c.kind == "optimize":
+            elif c.kind == "optimize" and c.commit < anchor.commit:
                 removed += int(layout.delete_path(self.spark, f"{self.snapshot_path}/_commit={c.commit}"))
-        # For a vacuum commit, batch_id records the oldest readable commit.
-        self._write_commit({"_commit": meta[-1].commit + 1, "kind": "vacuum", "batch_id": keep_from,
-                            "ts_ms": now_ms})
-        return {"table": self.spec.name, "removed": removed, "oldest_readable": keep_from}
+        return {"table": self.spec.name, "removed": removed, "oldest_readable": anchor.commit}
 
 
 def register_views(spark: SparkSession, root: str, specs) -> list[str]:

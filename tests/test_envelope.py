@@ -1,19 +1,19 @@
 from pyspark.sql import functions as F
 
-from conftest import envelope, order
+from conftest import event, order
 from keyfold.functions.schema import infer_payload_schema, variant_type_to_struct
 from keyfold.sources.envelope import dead_letters, parse_envelope
 from pyspark.sql import types as T
 
 
-def test_op_types_and_snapshot_flag(make_batch):
-    batch = make_batch([
-        ("1", envelope("r", lsn=1, after=order(1), snapshot="true")),
-        ("2", envelope("c", lsn=2, after=order(2))),
-        ("3", envelope("u", lsn=3, before=order(3), after=order(3, "paid"))),
-        ("4", envelope("d", lsn=4, before=order(4, "gone"))),
-        ("5", envelope("r", lsn=5, after=order(5), snapshot="last")),
-        ("6", envelope("c", lsn=6, after=order(6), snapshot="false")),
+def test_op_types_and_snapshot_flag(key_values):
+    batch = key_values([
+        ("1", event("r", 1, order(1), snapshot="true")),
+        ("2", event("c", 2, order(2))),
+        ("3", event("u", 3, order(3, "paid"), old=order(3))),
+        ("4", event("d", 4, order(4, "gone"))),
+        ("5", event("r", 5, order(5), snapshot="last")),
+        ("6", event("c", 6, order(6), snapshot="false")),
     ])
     rows = {r["_key"]: r for r in parse_envelope(batch).collect()}
     assert [rows[k]["_op"] for k in "123456"] == ["r", "c", "u", "d", "r", "c"]
@@ -24,25 +24,25 @@ def test_op_types_and_snapshot_flag(make_batch):
     assert rows["2"]["_lsn"] == 2 and rows["2"]["_event_ts_ms"] == 1_700_000_000_005
 
 
-def test_tombstones_and_empty_values_dropped(make_batch):
-    batch = make_batch([("1", envelope("d", lsn=1, before=order(1))), ("1", None), ("2", "")])
+def test_tombstones_and_empty_values_dropped(key_values):
+    batch = key_values([("1", event("d", 1, order(1))), ("1", None), ("2", "")])
     out = parse_envelope(batch).collect()
     assert len(out) == 1 and out[0]["_op"] == "d"
 
 
-def test_missing_lsn_defaults_to_zero(make_batch):
-    batch = make_batch([("1", envelope("c", lsn=None, after=order(1)))])
+def test_missing_lsn_defaults_to_zero(key_values):
+    batch = key_values([("1", event("c", None, order(1)))])
     assert parse_envelope(batch).first()["_lsn"] == 0
 
 
-def test_dead_letter_reasons(make_batch):
-    batch = make_batch([
+def test_dead_letter_reasons(key_values):
+    batch = key_values([
         ("1", None),
         ("2", "{bad"),
-        ("3", envelope("t", lsn=3)),
-        ("4", envelope("u", lsn=4)),
-        ("5", envelope("c", lsn=5, after={"order_id": None, "status": "x"})),
-        ("6", envelope("c", lsn=6, after=order(6))),
+        ("3", event("t", 3)),
+        ("4", event("u", 4)),
+        ("5", event("c", 5, {"order_id": None, "status": "x"})),
+        ("6", event("c", 6, order(6))),
     ])
     got = {r["_key"]: r["_reason"] for r in dead_letters(batch, primary_key=["order_id"]).collect()}
     assert got == {"1": "tombstone", "2": "malformed", "3": "truncate", "4": "no_image", "5": "null_key"}
@@ -88,23 +88,23 @@ def test_inference_none_when_nothing_parses(spark):
     assert infer_payload_schema(df.filter(F.lit(False))) is None
 
 
-def test_reasons_agree_with_parse_path(make_batch):
+def test_reasons_agree_with_parse_path(key_values):
     from keyfold.sources.envelope import classify_records
-    batch = make_batch([
+    batch = key_values([
         ("1", None), ("2", ""), ("3", "{bad"), ("4", '{"after": {"order_id": 4}}'),
-        ("5", envelope("t", lsn=5)), ("6", envelope("t", lsn=6, after=order(6))),
-        ("7", envelope("u", lsn=7)), ("8", envelope("d", lsn=8, before=order(8))),
-        ("9", envelope("c", lsn=9, after=order(9))),
+        ("5", event("t", 5)), ("6", event("t", 6, order(6))),
+        ("7", event("u", 7)), ("8", event("d", 8, order(8))),
+        ("9", event("c", 9, order(9))),
     ])
     kept = {r["_key"] for r in parse_envelope(batch).collect()}
     usable = {r["_key"] for r in classify_records(batch).collect() if r["_reason"] is None}
     assert kept == usable == {"4", "6", "8", "9"}
 
 
-def test_one_parse_splits_into_usable_and_unusable(make_batch):
+def test_one_parse_splits_into_usable_and_unusable(key_values):
     from keyfold.sources.envelope import parse_with_reasons, unusable_rows, usable_rows
-    batch = make_batch([("1", None), ("2", "{bad"), ("3", envelope("c", lsn=3, after=order(3))),
-                        ("4", envelope("c", lsn=4, after={"order_id": None}))])
+    batch = key_values([("1", None), ("2", "{bad"), ("3", event("c", 3, order(3))),
+                        ("4", event("c", 4, {"order_id": None}))])
     c = parse_with_reasons(batch, primary_key=["order_id"])
     assert sorted(r["_key"] for r in usable_rows(c).collect()) == sorted(r["_key"] for r in parse_envelope(batch).collect())
     assert {r["_key"]: r["_reason"] for r in unusable_rows(c).collect()} == {"1": "tombstone", "2": "malformed", "4": "null_key"}

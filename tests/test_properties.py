@@ -6,7 +6,7 @@ visible iff it ever had a non-delete change)."""
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import envelope, order
+from conftest import event, order
 from keyfold.operators.dedupe import deduplicate_with_seen
 from keyfold.operators.flatten import flatten_changes
 from keyfold.operators.merge import fold_changes, resolve_latest, visible
@@ -38,7 +38,7 @@ def test_fold_and_resolve_match_model(spark, raw, n_batches, rnd):
     records = []
     for key, op, status, lsn in events:
         image = order(key, status)
-        env = envelope(op, lsn=lsn, before=image) if op == "d" else envelope(op, lsn=lsn, after=image)
+        env = event(op, lsn, image)
         records.append((str(key), env))
     cuts = sorted(rnd.sample(range(1, len(records)), min(n_batches - 1, len(records) - 1))) if len(records) > 1 else []
     bounds = [0, *cuts, len(records)]

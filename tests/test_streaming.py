@@ -1,12 +1,12 @@
 
-from conftest import envelope, order
+from conftest import event, order
 from keyfold.session import scratch_dir
 from keyfold.sources.envelope import KAFKA_SHAPE, parse_envelope
 from keyfold.sources.files import write_records
 from keyfold.operators.flatten import flatten_changes
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
-from keyfold.streaming.sink import ProgressRecorder, StreamConfig, progress_frame, run_streams, start_table_stream, summarise
+from keyfold.streaming.sink import ProgressRecorder, StreamConfig, ingested, process_batch, run_streams, start_table_stream
 from keyfold.table import ChangeTable
 
 ORDERS = get_spec("orders")
@@ -24,10 +24,11 @@ def setup(spark):
 
 
 def drain(spark, cfg, spec=ORDERS):
-    h = start_table_stream(spark, cfg, spec, once=True)
-    h.query.awaitTermination()
-    assert h.query.exception() is None
-    return h
+    """Run one table's stream to its end; what it has ingested over all its runs."""
+    query = start_table_stream(spark, cfg, spec, once=True)
+    query.awaitTermination()
+    mine = ingested(spark, cfg, [spec]).filter(f"query_id = '{query.id}'").collect()
+    return mine[0] if mine else None
 
 
 def state(spark, cfg):
@@ -37,32 +38,31 @@ def state(spark, cfg):
 
 def test_drain_restart_and_fresh_checkpoint(spark):
     root, cfg, topic = setup(spark)
-    write_records(records(spark, [("1", envelope("c", lsn=1, after=order(1))),
-                                  ("2", envelope("c", lsn=2, after=order(2)))]), topic)
+    write_records(records(spark, [("1", event("c", 1, order(1))),
+                                  ("2", event("c", 2, order(2)))]), topic)
+    h = drain(spark, cfg)
+    assert h.events == 2
+    write_records(records(spark, [("1", event("u", 3, order(1, "paid"))),
+                                  ("2", event("d", 4, order(2))), ("2", None)]), topic)
     h = drain(spark, cfg)
-    assert h.stats.events == 2
-    write_records(records(spark, [("1", envelope("u", lsn=3, after=order(1, "paid"))),
-                                  ("2", envelope("d", lsn=4, before=order(2))), ("2", None)]), topic)
-    drain(spark, cfg)
     expected = [(1, "paid", False), (2, "new", True)]
     assert state(spark, cfg) == expected
     # restart on the same checkpoint: nothing reprocessed
     again = drain(spark, cfg)
-    assert again.stats.batches == 0
+    assert again == h and again.events == 4
     # full replay with a fresh checkpoint: state unchanged
     fresh = StreamConfig(lake_root=cfg.lake_root, checkpoint_root=f"{root}/ck-fresh", source_root=cfg.source_root)
     replay = drain(spark, fresh)
-    assert replay.stats.events == 4
+    assert replay.events == 4
     assert state(spark, cfg) == expected
-    s = summarise([again, replay])
-    assert s["total_events"] == 4
+    assert sum(r.events for r in ingested(spark, fresh, [ORDERS]).collect()) == 8
 
 
 def test_schema_evolves_mid_stream(spark):
     root, cfg, topic = setup(spark)
-    write_records(records(spark, [("1", envelope("c", lsn=1, after=order(1)))]), topic)
+    write_records(records(spark, [("1", event("c", 1, order(1)))]), topic)
     drain(spark, cfg)
-    write_records(records(spark, [("2", envelope("c", lsn=2, after=order(2, priority="high")))]), topic)
+    write_records(records(spark, [("2", event("c", 2, order(2, priority="high")))]), topic)
     drain(spark, cfg)
     t = ChangeTable(spark, f"{cfg.lake_root}/orders", ORDERS)
     got = sorted((r["order_id"], r["priority"]) for r in t.read().collect())
@@ -71,20 +71,65 @@ def test_schema_evolves_mid_stream(spark):
 
 def test_failing_table_does_not_stop_others(spark):
     root, cfg, topic = setup(spark)
-    write_records(records(spark, [("1", envelope("c", lsn=1, after=order(1)))]), topic)
-    broken = TableSpec("broken", ("no_such_column",))
-    # the broken table's topic holds an image whose key column is missing entirely
-    write_records(records(spark, [("x", envelope("c", lsn=1, after={"a": 1}, table="broken"))], "broken"),
-                  f"{root}/src/cdc.shop.broken")
-    handles, failures = run_streams(spark, cfg, [ORDERS, broken], once=True, timeout_seconds=120)
-    assert "broken" in failures and "orders" not in failures
+    write_records(records(spark, [("1", event("c", 1, order(1)))]), topic)
+    broken = TableSpec("broken", ("a",))
+    write_records(records(spark, [("x", event("c", 1, {"a": 1}, table="broken"))], "broken"), f"{root}/src/cdc.shop.broken")
+    # a file where the table's folder should be
+    from keyfold.operators import layout
+    layout.make_dirs(spark, cfg.lake_root)
+    spark.createDataFrame([(1,)], "x int").coalesce(1).write.parquet(f"{cfg.lake_root}/broken/log/_commit=0/x.parquet")
+    fs, path = layout._fs(spark, f"{cfg.lake_root}/broken/commits")
+    fs.create(path).close()
+    queries, failures = run_streams(spark, cfg, [ORDERS, broken], once=True, timeout_seconds=120)
+    assert set(failures) == {"broken"}
+    assert not any(q.isActive for q in queries.values())
     assert state(spark, cfg) == [(1, "new", False)]
 
 
+def test_bad_batches_dont_stop_a_stream(spark):
+    """Tombstones only, NULL keys only, no key column, keys that don't fit: all become dead letters."""
+    root, cfg, topic = setup(spark)
+    batches = [
+        [("1", event("c", 1, order(1)))],
+        [("1", None), ("2", "")],
+        [("3", event("c", 3, {"order_id": None, "status": "x"}))],
+        [("4", event("c", 4, {"status": "x"}))],
+        [("A", event("c", 5, order("A1"))), ("B", event("c", 6, order("B2"))), ("5", event("c", 7, {**order(5), "order_id": 5.5})),
+         ("6", event("c", 8, order("6")))],
+        [("1", event("u", 9, order(1, "paid")))],
+    ]
+    for batch in batches:
+        write_records(records(spark, batch), topic)
+        got = drain(spark, cfg)
+    assert state(spark, cfg) == [(1, "paid", False), (6, "new", False)]
+    reasons = spark.read.parquet(f"{cfg.lake_root}/orders/dead_letters").groupBy("_reason").count().collect()
+    assert {r[0]: r[1] for r in reasons} == {"tombstone": 2, "null_key": 2, "bad_key": 3}
+    assert got.dropped == 3  # batches without any usable record leave no commit
+
+
+def test_pinned_schema_and_batch_without_rows(spark):
+    pinned = ORDERS.with_(schema=flatten_changes(parse_envelope(records(spark, [("1", event("c", 1, order(1)))])), ORDERS)
+                          .drop("_op", "_lsn", "_source_ts_ms", "_event_ts_ms", "_is_snapshot", "_deleted", "_ingested_at").schema)
+    t = ChangeTable(spark, scratch_dir(spark, "pinned") + "/orders", pinned)
+    process_batch(spark, records(spark, [("1", event("c", 1, order(1)))]), t, query_id="q", batch_id=0)
+    process_batch(spark, records(spark, [("1", None)]), t, query_id="q", batch_id=1)
+    assert [c.kind for c in t._meta()] == ["merge", "empty"]
+    assert t.read().count() == 1
+    t.optimize()
+    assert t.read().count() == 1
+
+
+def test_folder_sources_start_at_the_beginning(spark):
+    root, cfg, _ = setup(spark)
+    cfg.starting_offsets = "latest"
+    queries, failures = run_streams(spark, cfg, [ORDERS], once=True)
+    assert not queries and "earliest" in failures["orders"]
+
+
 def test_continuous_latest_per_key_and_window_counts(spark):
     root = scratch_dir(spark, "cont")
     src = f"{root}/src"
-    recs = [(str(u), envelope("c", lsn=i, after={"user_id": u, "v": i}, ts_ms=3_600_000 * (i % 3)))
+    recs = [(str(u), event("c", i, {"user_id": u, "v": i}, at=3_600_000 * (i % 3)))
             for i, u in enumerate([1, 2, 1, 3, 1, 2], start=1)]
     for chunk in (recs[:3], recs[3:]):
         write_records(records(spark, chunk, "users"), src)
@@ -110,7 +155,7 @@ def test_progress_listener_and_frame(spark):
     recorder = ProgressRecorder()
     spark.streams.addListener(recorder)
     try:
-        write_records(records(spark, [("1", envelope("c", lsn=1, after=order(1)))]), topic)
+        write_records(records(spark, [("1", event("c", 1, order(1)))]), topic)
         h = drain(spark, cfg)
         import time
         for _ in range(50):  # listener events arrive asynchronously
@@ -119,26 +164,24 @@ def test_progress_listener_and_frame(spark):
             time.sleep(0.1)
     finally:
         spark.streams.removeListener(recorder)
-    assert any(r[0] == "keyfold-orders" and r[3] == 1 for r in recorder.rows)
-    assert progress_frame(spark, [h]).filter("input_rows = 1").count() >= 1
+    assert recorder.frame(spark).filter("query_name = 'keyfold-orders' and input_rows = 1").count() == 1
 
 
 def test_dropped_records_land_in_dead_letters(spark):
     root, cfg, topic = setup(spark)
-    write_records(records(spark, [("1", envelope("c", lsn=1, after=order(1))), ("1", None), ("2", "{bad"),
-                                  ("3", envelope("t", lsn=3)),
-                                  ("4", envelope("c", lsn=4, after={"status": "x", "order_id": None}))]), topic)
+    write_records(records(spark, [("1", event("c", 1, order(1))), ("1", None), ("2", "{bad"),
+                                  ("3", event("t", 3)),
+                                  ("4", event("c", 4, {"status": "x", "order_id": None}))]), topic)
     h = drain(spark, cfg)
-    assert h.stats.events == 1 and h.stats.dropped == 4
+    assert h.events == 1 and h.dropped == 4
     dlq = spark.read.parquet(f"{cfg.lake_root}/orders/dead_letters")
     assert sorted(r["_reason"] for r in dlq.collect()) == ["malformed", "null_key", "tombstone", "truncate"]
     assert state(spark, cfg) == [(1, "new", False)]
 
 
 def test_retried_batch_does_not_duplicate_dead_letters_or_rows(spark):
-    from keyfold.streaming.sink import process_batch
     t = ChangeTable(spark, scratch_dir(spark, "retry") + "/orders", ORDERS)
-    batch = records(spark, [("1", envelope("c", lsn=1, after=order(1))), ("2", "{bad"), ("3", None)])
+    batch = records(spark, [("1", event("c", 1, order(1))), ("2", "{bad"), ("3", None)])
     first = process_batch(spark, batch, t, query_id="q", batch_id=7)
     again = process_batch(spark, batch, t, query_id="q", batch_id=7)
     assert first["dropped"] == 2 and again["skipped"]

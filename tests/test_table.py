@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import envelope, order
+from conftest import event, order
 from keyfold.operators import layout
 from keyfold.operators.flatten import flatten_changes
 from keyfold.session import scratch_dir
@@ -12,11 +12,11 @@ from keyfold.table import ChangeTable, VersionNotAvailable
 ORDERS = get_spec("orders")
 
 
-def write(table, make_batch, records, **kw):
-    return table.append_changes(flatten_changes(parse_envelope(make_batch(records)), table.spec), **kw)
+def write(table, key_values, records, **kw):
+    return table.append_changes(flatten_changes(parse_envelope(key_values(records)), table.spec), **kw)
 
 
-def fragmented(spark, make_batch, batches=8, per_batch=5, path=None):
+def fragmented(spark, key_values, batches=8, per_batch=5, path=None):
     t = ChangeTable(spark, path or scratch_dir(spark, "t"), ORDERS)
     lsn = 0
     for b in range(batches):
@@ -24,9 +24,9 @@ def fragmented(spark, make_batch, batches=8, per_batch=5, path=None):
         for i in range(per_batch):
             lsn += 1
             oid = b * per_batch + i
-            recs.append((str(oid), envelope("c", lsn=lsn, after=order(oid, ["new", "paid"][oid % 2],
+            recs.append((str(oid), event("c", lsn, order(oid, ["new", "paid"][oid % 2],
                                                                        10.0 * oid, oid % 7))))
-        write(t, make_batch, recs)
+        write(t, key_values, recs)
     return t
 
 
@@ -34,10 +34,10 @@ def content(df):
     return sorted(tuple(r) for r in df.select("order_id", "status", "amount", "_lsn", "_deleted").collect())
 
 
-def test_time_travel_and_history(spark, make_batch):
+def test_time_travel_and_history(spark, key_values):
     t = ChangeTable(spark, scratch_dir(spark, "tt"), ORDERS)
-    write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1, "new")))])
-    write(t, make_batch, [("1", envelope("u", lsn=2, after=order(1, "shipped")))])
+    write(t, key_values, [("1", event("c", 1, order(1, "new")))])
+    write(t, key_values, [("1", event("u", 2, order(1, "shipped")))])
     assert t.read(as_of=0).first()["status"] == "new"
     assert t.read().first()["status"] == "shipped"
     assert [r["_commit"] for r in t.history().collect()] == [1, 0]
@@ -45,37 +45,37 @@ def test_time_travel_and_history(spark, make_batch):
         t.read(as_of=5)
 
 
-def test_same_query_batch_is_committed_once(spark, make_batch):
+def test_same_query_batch_is_committed_once(spark, key_values):
     t = ChangeTable(spark, scratch_dir(spark, "idem"), ORDERS)
-    recs = [("1", envelope("c", lsn=1, after=order(1)))]
-    first = write(t, make_batch, recs, query_id="q", batch_id=0)
-    again = write(t, make_batch, recs, query_id="q", batch_id=0)
+    recs = [("1", event("c", 1, order(1)))]
+    first = write(t, key_values, recs, query_id="q", batch_id=0)
+    again = write(t, key_values, recs, query_id="q", batch_id=0)
     assert not first["skipped"] and again["skipped"]
     assert t.commits().count() == 1
 
 
-def test_uncommitted_directory_is_invisible_and_rewritten(spark, make_batch):
+def test_uncommitted_directory_is_invisible_and_rewritten(spark, key_values):
     t = ChangeTable(spark, scratch_dir(spark, "half"), ORDERS)
-    write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1)))])
+    write(t, key_values, [("1", event("c", 1, order(1)))])
     # a crashed writer left data for commit 1 but no commit row
-    stray = flatten_changes(parse_envelope(make_batch([("2", envelope("c", lsn=2, after=order(2)))])), ORDERS)
+    stray = flatten_changes(parse_envelope(key_values([("2", event("c", 2, order(2)))])), ORDERS)
     stray.drop("_ingested_at").withColumn("_seen", F.lit(True)).withColumn("_h", F.lit(0).cast("long")) \
         .withColumn("_cols", F.array(F.lit("order_id"))).write.parquet(f"{t.log_path}/_commit=1")
     assert [r["order_id"] for r in t.read().collect()] == [1]
-    write(t, make_batch, [("3", envelope("c", lsn=3, after=order(3)))])
+    write(t, key_values, [("3", event("c", 3, order(3)))])
     assert sorted(r["order_id"] for r in t.read().collect()) == [1, 3]
 
 
-def test_summary_counts(spark, make_batch):
+def test_summary_counts(spark, key_values):
     t = ChangeTable(spark, scratch_dir(spark, "sum"), ORDERS)
-    s = write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1))),
-                              ("1", envelope("u", lsn=2, after=order(1, "paid"))),
-                              ("2", envelope("c", lsn=3, after=order(2)))])
+    s = write(t, key_values, [("1", event("c", 1, order(1))),
+                              ("1", event("u", 2, order(1, "paid"))),
+                              ("2", event("c", 3, order(2)))])
     assert (s["events"], s["deduped"], s["collapsed"]) == (3, 2, 1)
 
 
-def test_compaction_reduces_files_and_keeps_content(spark, make_batch):
-    t = fragmented(spark, make_batch)
+def test_compaction_reduces_files_and_keeps_content(spark, key_values):
+    t = fragmented(spark, key_values)
     before_files = layout.file_stats(spark, t.path).first()["files"]
     before = content(t.read())
     active_before = t.active_files().count()
@@ -91,17 +91,17 @@ def test_compaction_reduces_files_and_keeps_content(spark, make_batch):
     assert content(t.read()) == before
 
 
-def test_compaction_without_zorder_and_writes_after_it(spark, make_batch):
-    t = fragmented(spark, make_batch, batches=3)
+def test_compaction_without_zorder_and_writes_after_it(spark, key_values):
+    t = fragmented(spark, key_values, batches=3)
     t.optimize(zorder=False)
-    write(t, make_batch, [("0", envelope("u", lsn=100, after=order(0, "shipped")))])
+    write(t, key_values, [("0", event("u", 100, order(0, "shipped")))])
     row = t.read().filter("order_id = 0").first()
     assert row["status"] == "shipped" and row["_lsn"] == 100
     assert t.read().count() == 15
 
 
-def test_vacuum_keeps_time_travel_inside_window(spark, make_batch):
-    t = fragmented(spark, make_batch, batches=3)
+def test_vacuum_keeps_time_travel_inside_window(spark, key_values):
+    t = fragmented(spark, key_values, batches=3)
     t.optimize()
     res = t.vacuum(retain_hours=168)  # nothing is a week old
     assert res["removed"] == 0
@@ -124,12 +124,12 @@ def test_missing_table_raises(spark):
         t.optimize()
 
 
-def test_maintain_all_skips_missing_tables_and_consolidates_commits(spark, make_batch):
-    from keyfold.plans.maintenance import maintain_all
+def test_maintain_skips_missing_tables_and_consolidates_commits(spark, key_values):
+    from keyfold.plans.maintenance import maintain
     from keyfold.spec import TABLE_SPECS
     root = scratch_dir(spark, "lake")
-    fragmented(spark, make_batch, batches=4, path=f"{root}/orders")
-    res = {r["table_name"]: r for r in maintain_all(spark, root, list(TABLE_SPECS), retain_hours=0,
+    fragmented(spark, key_values, batches=4, path=f"{root}/orders")
+    res = {r["table_name"]: r for r in maintain(spark, root, TABLE_SPECS, retain_hours=0,
                                                      allow_short_retention=True).collect()}
     assert set(res) == {"orders"}
     assert res["orders"]["files_after"] < res["orders"]["files_before"]
@@ -139,12 +139,12 @@ def test_maintain_all_skips_missing_tables_and_consolidates_commits(spark, make_
     assert moved.commits().dropDuplicates(["_commit"]).count() == 6
 
 
-def test_touched_key_read_equals_full_fold(spark, make_batch):
-    t = fragmented(spark, make_batch, batches=4)
+def test_touched_key_read_equals_full_fold(spark, key_values):
+    t = fragmented(spark, key_values, batches=4)
     t.optimize()
-    write(t, make_batch, [("1", envelope("u", lsn=100, after=order(1, "shipped", priority="p1"))),
-                          ("2", envelope("d", lsn=101, before=order(2))),
-                          ("77", envelope("d", lsn=102, before=order(77)))])
+    write(t, key_values, [("1", event("u", 100, order(1, "shipped", priority="p1"))),
+                          ("2", event("d", 101, order(2))),
+                          ("77", event("d", 102, order(77)))])
     fast = content(t.read())
     t.BROADCAST_KEYS_MAX_ROWS = 0  # force the full fold
     full = content(t.read())
@@ -155,13 +155,13 @@ def test_touched_key_read_equals_full_fold(spark, make_batch):
     assert sorted(r["priority"] for r in t.read().filter("order_id = 1").collect()) == ["p1"]
 
 
-def test_zorder_clusters_both_columns(spark, make_batch):
+def test_zorder_clusters_both_columns(spark, key_values):
     from keyfold.spec import TableSpec
     spec = TableSpec("grid", ("order_id",), zorder_by=("customer_id", "order_id"))
     t = ChangeTable(spark, scratch_dir(spark, "grid"), spec)
-    recs = [(str(i), envelope("c", lsn=i + 1, after=order(i, "new", 1.0, (i * 7919) % 1600)))
+    recs = [(str(i), event("c", i + 1, order(i, "new", 1.0, (i * 7919) % 1600)))
             for i in range(1600)]
-    write(t, make_batch, recs)
+    write(t, key_values, recs)
     t.optimize(target_file_mb=0.005)
     files = spark.read.parquet(f"{t.snapshot_path}/_commit=1").select(
         F.col("_metadata.file_path").alias("f"), "customer_id", "order_id")
@@ -174,49 +174,110 @@ def test_zorder_clusters_both_columns(spark, make_batch):
     assert t.read().count() == 1600
 
 
-def test_column_absent_from_later_commit_keeps_value(spark, make_batch):
+def test_column_absent_from_later_commit_keeps_value(spark, key_values):
     t = ChangeTable(spark, scratch_dir(spark, "absent"), ORDERS)
-    write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1, priority="high"))),
-                          ("2", envelope("c", lsn=2, after=order(2, priority="low")))])
-    write(t, make_batch, [("1", envelope("u", lsn=3, after=order(1, "paid")))])
+    write(t, key_values, [("1", event("c", 1, order(1, priority="high"))),
+                          ("2", event("c", 2, order(2, priority="low")))])
+    write(t, key_values, [("1", event("u", 3, order(1, "paid")))])
     got = {r["order_id"]: (r["status"], r["priority"]) for r in t.read().collect()}
     assert got == {1: ("paid", "high"), 2: ("new", "low")}
     t.optimize()
-    write(t, make_batch, [("2", envelope("u", lsn=4, after=order(2, "shipped")))])
+    write(t, key_values, [("2", event("u", 4, order(2, "shipped")))])
     got = {r["order_id"]: (r["status"], r["priority"]) for r in t.read().collect()}
     assert got == {1: ("paid", "high"), 2: ("shipped", "low")}
 
 
-def test_ingestion_time_kept_for_freshness_and_lag(spark, make_batch):
+def test_ingestion_time_kept_for_freshness_and_lag(spark, key_values):
     from keyfold.plans.analytics import freshness
     t = ChangeTable(spark, scratch_dir(spark, "fresh"), ORDERS)
-    write(t, make_batch, [("1", envelope("c", lsn=7, after=order(1)))])
+    write(t, key_values, [("1", event("c", 7, order(1)))])
     t.optimize()
-    write(t, make_batch, [("2", envelope("c", lsn=9, after=order(2)))])
+    write(t, key_values, [("2", event("c", 9, order(2)))])
     r = freshness({"orders": t.read()}, with_lag=True).first()
     assert r["max_lsn"] == 9 and r["last_write"] is not None and r["max_lag_seconds"] > 0
 
 
-def test_hard_delete_table_keeps_tombstone_against_replay(spark, make_batch):
+def test_hard_delete_table_keeps_tombstone_against_replay(spark, key_values):
     spec = ORDERS.with_(hard_delete=True)
     t = ChangeTable(spark, scratch_dir(spark, "hard"), spec)
-    write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1))), ("2", envelope("c", lsn=2, after=order(2)))])
-    write(t, make_batch, [("1", envelope("d", lsn=3, before=order(1)))])
+    write(t, key_values, [("1", event("c", 1, order(1))), ("2", event("c", 2, order(2)))])
+    write(t, key_values, [("1", event("d", 3, order(1)))])
     assert sorted(r["order_id"] for r in t.read().collect()) == [2]
     t.optimize()
     # replaying the old insert does not bring the row back (Q4)
-    write(t, make_batch, [("1", envelope("c", lsn=1, after=order(1)))])
+    write(t, key_values, [("1", event("c", 1, order(1)))])
     assert sorted(r["order_id"] for r in t.read().collect()) == [2]
 
 
-def test_registry_summary_and_applied_counts(spark, make_batch):
+def test_registry_summary_and_applied_counts(spark, key_values):
     t = ChangeTable(spark, scratch_dir(spark, "meta"), ORDERS)
-    first = [("1", envelope("c", lsn=1, after=order(1))), ("2", envelope("c", lsn=2, after=order(2)))]
-    write(t, make_batch, first)
-    write(t, make_batch, [("1", envelope("u", lsn=3, after=order(1, "paid", priority="p")))])
-    write(t, make_batch, first)  # replay
+    first = [("1", event("c", 1, order(1))), ("2", event("c", 2, order(2)))]
+    write(t, key_values, first)
+    write(t, key_values, [("1", event("u", 3, order(1, "paid", priority="p")))])
+    write(t, key_values, first)  # replay
     reg = {r["column_name"]: (r["data_type"], r["first_commit"]) for r in t.schema_registry().collect()}
     assert reg["priority"] == ("string", 1) and reg["order_id"] == ("bigint", 0)
     s = t.ingest_summary().first()
     assert (s["commits"], s["events"], s["rows_merged"]) == (3, 5, 5)
     assert [t.applied_rows(c) for c in range(3)] == [2, 1, 0]
+
+
+def test_commit_during_compaction_is_kept(spark, key_values, monkeypatch):
+    """A stream commits between the fold and the publication of the snapshot, under the same number."""
+    t = fragmented(spark, key_values, batches=2)
+    other = ChangeTable(spark, t.path, ORDERS)
+    real = t._write_commit
+
+    def late(info):
+        write(other, key_values, [("99", event("c", 999, order(99)))], query_id="q", batch_id=7)
+        real(info)
+
+    monkeypatch.setattr(t, "_write_commit", late)
+    t.optimize()
+    monkeypatch.undo()
+    for table in (t, other, ChangeTable(spark, t.path, ORDERS)):
+        assert 99 in [r.order_id for r in table.read().collect()]
+    t.consolidate_commits()
+    t.optimize()
+    t.vacuum(retain_hours=0, allow_short_retention=True)
+    assert t.read().count() == 11 and 99 in [r.order_id for r in ChangeTable(spark, t.path, ORDERS).read().collect()]
+
+
+def test_empty_partition_value_is_kept(spark, key_values):
+    t = ChangeTable(spark, scratch_dir(spark, "blank"), ORDERS)
+    write(t, key_values, [("1", event("c", 1, order(1, ""))), ("2", event("c", 2, order(2, None))), ("3", event("c", 3, order(3, "new")))])
+    before = content(t.read())
+    t.optimize()
+    assert content(t.read()) == before
+    assert t.read().filter("status = ''").count() == 1
+
+
+def test_both_fold_plans_agree(spark, key_values, monkeypatch):
+    t = fragmented(spark, key_values, batches=2)
+    t.optimize()
+    write(t, key_values, [("0", event("u", 500, order(0, "paid"))), (None, event("c", 501, order(None)))])
+    small = content(t.read())
+    monkeypatch.setattr(ChangeTable, "BROADCAST_KEYS_MAX_ROWS", 0)
+    assert content(t.read()) == small
+
+
+def sizes(df):
+    return [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_clustering_fills_as_many_files_as_asked(spark):
+    rows = spark.range(40_000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("c"))
+    one = sizes(layout.clustered(rows, 500, zorder_by=["c"], key=["k"]))
+    assert len(one) >= 475 and max(one) < 3 * 40_000 / 500
+    plain = sizes(layout.clustered(rows, 100))
+    assert len(plain) >= 95 and max(plain) < 3 * 40_000 / 100
+
+
+@pytest.mark.parametrize("column", ["date_add(date'2020-01-01', int(k % 400))", "concat('cust-', lpad(k % 400, 4, '0'))",
+                                    "timestamp_seconds(k % 400 * 86400)", "if(k % 50 = 0, double('inf'), double(k % 400))"])
+def test_zorder_keeps_the_order_of_any_type(spark, column):
+    rows = spark.range(20_000).select(F.col("id").alias("k")).withColumn("c", F.expr(column))
+    laid = layout.clustered(rows, 50, zorder_by=["c"], key=["k"])
+    ranges = laid.groupBy(F.spark_partition_id()).agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    point = rows.filter("k = 123").first()["c"]
+    assert ranges.filter((F.col("lo") <= F.lit(point)) & (F.col("hi") >= F.lit(point))).count() <= 5
