@@ -22,14 +22,16 @@ from keyfold.operators.history import row_history
 from keyfold.operators.merge import apply_changes, stack_batches
 from keyfold.operators.reconcile import reconcile, table_checksum
 from keyfold.plans import analytics as K
+from keyfold.plans.maintenance import maintain
 from keyfold.plans.pipeline import flattened_batches, fold_in_order, merge_in_order, resolve_log
+from keyfold.plans.runner import run_named
 from keyfold.session import scratch_dir
 from keyfold.sources import changelogs as logs
 from keyfold.sources.envelope import KAFKA_SHAPE, classify_records, dead_letters, parse_envelope
 from keyfold.sources.files import read_records, stage_records, topic, write_records
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
-from keyfold.streaming.sink import StreamConfig, start_table_stream
+from keyfold.streaming.sink import StreamConfig, process_batch, start_table_stream
 from keyfold.table import ChangeTable, register_views
 
 ORDERS = get_spec("orders")
@@ -370,17 +372,23 @@ def q_stream_latest_per_key(spark, sf_dir):
 
 
 def q_windowed_op_counts(spark, sf_dir):
+    """Counts per hour over a topic in order of time, as a database log gives it, with a watermark of hours.
+
+    The events are written as four files sets, one stretch of time after the
+    other; each is a micro-batch of its own. Within a batch any order goes."""
     root = scratch_dir(spark, "window")
-    changes, _ = _user_stream(spark, sf_dir, root)
-    # The derived topic is produced by one parallel write, so its files carry
-    # no time order and any micro-batch can hold events from the whole extract:
-    # the lateness bound must cover that span or events would be dropped. On a
-    # time-ordered source (a topic fed by the database log) it is the source's
-    # real disorder, e.g. "1 hour".
-    view = continuous.windowed_op_counts_view(changes, window="1 hour", watermark="3650 days",
-                                              group_by="event_type")
-    q = continuous.start_view(view, f"{root}/out", f"{root}/checkpoint")
-    q.awaitTermination()
+    topic_dir = f"{root}/topics/user_activity"
+    changes = stage_records(spark, logs.events_changes(spark, sf_dir), "window-source")
+    event_time = F.get_json_object("value", "$.ts_ms").cast("long")
+    cuts = changes.agg(F.percentile_approx(event_time, [0.25, 0.5, 0.75], 1000)).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = changes.where((event_time > low) if low is not None else F.lit(True)).where((event_time <= high) if high is not None else F.lit(True))
+        write_records(part.coalesce(1), topic_dir)
+    schema = infer_payload_schema(parse_envelope(read_records(spark, topic_dir)))
+    stream = spark.readStream.schema(KAFKA_SHAPE).option("maxFilesPerTrigger", 1).parquet(topic_dir)
+    rows = flatten_changes(parse_envelope(stream), USERS.with_(schema=schema))
+    view = continuous.windowed_op_counts_view(rows, window="1 hour", watermark="2 hours", group_by="event_type")
+    continuous.start_view(view, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return continuous.read_latest_rows(spark, f"{root}/out", ["window_start_ms", "event_type"])
 
 
@@ -497,6 +505,157 @@ def q_diff_to_changes_roundtrip(spark, sf_dir):
     return live(state).select("order_id", "customer_id", "status", "total_amount")
 
 
+# ------------------------------------------------ drift, bad input, overlaps
+
+
+def _order_log(spark, sf_dir, op: str, lsn, where: str = "true", *, label: str, **columns) -> DataFrame:
+    """One staged batch of order changes: `columns` replace or add image columns (SQL over the orders table; None: left out)."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").where(where)
+    image = {"order_id": "o_orderkey", "customer_id": "o_custkey", "status": "o_orderstatus", "total_amount": "o_totalprice"} | columns
+    body = F.to_json(F.struct(*[F.expr(e).alias(c) for c, e in image.items() if e is not None]), {"ignoreNullFields": "false"})
+    value = logs.envelope_value(op, lsn, table="orders", ts_ms=F.lit(logs.SOURCE_TS_BASE), **{"before" if op == "d" else "after": body})
+    records = logs.kafka_records(o, F.struct(F.col("o_orderkey").alias("order_id")), value, "orders", F.coalesce(lsn, F.lit(0)))
+    return stage_records(spark, records, label)
+
+
+def _streamed(spark, label: str, batches: list[DataFrame], spec: TableSpec = ORDERS) -> ChangeTable:
+    """A table after the batches, each taken as a stream takes it."""
+    table = ChangeTable(spark, scratch_dir(spark, label), spec)
+    for i, batch in enumerate(batches):
+        process_batch(spark, batch, table, query_id=label, batch_id=i)
+    return table
+
+
+def _whole_amounts(spark, sf_dir):
+    return _order_log(spark, sf_dir, "r", F.col("o_orderkey"), label="drift", total_amount="bigint(floor(o_totalprice))")
+
+
+def q_type_drift_widened(spark, sf_dir):
+    """Whole amounts first, fractions later: the column becomes double and loses nothing (E5)."""
+    later = _order_log(spark, sf_dir, "u", F.col("o_orderkey") + 2_000_000_000, "o_orderkey % 3 = 0", label="drift", total_amount="o_totalprice + 0.25D")
+    return _streamed(spark, "drift", [_whole_amounts(spark, sf_dir), later]).read().select("order_id", "total_amount")
+
+
+def q_type_drift_to_string(spark, sf_dir):
+    """Whole amounts first, text later: the column becomes text (E5)."""
+    later = _order_log(spark, sf_dir, "u", F.col("o_orderkey") + 2_000_000_000, "o_orderkey % 3 = 0", label="drift", total_amount="'n/a'")
+    return _streamed(spark, "drift", [_whole_amounts(spark, sf_dir), later]).read().select("order_id", "total_amount")
+
+
+def q_bad_key_dead_letters(spark, sf_dir):
+    """Text keys for a table keyed by integers are dead letters, and no row is merged away."""
+    later = _order_log(spark, sf_dir, "u", F.col("o_orderkey") + 2_000_000_000, "o_orderkey % 31 = 0", label="keys", order_id="concat('X', o_orderkey)")
+    table = _streamed(spark, "keys", [_whole_amounts(spark, sf_dir), later])
+    bad = spark.read.parquet(f"{table.path}/dead_letters").groupBy(F.col("_reason").alias("reason")).agg(F.count("*").alias("records"))
+    return bad.unionByName(table.read().groupBy(F.lit("(table)").alias("reason")).agg(F.count("*").alias("records")))
+
+
+class _Overtaken(ChangeTable):
+    """A table whose next commit row comes after another writer's commit."""
+
+    def __init__(self, table: ChangeTable, late: DataFrame):
+        super().__init__(table.spark, table.path, table.spec)
+        self.late: DataFrame | None = late
+
+    def _write_commit(self, info: dict) -> None:
+        late, self.late = self.late, None
+        if late is not None:
+            ChangeTable(self.spark, self.path, self.spec).append_changes(flatten_changes(parse_envelope(late), self.spec))
+        super()._write_commit(info)
+
+
+def q_optimize_during_stream(spark, sf_dir):
+    """A commit between the fold and the publication of a snapshot is kept, also through the next compaction and a vacuum."""
+    first, second, late = _orders_batches(spark, sf_dir)
+    table = _streamed(spark, "overlap", [first, second])
+    _Overtaken(table, late).optimize()
+    again = ChangeTable(spark, table.path, ORDERS)
+    again.optimize()
+    again.vacuum(retain_hours=0, allow_short_retention=True)
+    return _orders_cols(again.read())
+
+
+def q_stream_with_bad_batches(spark, sf_dir):
+    """Batches of tombstones only, of NULL keys only and without the key column come between good ones; the stream goes on (M7)."""
+    _, cfg, topic_dir = _stream_setup(spark, sf_dir, "bad-batches")
+    first, second, late = _orders_batches(spark, sf_dir)
+    lsn = F.col("o_orderkey") + 6_000_000_000
+    no_key = _order_log(spark, sf_dir, "c", lsn, "o_orderkey % 9 = 0", label="bad", order_id=None)
+    null_key = _order_log(spark, sf_dir, "c", lsn, "o_orderkey % 9 = 1", label="bad", order_id="cast(null as bigint)")
+    for batch in (first, first.withColumn("value", F.lit(None).cast("string")), null_key, second, no_key, late):
+        write_records(batch, topic_dir)
+        _drain(spark, cfg)
+    return _orders_cols(ChangeTable(spark, f"{cfg.lake_root}/orders", ORDERS).read())
+
+
+def q_empty_partition_value_kept(spark, sf_dir):
+    """An empty string in a partition column reads back as it was after compaction."""
+    table = _streamed(spark, "blank", [_order_log(spark, sf_dir, "r", F.col("o_orderkey"), label="blank",
+                                                  status="case when o_orderkey % 2 = 0 then '' when o_orderkey % 3 = 0 then null else o_orderstatus end")])
+    table.optimize()
+    return table.read().select("order_id", "status")
+
+
+def q_delete_wins_tie(spark, sf_dir):
+    """An update and a delete at one LSN and event time: the delete wins."""
+    lsn = F.col("o_orderkey")
+    both = _order_log(spark, sf_dir, "u", lsn, label="tie").unionByName(_order_log(spark, sf_dir, "d", lsn, "o_orderkey % 3 = 0", label="tie"))
+    return deduplicate_batch(flatten_changes(parse_envelope(both), ORDERS), ORDERS).select("order_id", "_op", "_deleted")
+
+
+def q_exact_tie_is_stable(spark, sf_dir):
+    """Two updates alike in everything but their image: the same one wins in either order."""
+    lsn = F.col("o_orderkey")
+    a = _order_log(spark, sf_dir, "u", lsn, label="tie", status="'a'")
+    b = _order_log(spark, sf_dir, "u", lsn, label="tie", status="'b'")
+    one, two = (deduplicate_batch(flatten_changes(parse_envelope(x), ORDERS), ORDERS).select("order_id", "status")
+                for x in (a.unionByName(b), b.unionByName(a)))
+    return one.join(two, ["order_id", "status"]).agg(F.count("*").alias("agreeing"))
+
+
+def q_lsn_default(spark, sf_dir):
+    """Without an LSN a change has LSN 0 (P5), and its key is kept as text."""
+    parsed = parse_envelope(_order_log(spark, sf_dir, "c", F.lit(None).cast("long"), label="lsn"))
+    return parsed.select("_key", "_lsn")
+
+
+def q_absent_column_kept(spark, sf_dir):
+    """A later batch without the priority column wins the row but keeps its priority."""
+    first, second, _ = _orders_batches(spark, sf_dir)
+    later = _order_log(spark, sf_dir, "u", F.col("o_orderkey") + 7_000_000_000, "o_orderkey % 3 = 0 and o_orderkey % 7 <> 0", label="absent", status="'done'")
+    table = _streamed(spark, "absent", [first, second, later])
+    return table.read().where("status = 'done'").select("order_id", "status", "priority")
+
+
+def q_file_counts(spark, sf_dir):
+    """Directories that the current version reads: one per commit, then the snapshot."""
+    table = _write_orders_table(spark, sf_dir, "dirs")
+    holds = lambda stage: table.active_files().select(F.regexp_extract("path", "/(log|snapshot)/_commit=([0-9]+)/", 0).alias("d")).agg(
+        F.lit(stage).alias("stage"), F.count_distinct("d").alias("directories"))
+    before = holds("before")
+    before = spark.createDataFrame(before.collect(), before.schema)  # one row, frozen before the rewrite
+    table.optimize()
+    return before.unionByName(holds("after"))
+
+
+def q_maintenance_result(spark, sf_dir):
+    """Maintenance of a lake where one table exists: its row, with files saved and content kept."""
+    lake = scratch_dir(spark, "maintained")
+    table = _write_orders_table(spark, sf_dir, "maintained", path=f"{lake}/orders")
+    result = maintain(spark, lake, [ORDERS, ITEMS], retain_hours=0, allow_short_retention=True)
+    rows = table.read().agg(F.count("*").alias("rows"))
+    return result.select("table_name", F.array_join("zordered_by", ",").alias("zordered_by")).join(
+        rows.withColumn("table_name", F.lit("orders")), "table_name")
+
+
+def q_named_runner(spark, sf_dir):
+    """A named set goes on past a query that fails."""
+    state = _orders_state(spark, sf_dir)
+    ran = run_named({"status_agg": lambda: K.bench_status_agg(state), "broken": lambda: state.select("no_such_column"),
+                     "op_mix": lambda: K.op_mix(state)})
+    return spark.createDataFrame([(name, "error" in r, len(r.get("rows", []))) for name, r in ran.items()], "name string, failed boolean, shown int")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -763,6 +922,36 @@ ORACLE: dict[str, str] = {
         select o_orderkey + 10000000, o_custkey, 'pending', o_totalprice from orders where o_orderkey%10=1""",
 }
 
+ORACLE |= {
+    "type_drift_widened": """
+        select o_orderkey as order_id, case when o_orderkey%3=0 then o_totalprice + 0.25 else floor(o_totalprice) end::double as total_amount
+        from orders""",
+    "type_drift_to_string": """
+        select o_orderkey as order_id, case when o_orderkey%3=0 then 'n/a' else cast(floor(o_totalprice)::bigint as varchar) end as total_amount
+        from orders""",
+    "bad_key_dead_letters": """
+        select 'bad_key' as reason, count(*) as records from orders where o_orderkey%31=0 having count(*) > 0
+        union all select '(table)', count(*) from orders""",
+    "optimize_during_stream": STATE,
+    "stream_with_bad_batches": STATE,
+    "empty_partition_value_kept": """
+        select o_orderkey as order_id, case when o_orderkey%2=0 then '' when o_orderkey%3=0 then null else o_orderstatus end as status
+        from orders""",
+    "delete_wins_tie": """
+        select o_orderkey as order_id, case when o_orderkey%3=0 then 'd' else 'u' end as _op, o_orderkey%3=0 as _deleted from orders""",
+    "exact_tie_is_stable": "select count(*) as agreeing from orders",
+    "lsn_default": """select '{"order_id":' || o_orderkey || '}' as _key, cast(0 as bigint) as _lsn from orders""",
+    "absent_column_kept": """
+        select o_orderkey as order_id, 'done' as status, o_orderpriority as priority from orders
+        where o_orderkey%3=0 and o_orderkey%7<>0""",
+    "file_counts": "select 'before' as stage, cast(3 as bigint) as directories union all select 'after', 1",
+    "maintenance_result": "select 'orders' as table_name, 'customer_id,order_id' as zordered_by, count(*) as rows from orders",
+    "named_runner": f"""
+        select 'status_agg' as name, false as failed, cast(count(distinct status) as int) as shown from ({ORDERS_EXPECTED}) s where not _deleted
+        union all select 'broken', true, 0
+        union all select 'op_mix', false, cast(count(distinct _op) as int) from ({ORDERS_EXPECTED}) s""",
+}
+
 # Queries whose result is not expressible as SQL over the base tables
 # (file counts depend on the writer): rows-only check.
 NO_ORACLE = {"file_stats"}
