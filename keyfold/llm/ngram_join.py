@@ -75,7 +75,7 @@ def _texts(docs: DataFrame, text: str, id_col: str) -> DataFrame:
 
 def shared_ngrams(docs: DataFrame, features: Callable[[list[bytes]], list[tuple[bytes, np.ndarray]]], fragments: int,
                   text: str, id_col: str) -> DataFrame:
-    """(cls, n, h, df): per class and fragment its hashes that other classes hold too, with their class counts.
+    """(cls, n, h, df): per class and fragment the names (``names_of``) of its hashes that other classes hold too, with their class counts.
 
     ``features``: class key (16 bytes) and sorted distinct 64-bit hashes of each text.
     """
@@ -144,6 +144,11 @@ def shared_ngrams(docs: DataFrame, features: Callable[[list[bytes]], list[tuple[
     return sent.groupBy("f").applyInArrow(count, "cls binary, n int, h array<long>, df array<int>")
 
 
+def names_of(hashes: np.ndarray, fragments: int) -> np.ndarray:
+    """What ``shared_ngrams`` calls these hashes: their lowest 48 bits and their fragment."""
+    return hashes & np.uint64((1 << 48) - 1) | (fragment_of(hashes, fragments) % 65536).astype(np.uint64) << np.uint64(48)
+
+
 def _low48(hashes: np.ndarray) -> bytes:
     """The lowest six bytes of each hash; the fragment stands for the others."""
     return np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()

@@ -28,7 +28,6 @@ unless kept by name. Texts are told apart by their MD5, anchors by 64-bit hashes
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm.common import batches_of_texts, materialize
-from keyfold.llm.ngram_join import FRAGMENT_BYTES, fragment_of, shared_ngrams
+from keyfold.llm.ngram_join import FRAGMENT_BYTES, fragment_of, names_of, shared_ngrams
 from keyfold.llm.words import mix
 
 #: Bytes of an anchor.
@@ -123,43 +122,47 @@ def intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
 
 
 class Shard:
-    """Sampled suffixes with what lies to their left; ``key`` tells documents apart in order."""
+    """Sampled suffixes with what lies to their left."""
 
-    def __init__(self, hashes: np.ndarray, key: np.ndarray, right: np.ndarray, n_right: np.ndarray, left: np.ndarray,
-                 n_left: np.ndarray, min_bytes: int):
-        self.order = _sorted(right[:, K:], hashes)
+    def __init__(self, right: np.ndarray, n_right: np.ndarray, left: np.ndarray, n_left: np.ndarray, min_bytes: int):
+        self.order = _sorted(right)
         self.min_bytes = min_bytes
-        self.key, self.left, self.n_left = key[self.order], left[self.order], n_left[self.order]
-        same = np.concatenate(([False], hashes[self.order][1:] == hashes[self.order][:-1]))
-        self.lcp = np.where(same, _prefix_lengths(right[self.order], n_right[self.order]), 0)
+        self.left, self.n_left = left[self.order], n_left[self.order]
+        self.lcp = _prefix_lengths(right[self.order], n_right[self.order])
+        self.lcp[self.lcp < K] = 0  # another anchor
 
-    def groups(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """All maximal repeats: (members, as rows of the input; members of each; bytes to the left; to the right).
+    def groups(self, batch: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """All maximal repeats, in batches: (members, as rows of the input; members of each; bytes to the left; to the right).
 
         Pairs, which most anchors are, are done all at once.
         """
-        n = len(self.lcp)
-        linked = self.lcp >= K
+        linked = self.lcp > 0
         ends = np.append(linked[1:], False)
         pair = np.flatnonzero(linked & ~ends & ~np.roll(linked, 1))
         left = self._left_lcp(pair, pair - 1)
         good = left + self.lcp[pair] >= self.min_bytes
-        members = array("q", np.stack([self.order[pair[good] - 1], self.order[pair[good]]], axis=1).astype(np.int64).tobytes())
-        sizes, lefts = array("q", [2]) * int(good.sum()), array("q", left[good].astype(np.int64).tobytes())
-        rights = array("q", self.lcp[pair][good].astype(np.int64).tobytes())
+        pair, left = pair[good], left[good]
+        yield np.stack([self.order[pair - 1], self.order[pair]], axis=1).ravel(), np.full(len(pair), 2), left, self.lcp[pair]
         lcp = self.lcp.copy()
-        lcp[pair] = 0
+        lcp[linked & ~ends & ~np.roll(linked, 1)] = 0
         at = np.flatnonzero(lcp)
-        if n and len(at):
-            # scan only the stretches that have larger groups
-            keep = np.unique(np.concatenate((at - 1, at)))
-            for begin, end, right in intervals(lcp[keep].tolist(), K):
-                for rows, to_left in self._by_left(keep[begin:end], right):
-                    members.frombytes(self.order[rows].astype(np.int64).tobytes())
-                    sizes.append(len(rows))
-                    lefts.append(to_left)
-                    rights.append(right)
-        return tuple(np.frombuffer(x, np.int64) for x in (members, sizes, lefts, rights))
+        if not len(at):
+            return
+        # scan only the stretches that have larger groups
+        keep = np.unique(np.concatenate((at - 1, at)))
+        members, sizes, lefts, rights, held = [], [], [], [], 0
+        for begin, end, right in intervals(lcp[keep].tolist(), K):
+            for rows, to_left in self._by_left(keep[begin:end], right):
+                members.append(self.order[rows])
+                sizes.append(len(rows))
+                lefts.append(to_left)
+                rights.append(right)
+                held += len(rows)
+            if held > batch:
+                yield np.concatenate(members), np.array(sizes), np.array(lefts), np.array(rights)
+                members, sizes, lefts, rights, held = [], [], [], [], 0
+        if members:
+            yield np.concatenate(members), np.array(sizes), np.array(lefts), np.array(rights)
 
     def _left_lcp(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         differ = self.left[a] != self.left[b]
@@ -180,6 +183,30 @@ class Shard:
             yield rows[begin:end], size
 
 
+def _distinct(doc: np.ndarray, starts: np.ndarray, ends: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each occurrence once, though it is met from several of a passage's anchors; by document and place."""
+    order = np.lexsort((firsts, ends, starts, doc))
+    rows = np.stack([x[order] for x in (doc, starts, ends, firsts)])
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)
+    return tuple(rows[:, new])
+
+
+def _unions(doc: np.ndarray, starts: np.ndarray, ends: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of a document that overlap or touch, made one."""
+    order = np.lexsort((starts, doc))
+    doc, starts, ends = doc[order], starts[order], ends[order]
+    # running end within each document: documents are kept apart by a large step
+    step = int(ends.max(initial=0)) + 2
+    rank = np.cumsum(np.concatenate(([0], doc[1:] != doc[:-1]))) if len(doc) else doc
+    reach = np.maximum.accumulate(ends + rank * step)
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = starts[1:] + rank[1:] * step > reach[:-1]
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(doc)) - 1 if len(at) else at
+    return doc[at], starts[at], reach[last] - rank[last] * step, firsts[:len(at)]
+
+
 def compressed(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     """(key, cls, blob): texts for a shuffle, each compressed."""
 
@@ -223,7 +250,8 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
             for cls, key, blob, h in zip(*[batch.column(i).to_pylist() for i in range(3)], batch.column(3)):
                 plain = unpack.decompress(blob, max_output_size=1 << 31)
                 places, hashes = anchors(plain, min_bytes)
-                mine = np.isin(hashes, h.values.to_numpy().view(np.uint64))
+                wanted, names = np.sort(h.values.to_numpy().view(np.uint64)), names_of(hashes, shards)
+                mine = wanted[np.minimum(np.searchsorted(wanted, names), len(wanted) - 1)] == names
                 places, hashes = places[mine], hashes[mine]
                 padded = np.frombuffer(bytes(side) + plain + bytes(min_bytes), np.uint8)
                 around = padded[places[:, None] + np.arange(side + min_bytes)] if len(places) else np.empty((0, side + min_bytes), np.uint8)
@@ -251,10 +279,10 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
                 own, mine = np.unique(owner[at], return_inverse=True)
                 rows.append({"f": f, "cls": cls[own].tobytes(), "keys": keys[own].tobytes(), "owner": squeeze.compress(mine.astype(np.int32).tobytes()),
                              "places": squeeze.compress(places[at].astype(np.int64).tobytes()), "totals": squeeze.compress(total[at].astype(np.int64).tobytes()),
-                             "h": hashes[at].tobytes(), "around": squeeze.compress(around[at].tobytes())})
+                             "around": squeeze.compress(around[at].tobytes())})
         return pa.RecordBatch.from_pylist(rows, schema=pa.schema([("f", pa.int32())] + [(c, pa.binary()) for c in columns]))
 
-    columns = ("cls", "keys", "owner", "places", "totals", "h", "around")
+    columns = ("cls", "keys", "owner", "places", "totals", "around")
 
     def scan(table: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor()
@@ -267,25 +295,26 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
             owners.append(np.frombuffer(chunk, np.int32) + before)
             before += len(names) // 16
         owner = np.concatenate(owners)
-        places, totals, hashes = whole(plain("places"), "i8"), whole(plain("totals"), "i8"), whole(raw["h"], "u8")
+        places, totals = whole(plain("places"), "i8"), whole(plain("totals"), "i8")
         around = whole(plain("around"), "u1").reshape(-1, side + min_bytes)
         left = np.ascontiguousarray(around[:, :side][:, ::-1])
-        shard = Shard(hashes, keys[owner], around[:, side:], np.minimum(min_bytes, totals - places), left, np.minimum(side, places), min_bytes)
-        members, sizes, to_left, to_right = shard.groups()
-        begins = np.cumsum(sizes) - sizes
-        key = keys[owner[members]]
-        first = np.repeat(np.minimum.reduceat(key, begins), sizes) if len(sizes) else key
-        last = np.repeat(np.maximum.reduceat(key, begins), sizes) if len(sizes) else key
-        wanted = first < (key if covered_only else last)  # never what a single document repeats
-        doc, firsts = owner[members][wanted], first[wanted]
-        starts = (places[members] - np.repeat(to_left, sizes))[wanted]
-        ends = (places[members] + np.repeat(to_right, sizes))[wanted]
-        # one occurrence is met from several of a passage's anchors: keep each once
-        order = np.lexsort((firsts, ends, starts, doc))
-        doc, starts, ends, firsts = doc[order], starts[order], ends[order], firsts[order]
-        new = np.ones(len(doc), dtype=bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (starts[1:] != starts[:-1]) | (ends[1:] != ends[:-1]) | ((firsts[1:] != firsts[:-1]) & (not covered_only))
-        doc, starts, ends, firsts = doc[new], starts[new], ends[new], firsts[new]
+        shard = Shard(around[:, side:], np.minimum(min_bytes, totals - places), left, np.minimum(side, places), min_bytes)
+        found = []
+        for members, sizes, to_left, to_right in shard.groups():
+            if not len(sizes):
+                continue
+            begins = np.cumsum(sizes) - sizes
+            key = keys[owner[members]]
+            first = np.repeat(np.minimum.reduceat(key, begins), sizes)
+            last = np.repeat(np.maximum.reduceat(key, begins), sizes)
+            wanted = first < (key if covered_only else last)  # never what a single document repeats
+            spans = (owner[members][wanted], (places[members] - np.repeat(to_left, sizes))[wanted],
+                     (places[members] + np.repeat(to_right, sizes))[wanted], first[wanted])
+            found.append(_unions(*spans) if covered_only else _distinct(*spans))
+        if not found:
+            return out_schema.empty_table()
+        doc, starts, ends, firsts = (np.concatenate(x) for x in zip(*found))
+        doc, starts, ends, firsts = _unions(doc, starts, ends, firsts) if covered_only else _distinct(doc, starts, ends, firsts)
         own, counts = np.unique(doc, return_counts=True)
         offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
         lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (starts, ends, *([] if covered_only else [firsts]))]
