@@ -26,7 +26,8 @@ from keyfold.spec import TableSpec
 
 
 def flattened(batch: DataFrame, spec: TableSpec) -> DataFrame | None:
-    return flatten_changes(parse_envelope(batch), spec)
+    """`batch`: records, or change rows that are parsed already."""
+    return flatten_changes(batch if "_row_json" in batch.columns else parse_envelope(batch), spec)
 
 
 def flattened_batches(batches: Sequence[DataFrame], spec: TableSpec) -> list[DataFrame]:

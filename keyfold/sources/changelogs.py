@@ -19,6 +19,8 @@ k % 29 = 0 insert whose image has a NULL order_id (lsn 5000000000 + k).
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,8 +84,12 @@ def kafka_records(df: DataFrame, key: Column, value: Column, topic: str, offset:
     )
 
 
-def _tombstone(df: DataFrame, key: Column, topic: str, offset: Column) -> DataFrame:
-    return kafka_records(df, key, F.lit(None).cast("string"), topic, offset)
+def _records_where(df: DataFrame, records: Sequence[tuple[Column, Column, Column, Column]], topic: str) -> DataFrame:
+    """Topic rows from one scan: for each row of `df` those of (condition, key, value, offset) whose condition holds."""
+    made = F.array(*[F.when(cond, F.struct(key.alias("key"), value.alias("value"), offset.cast("long").alias("offset")))
+                     for cond, key, value, offset in records])
+    rows = df.select(F.explode(made).alias("r")).where("r is not null").select("r.*")
+    return kafka_records(rows, F.col("key"), F.col("value"), topic, F.col("offset"))
 
 
 # ----------------------------------------------------------------- orders
@@ -117,45 +123,29 @@ def orders_change_batches(spark: SparkSession, sf_dir: str, *, with_junk: bool =
         topic, snap_lsn,
     )
 
-    upd = o.filter(k % 3 == 0)
-    upd_lsn = F.lit(2_000_000_000) + k
-    b1_u = kafka_records(
-        upd, key,
-        envelope_value("u", upd_lsn, table=topic, before=_order_image(upd),
-                       after=_order_image(upd, status=F.lit("shipped"),
-                                          amount=F.col("o_totalprice") + 1, priority=True)),
-        topic, upd_lsn,
-    )
-    dele = o.filter(k % 7 == 0)
-    del_lsn = F.lit(3_000_000_000) + k
-    b1_d = kafka_records(dele, key, envelope_value("d", del_lsn, table=topic, before=_order_image(dele)),
-                         topic, del_lsn)
-    b1_dt = _tombstone(dele, key, topic, del_lsn)
-    unseen = o.filter(k % 11 == 0)
-    ghost = -k - 1
-    b1_g = kafka_records(
-        unseen, F.struct(ghost.alias("order_id")),
-        envelope_value("d", del_lsn, table=topic, before=_order_image(unseen, order_id=ghost)),
-        topic, del_lsn,
-    )
-    b1_gt = _tombstone(unseen, F.struct(ghost.alias("order_id")), topic, del_lsn)
-    parts = [b1_u, b1_d, b1_dt, b1_g, b1_gt]
+    # Batch 1 in one pass: every order gives the records whose condition it meets.
+    here, ghost = F.struct(k.alias("order_id")), F.struct((-k - 1).alias("order_id"))
+    upd_lsn, del_lsn = F.lit(2_000_000_000) + k, F.lit(3_000_000_000) + k
+    nothing, junk = F.lit(None).cast("string"), F.lit(-1).cast("long")
+    records = [
+        (k % 3 == 0, here, envelope_value("u", upd_lsn, table=topic, before=_order_image(o), after=_order_image(
+            o, status=F.lit("shipped"), amount=F.col("o_totalprice") + 1, priority=True)), upd_lsn),
+        (k % 7 == 0, here, envelope_value("d", del_lsn, table=topic, before=_order_image(o)), del_lsn),
+        (k % 7 == 0, here, nothing, del_lsn),
+        (k % 11 == 0, ghost, envelope_value("d", del_lsn, table=topic, before=_order_image(o, order_id=-k - 1)), del_lsn),
+        (k % 11 == 0, ghost, nothing, del_lsn),
+    ]
     if with_junk:
-        parts += [
-            kafka_records(o.filter(k % 13 == 0), key, F.lit("{bad"), topic, F.lit(-1)),
-            kafka_records(o.filter(k % 17 == 0), key, F.lit(""), topic, F.lit(-1)),
-            kafka_records(o.filter(k % 19 == 0), key,
-                          envelope_value("t", F.lit(4_000_000_000) + k, table=topic), topic, F.lit(-1)),
-            kafka_records(o.filter(k % 23 == 0), key,
-                          envelope_value("u", F.lit(4_000_000_000) + k, table=topic), topic, F.lit(-1)),
-            kafka_records(o.filter(k % 29 == 0), key,
-                          envelope_value("c", F.lit(5_000_000_000) + k, table=topic,
-                                         after=_order_image(o, order_id=F.lit(None).cast("long"))),
-                          topic, F.lit(5_000_000_000) + k),
+        junk_lsn, null_lsn = F.lit(4_000_000_000) + k, F.lit(5_000_000_000) + k
+        records += [
+            (k % 13 == 0, here, F.lit("{bad"), junk),
+            (k % 17 == 0, here, F.lit(""), junk),
+            (k % 19 == 0, here, envelope_value("t", junk_lsn, table=topic), junk),
+            (k % 23 == 0, here, envelope_value("u", junk_lsn, table=topic), junk),
+            (k % 29 == 0, here, envelope_value("c", null_lsn, table=topic, after=_order_image(
+                o, order_id=F.lit(None).cast("long"))), null_lsn),
         ]
-    b1 = parts[0]
-    for p in parts[1:]:
-        b1 = b1.unionByName(p)
+    b1 = _records_where(o, records, topic)
 
     late = o.filter(k % 5 == 0)
     late_lsn = F.lit(1_000_000_000) + k
@@ -241,12 +231,11 @@ def order_items_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("unit_price", F.col("l_extendedprice")),
     ])
     key = F.struct(item_id.alias("order_item_id"))
-    ins = kafka_records(li, key, envelope_value("c", lsn, table="order_items", after=image), "order_items", lsn)
-    gone = li.filter(F.col("l_orderkey") % 7 == 0)
     del_lsn = F.lit(3_000_000_000) + F.col("l_orderkey")
-    dele = kafka_records(gone, key, envelope_value("d", del_lsn, table="order_items", before=image),
-                         "order_items", del_lsn)
-    return ins.unionByName(dele)
+    return _records_where(li, [
+        (F.lit(True), key, envelope_value("c", lsn, table="order_items", after=image), lsn),
+        (F.col("l_orderkey") % 7 == 0, key, envelope_value("d", del_lsn, table="order_items", before=image), del_lsn),
+    ], "order_items")
 
 
 def customers_change_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -288,9 +277,11 @@ def diff_to_changes(old: DataFrame, new: DataFrame, primary_key: Sequence[str],
     o = old.select(*pk, F.struct(*[F.col(c) for c in old.columns]).alias("_o"))
     n = new.select(*pk, F.struct(*[F.col(c) for c in cols]).alias("_n"))
     j = o.join(n, on=pk, how="full_outer")
-    op = (F.when(F.col("_o").isNull(), F.lit("c"))
-          .when(F.col("_n").isNull(), F.lit("d"))
-          .when(F.to_json("_o", NO_NULL_SKIP) != F.to_json("_n", NO_NULL_SKIP), F.lit("u")))
+    before, after = F.col("_o"), F.col("_n")
+    differs = [~before.getField(c).eqNullSafe(after.getField(c)) if c in old.columns else after.getField(c).isNotNull() for c in cols]
+    op = (F.when(before.isNull(), F.lit("c"))
+          .when(after.isNull(), F.lit("d"))
+          .when(functools.reduce(operator.or_, differs), F.lit("u")))
     j = j.withColumn("_op", op).filter(F.col("_op").isNotNull())
     value = envelope_value(
         F.col("_op"), lsn, table=table,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from keyfold.session import scratch_dir
-from keyfold.sources.envelope import KAFKA_SHAPE
+from keyfold.sources.envelope import KAFKA_SHAPE, parse_envelope
 
 
 def write_records(records: DataFrame, topic_dir: str) -> None:
@@ -51,3 +51,13 @@ def topic(spark: SparkSession, key: tuple, produce) -> DataFrame:
         write_records(produce(), path)
         _PRODUCED[full] = path
     return read_records(spark, path)
+
+
+def parsed_topic(spark: SparkSession, key: tuple, produce) -> DataFrame:
+    """A topic's change rows, parsed once per application: inference and every consumer read them, not the envelopes."""
+    full = (spark.sparkContext.applicationId, "parsed", *key)
+    if full not in _PRODUCED:
+        path = scratch_dir(spark, "parsed-" + "-".join(str(k) for k in key[-1:]))
+        parse_envelope(topic(spark, key, produce)).write.parquet(path)
+        _PRODUCED[full] = path
+    return spark.read.parquet(_PRODUCED[full])
