@@ -51,16 +51,17 @@ def bytes_under(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(jpath).getLength())
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length) of every Parquet data file under `path`, recursively."""
+def list_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, length) of every Parquet data file under `paths`, recursively, by one job."""
     schema = "path string, length long"
-    if not path_exists(spark, path):
+    there = [p for p in paths if path_exists(spark, p)]
+    if not there:
         return spark.createDataFrame([], schema)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
+        .load(there)
         .select("path", "length")
     )
 

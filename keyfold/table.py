@@ -130,9 +130,9 @@ class ChangeTable:
         return layout.path_exists(self.spark, self.commits_path)
 
     def commits(self) -> DataFrame:
-        """The commit rows as a DataFrame (history, summaries)."""
-        rows = [{f.name: getattr_row(c, f.name) for f in COMMITS_SCHEMA.fields} for c in self._meta()]
-        return self.spark.createDataFrame(rows, COMMITS_SCHEMA)
+        """The commit rows (history, summaries), read by Spark from their files."""
+        rows = self.spark.read.schema(COMMITS_SCHEMA).json(self.commits_path)
+        return rows.dropDuplicates(["_commit", "kind"])  # consolidation may briefly leave a row twice
 
     # Commit rows are small JSON files written and read through the Hadoop
     # FileSystem API on the driver, like a table format's log: metadata work
@@ -437,22 +437,19 @@ class ChangeTable:
 
     def active_files(self, as_of: int | None = None) -> DataFrame:
         """(path, length) of the files a read of version `as_of` opens."""
-        out = layout.list_files(self.spark, self.path).limit(0)
-        for d in self._active_dirs(as_of):
-            out = out.unionByName(layout.list_files(self.spark, d))
-        return out
+        return layout.list_files(self.spark, *self._active_dirs(as_of))
 
     def schema_registry(self) -> DataFrame:
         """(column_name, data_type, first_commit) for every payload column the
         table has had: the running union of batch schemas (E7)."""
-        first: dict[str, tuple[str, int]] = {}
-        for c in self._meta():
-            if c.schema is None:
-                continue
-            for f in c.schema.fields:
-                first.setdefault(f.name, (f.dataType.simpleString(), c.commit))
-        rows = [(name, dtype, commit) for name, (dtype, commit) in first.items()]
-        return self.spark.createDataFrame(rows, "column_name string, data_type string, first_commit long")
+        fields = F.from_json("schema_json", "struct<fields: array<struct<name: string, type: string>>>")["fields"]
+        names = {"long": "bigint", "integer": "int", "short": "smallint", "byte": "tinyint"}
+        kind = F.col("f.type")
+        for ours, sql in names.items():
+            kind = F.when(F.col("f.type") == ours, sql).otherwise(kind)
+        seen = self.commits().where("schema_json is not null").select("_commit", F.explode(fields).alias("f"))
+        return seen.groupBy(F.col("f.name").alias("column_name")).agg(
+            F.min_by(kind, "_commit").alias("data_type"), F.min("_commit").alias("first_commit"))
 
     def applied_rows(self, commit: int) -> int:
         """How many rows of merge commit `commit` became their key's latest
@@ -476,7 +473,7 @@ class ChangeTable:
     def ingest_summary(self) -> DataFrame:
         """Commits, events, rows merged and events collapsed (K11), from the
         commits table."""
-        merges = self.commits().dropDuplicates(["_commit"]).filter(F.col("kind") == "merge")
+        merges = self.commits().filter(F.col("kind") == "merge")
         return merges.agg(
             F.lit(self.spec.name).alias("table_name"),
             F.count(F.lit(1)).alias("commits"),
