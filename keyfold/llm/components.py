@@ -29,11 +29,11 @@ def stars(edges: DataFrame, max_steps: int = 60) -> DataFrame:
                  .where("a <> b").distinct())
         new = materialize(small, "star-edges")
         # stars: no node is both a child and a root, and each child has one root
-        roots = new.select(F.col("b").alias("r")).distinct()
-        chained = new.join(roots, new.a == roots.r, "left_semi").limit(1).count()
-        split = new.groupBy("a").count().where("count > 1").limit(1).count()
         edges = new
-        if not chained and not split:
+        sides = new.select("a", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            new.select(F.col("b").alias("a"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        unsettled = sides.groupBy("a").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up > 0 and down > 0)")
+        if not unsettled.take(1):
             break
     else:
         raise RuntimeError("components didn't settle")

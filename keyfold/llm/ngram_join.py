@@ -12,8 +12,8 @@ into fragments; a task holds one fragment of all classes:
 3. A candidate pair's overlap is counted fragment by fragment and summed.
 
 Components need not see every pair of a large family of near copies. In each
-round every prefix n-gram names one hub among the classes that hold it (the
-same rule everywhere, so a family has few hubs), and a class is compared with
+round every prefix n-gram names a few hubs among the classes that hold it (by the
+same rule everywhere, so a family has few), and a class is compared with
 the two hubs that it shares most prefix n-grams with. Classes already in one
 component are not compared again, so the family soon is one component. When
 few enough pairs are left across components (or after ``hub_rounds`` rounds),
@@ -45,6 +45,8 @@ from keyfold.llm.words import shingle_sets
 FRAGMENT_BYTES = 24 << 20
 #: N-grams that a task gathers before it sends them to the fragments.
 FLUSH = 3_000_000
+#: Hubs that each n-gram names in a round.
+HUBS = 3
 #: Fragments that an overlap is counted in.
 SEGMENTS = 4
 
@@ -184,7 +186,7 @@ def similar(overlap: Column, na: Column, nb: Column, threshold: float) -> Column
     return 100 * overlap >= hundredths * (na + nb - overlap)
 
 
-def component_labels(candidates: DataFrame, threshold: float, hub_rounds: int, most_pairs: int = 4) -> DataFrame | None:
+def component_labels(candidates: DataFrame, threshold: float, hub_rounds: int, most_pairs: int = 8) -> DataFrame | None:
     """(id, label) of candidates that link; None without any link. ``candidates``: (id, n, h).
 
     ``most_pairs``: the rounds go on while more pairs than that per prefix
@@ -202,11 +204,13 @@ def component_labels(candidates: DataFrame, threshold: float, hub_rounds: int, m
     for turn in range(hub_rounds + 1):
         held = prefix if labels is None else prefix.join(labels, "id", "left")
         held = held.withColumn("label", F.coalesce("label", "id") if labels is not None else F.col("id"))
-        parts = held.groupBy("p", "label").agg(F.count("*").alias("k"), F.min_by(F.struct("id", "n"), F.xxhash64("id", F.lit(turn))).alias("hub"))
-        # n-grams that still hold two components, their pairs across them, and the hub of the largest
+        # n-grams that still hold two components, their pairs across them, and their hubs: the same few for all of a family
+        hubs = [F.min_by(F.struct("id", "n", "label"), F.xxhash64("id", F.lit(turn * HUBS + i))).alias(f"hub{i}") for i in range(HUBS)]
+        parts = held.groupBy("p", "label").agg(F.count("*").alias("k"), *hubs)
+        chosen = F.array_distinct(F.array(*[F.min_by(f"hub{i}", F.xxhash64(f"hub{i}.id", F.lit(turn * HUBS + i))) for i in range(HUBS)]))
         open_ = materialize(parts.groupBy("p").agg(
-            F.count("*").alias("parts"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("inside"),
-            F.max_by(F.struct("hub", "label"), F.struct("k", F.xxhash64("hub.id", F.lit(turn)))).alias("top")).where("parts > 1"), "join-open")
+            F.count("*").alias("parts"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("inside"), chosen.alias("hubs"))
+            .where("parts > 1"), "join-open")
         left = open_.agg(F.sum((F.col("k") * F.col("k") - F.col("inside")) / 2)).first()[0] or 0
         if not left:
             break
@@ -217,7 +221,8 @@ def component_labels(candidates: DataFrame, threshold: float, hub_rounds: int, m
             met = other.join(mine, "p").where((F.col("la") < F.col("lb")) & fits)
             pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         else:
-            other = open_.select("p", F.col("top.hub.id").alias("a"), F.col("top.hub.n").alias("na"), F.col("top.label").alias("la"))
+            other = open_.select("p", F.explode("hubs").alias("hub")).select(
+                "p", F.col("hub.id").alias("a"), F.col("hub.n").alias("na"), F.col("hub.label").alias("la"))
             met = other.join(mine, "p").where((F.col("la") != F.col("lb")) & fits)
             common = met.groupBy("a", "b").agg(F.count("*").alias("c"))
             best = Window.partitionBy("b").orderBy(F.col("c").desc(), "a")

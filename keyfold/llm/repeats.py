@@ -37,13 +37,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm.common import batches_of_texts, materialize
-from keyfold.llm.ngram_join import FRAGMENT_BYTES, fragment_of, names_of, shared_ngrams
+from keyfold.llm.ngram_join import fragment_of, names_of, shared_ngrams
 from keyfold.llm.words import mix
 
 #: Bytes of an anchor.
 K = 20
 #: Bytes of context that a task gathers before it sends them to the shards.
-FLUSH = 24 << 20
+FLUSH = 12 << 20
+#: Text bytes whose anchors make one shard.
+SHARD_BYTES = 8 << 20
+#: Spans that a shard holds before it merges them.
+MERGE_AT = 500_000
 _LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -236,7 +240,7 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
     """
     classes = classes if classes is not None else text_classes(docs, text, id_col)
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
-    shards = max(12, -(-size // FRAGMENT_BYTES))
+    shards = max(12, -(-size // SHARD_BYTES))
     side = min_bytes - K
     features = lambda texts: [(text_key(t), np.unique(anchors(t, min_bytes)[1])) for t in texts]
     shared = shared_ngrams(docs, features, shards, text, id_col)
@@ -299,7 +303,8 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
         around = whole(plain("around"), "u1").reshape(-1, side + min_bytes)
         left = np.ascontiguousarray(around[:, :side][:, ::-1])
         shard = Shard(around[:, side:], np.minimum(min_bytes, totals - places), left, np.minimum(side, places), min_bytes)
-        found = []
+        merge = _unions if covered_only else _distinct
+        found, held, most = [], 0, MERGE_AT
         for members, sizes, to_left, to_right in shard.groups():
             if not len(sizes):
                 continue
@@ -310,11 +315,15 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
             wanted = first < (key if covered_only else last)  # never what a single document repeats
             spans = (owner[members][wanted], (places[members] - np.repeat(to_left, sizes))[wanted],
                      (places[members] + np.repeat(to_right, sizes))[wanted], first[wanted])
-            found.append(_unions(*spans) if covered_only else _distinct(*spans))
+            found.append(merge(*spans))
+            held += len(found[-1][0])
+            if held > most:  # intervals within intervals cover the same bytes again and again
+                found = [merge(*(np.concatenate(x) for x in zip(*found)))]
+                held = len(found[0][0])
+                most = 2 * held + MERGE_AT
         if not found:
             return out_schema.empty_table()
-        doc, starts, ends, firsts = (np.concatenate(x) for x in zip(*found))
-        doc, starts, ends, firsts = _unions(doc, starts, ends, firsts) if covered_only else _distinct(doc, starts, ends, firsts)
+        doc, starts, ends, firsts = merge(*(np.concatenate(x) for x in zip(*found)))
         own, counts = np.unique(doc, return_counts=True)
         offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
         lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (starts, ends, *([] if covered_only else [firsts]))]
