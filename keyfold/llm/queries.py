@@ -123,6 +123,18 @@ ORACLE = {
                coalesce((SELECT arg_max(verdict_r, length(host_r || path_r)) FROM r
                  WHERE (host = host_r OR ends_with(host, '.' || host_r)) AND starts_with(path, path_r)), 'allow') AS verdict
         FROM u""",
+    "op6_ngram_join": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(ws) >= 5 THEN list_transform(range(len(ws) - 4), lambda i: array_to_string(ws[i + 1:i + 5], ' '))
+                WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+        n AS (SELECT w.doc_id, count(g) AS n FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY w.doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 75 * (a.n + b.n - o)),
+        r AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.other)
+        SELECT n.doc_id, n.n AS n_shingles, min(r.other) AS component_id FROM n JOIN r ON r.doc_id = n.doc_id GROUP BY ALL""",
     "op8_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
