@@ -1,4 +1,4 @@
-"""Session helpers: where scratch output goes, and the settings worth having."""
+"""Session helpers: where scratch output goes."""
 
 from __future__ import annotations
 
@@ -7,16 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-RECOMMENDED_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    # Dynamic partition overwrite lets a retried commit replace only its own
-    # `_commit=N` directory.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-}
-
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir / the checkpoint dir).

@@ -106,5 +106,18 @@ def test_one_parse_splits_into_usable_and_unusable(key_values):
     batch = key_values([("1", None), ("2", "{bad"), ("3", event("c", 3, order(3))),
                         ("4", event("c", 4, {"order_id": None}))])
     c = parse_with_reasons(batch, primary_key=["order_id"])
-    assert sorted(r["_key"] for r in usable_rows(c).collect()) == sorted(r["_key"] for r in parse_envelope(batch).collect())
+    assert [r["_key"] for r in usable_rows(c).collect()] == ["3"]  # parse_envelope keeps the NULL key, flattening drops it
     assert {r["_key"]: r["_reason"] for r in unusable_rows(c).collect()} == {"1": "tombstone", "2": "malformed", "4": "null_key"}
+
+
+def test_keys_that_dont_fit_their_type(key_values):
+    from pyspark.sql import types as T
+
+    from keyfold.sources.envelope import parse_with_reasons, unusable_rows
+    keys = ["A1", 5.5, "7", 8, 2 ** 70, True, "2020-01-01"]
+    batch = key_values([(str(i), event("c", i, order(k))) for i, k in enumerate(keys)])
+    bad = lambda kind: sorted(r["_key"] for r in unusable_rows(parse_with_reasons(
+        batch, primary_key=["order_id"], key_types={"order_id": kind})).collect())
+    assert bad(T.LongType()) == ["0", "1", "4", "5", "6"]
+    assert bad(T.DoubleType()) == ["0", "5", "6"]
+    assert bad(T.StringType()) == []
