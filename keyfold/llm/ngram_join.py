@@ -45,6 +45,8 @@ from keyfold.llm.words import shingle_sets
 FRAGMENT_BYTES = 24 << 20
 #: N-grams that a task gathers before it sends them to the fragments.
 FLUSH = 3_000_000
+#: At most so many ids (8 bytes each) are broadcast.
+BROADCAST_IDS = 200_000
 #: Hubs that each n-gram names in a round.
 HUBS = 3
 #: Fragments that an overlap is counted in.
@@ -172,7 +174,14 @@ def linkable(shared: DataFrame, threshold: float) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """(a, b, overlap): counted in each segment of the order, then summed."""
+    """(a, b, overlap): counted in each segment of the order, then summed.
+
+    While the pairs name few classes (counted first), the others' segments are
+    left out by a broadcast of those names, before anything is shuffled.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    if ids.count() <= BROADCAST_IDS:
+        segments = segments.join(F.broadcast(ids), "id", "left_semi")
     left = segments.select(F.col("id").alias("a"), "s", F.col("h").alias("ha"))
     right = segments.select(F.col("id").alias("b"), "s", F.col("h").alias("hb"))
     part = pairs.join(left, "a").join(right, ["b", "s"]).select(
