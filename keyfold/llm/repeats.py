@@ -45,7 +45,7 @@ K = 20
 #: Bytes of context that a task gathers before it sends them to the shards.
 FLUSH = 12 << 20
 #: Text bytes whose anchors make one shard.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
 #: Spans that a shard holds before it merges them.
 MERGE_AT = 500_000
 _LAST = (1 << 63) - 1
@@ -235,8 +235,8 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
 
     ``firsts``: the least key of each repeat's members; the repeat is told apart
     by the bytes that it covers. Repeats longer than the context come in pieces
-    that overlap. ``covered_only``: without the members of least key, and
-    without ``firsts``.
+    that overlap. ``covered_only``: (cls, starts, ends) without the members of
+    least key.
     """
     classes = classes if classes is not None else text_classes(docs, text, id_col)
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
@@ -326,13 +326,18 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
         doc, starts, ends, firsts = merge(*(np.concatenate(x) for x in zip(*found)))
         own, counts = np.unique(doc, return_counts=True)
         offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (starts, ends, *([] if covered_only else [firsts]))]
-        return pa.Table.from_arrays([pa.array([cls[i].tobytes() for i in own], pa.binary()), pa.array(keys[own]), *lists], schema=out_schema)
-
-    lists = ("starts", "ends") if covered_only else ("starts", "ends", "firsts")
-    out_schema = pa.schema([("cls", pa.binary()), ("key", pa.int64()), *[(c, pa.list_(pa.int64())) for c in lists]])
+        names = pa.array([cls[i].tobytes() for i in own], pa.binary())
+        if covered_only:  # a text has less than 2^31 bytes
+            return pa.Table.from_arrays([names, *[pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (starts, ends)]], schema=out_schema)
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (starts, ends, firsts)]
+        return pa.Table.from_arrays([names, pa.array(keys[own]), *lists], schema=out_schema)
+
+    kind = "cls binary, starts array<int>, ends array<int>" if covered_only else (
+        "cls binary, key long, starts array<long>, ends array<long>, firsts array<long>")
+    out_schema = pa.schema([("cls", pa.binary()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))]) if covered_only else pa.schema(
+        [("cls", pa.binary()), ("key", pa.int64()), *[(c, pa.list_(pa.int64())) for c in ("starts", "ends", "firsts")]])
     sent = held.mapInArrow(contexts, "f int, " + ", ".join(f"{c} binary" for c in columns))
-    return sent.groupBy("f").applyInArrow(scan, "cls binary, key long, " + ", ".join(f"{c} array<long>" for c in lists))
+    return sent.groupBy("f").applyInArrow(scan, kind)
 
 
 def text_classes(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -348,7 +353,8 @@ def _bytes(text: str):
 def covered_spans(docs: DataFrame, classes: DataFrame, *, min_bytes: int, text: str, id_col: str) -> DataFrame:
     """(cls, key, starts, ends): what repeats cover in the first copy of each text, smaller documents having them too."""
     found = maximal_repeats(docs, min_bytes=min_bytes, text=text, id_col=id_col, classes=classes, covered_only=True)
-    covered = found.groupBy("cls", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
+    covered = found.groupBy("cls").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
+    covered = covered.join(classes, "cls").select("cls", "key", "starts", "ends")
     return materialize(covered, "repeat-covered")
 
 
