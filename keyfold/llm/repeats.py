@@ -43,11 +43,11 @@ from keyfold.llm.words import mix
 #: Bytes of an anchor.
 K = 20
 #: Bytes of context that a task gathers before it sends them to the shards.
-FLUSH = 12 << 20
+FLUSH = 8 << 20
 #: Text bytes whose anchors make one shard.
 SHARD_BYTES = 16 << 20
 #: Spans that a shard holds before it merges them.
-MERGE_AT = 500_000
+MERGE_AT = 200_000
 _LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -135,7 +135,7 @@ class Shard:
         self.lcp = _prefix_lengths(right[self.order], n_right[self.order])
         self.lcp[self.lcp < K] = 0  # another anchor
 
-    def groups(self, batch: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    def groups(self, batch: int = 60_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """All maximal repeats, in batches: (members, as rows of the input; members of each; bytes to the left; to the right).
 
         Pairs, which most anchors are, are done all at once.
