@@ -34,6 +34,8 @@ PERMUTATIONS = 256
 BANDS = 64
 #: Text bytes per bucket of the document order.
 BUCKET_BYTES = 16 << 20
+#: The rounds with hubs go on while more pairs than that per class and band are left.
+MOST_PAIRS = 8
 _NOTHING = np.iinfo(np.uint32).max
 
 
@@ -173,34 +175,56 @@ def banded(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id") -> Da
 
 
 def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, text: str = "text", id_col: str = "doc_id",
-                    max_rounds: int = 1000) -> DataFrame:
+                    hub_rounds: int = 12) -> DataFrame:
     """(doc_id, component_id) by bands joined in Spark, every link verified by Jaccard similarity.
 
-    Equal sets are one class first. In each bucket of a band the classes are
-    compared with one hub; classes in the hub's component are settled there, and
-    the others of the bucket go on with a new hub, until every bucket is settled.
+    Equal sets are one class first. In each round the classes of a bucket of a
+    band are compared with one hub, and those in the hub's component are skipped.
+    All classes stay in their buckets. When few enough pairs are left across
+    components (or after ``hub_rounds`` rounds), all of them are compared, so no
+    link between components that share a bucket is missed.
     """
     signed = materialize(banded(docs, text=text, id_col=id_col), "minhash-bands")
     classes = materialize(signed.where("cls is not null").groupBy("cls").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("h").alias("h"), F.first("bands").alias("bands")), "minhash-classes")
     members = materialize(classes.select("cls", F.explode("bands").alias("band")), "minhash-members")
-    held, links = members, None
-    for turn in range(max_rounds):
-        hubs = held.groupBy("band").agg(F.min_by("cls", F.xxhash64("cls", F.lit(turn))).alias("hub"), F.count("*").alias("size")).where("size > 1")
-        tried = held.join(hubs.drop("size"), "band").where("cls <> hub")
-        pairs = materialize(tried.select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct(), "minhash-pairs")
-        if not pairs.take(1):
+    of = lambda side: classes.select(F.col("cls").alias(side), F.col("n").alias(f"n{side}"), F.col("h").alias(f"h{side}"))
+    size = members.count()
+    labels = done = None
+    for turn in range(hub_rounds + 1):
+        held = members if labels is None else members.join(labels, "cls", "left")
+        held = held.withColumn("label", F.coalesce("label", "cls") if labels is not None else F.col("cls"))
+        # buckets that still hold two components, and their pairs across them
+        hub = F.min_by(F.struct("cls", "label"), F.xxhash64("cls", F.lit(turn)))
+        parts = held.groupBy("band", "label").agg(F.count("*").alias("k"), hub.alias("hub"))
+        open_ = materialize(parts.groupBy("band").agg(
+            F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("inside"), F.count("*").alias("parts"),
+            F.min_by("hub", F.xxhash64("hub.cls", F.lit(turn))).alias("hub")).where("parts > 1"), "minhash-open")
+        left = open_.agg(F.sum((F.col("k") * F.col("k") - F.col("inside")) / 2)).first()[0] or 0
+        if not left:
             break
-        of = lambda side: classes.select(F.col("cls").alias(side), F.col("n").alias(f"n{side}"), F.col("h").alias(f"h{side}"))
+        every = turn == hub_rounds or left <= MOST_PAIRS * size
+        mine = held.select("band", F.col("cls").alias("b"), F.col("label").alias("lb"))
+        if every:
+            other = held.join(open_.select("band"), "band", "left_semi").select("band", F.col("cls").alias("a"), F.col("label").alias("la"))
+        else:
+            other = open_.select("band", F.col("hub.cls").alias("a"), F.col("hub.label").alias("la"))
+        across = F.col("la") < F.col("lb") if every else F.col("la") != F.col("lb")
+        pairs = other.join(mine, "band").where(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if done is not None:
+            pairs = pairs.join(done, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "minhash-pairs")
         found = materialize(pairs.join(of("a"), "a").join(of("b"), "b").where(
             similar(F.size(F.array_intersect("ha", "hb")), F.col("na"), F.col("nb"), threshold)).select("a", "b"), "minhash-links")
-        links = found if links is None else links.unionByName(found)
-        settled = found.select(F.col("a").alias("hub"), F.col("b").alias("cls"))
-        held = materialize(tried.join(settled, ["hub", "cls"], "left_anti").select("cls", "band"), "minhash-members")
+        done = pairs if done is None else done.unionByName(pairs)
+        if found.take(1):
+            known = found if labels is None else found.unionByName(labels.select(F.col("cls").alias("a"), F.col("label").alias("b")))
+            labels = materialize(stars(known).select(F.col("node").alias("cls"), F.col("root").alias("label")), "minhash-labels")
+        if every:
+            break
     named = classes.select("cls", "least")
-    if links is not None and links.take(1):
-        labels = stars(links)
-        named = named.join(labels.select(F.col("node").alias("cls"), F.col("root").alias("label")), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    if labels is not None:
+        named = named.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
         named = named.join(named.groupBy("label").agg(F.min("least").alias("root")), "label").select("cls", F.col("root").alias("least"))
     return signed.select("doc_id", "cls").join(named, "cls", "left").select(
         "doc_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))

@@ -66,3 +66,27 @@ def test_signature_estimates():
     for keep in (0, 300, 800, 1000):
         b = np.concatenate([a[:keep], rng.integers(0, 1 << 63, 1000 - keep).astype(np.uint64)])
         assert minhash.likeness(minhash.fingerprint(a), minhash.fingerprint(b)) == pytest.approx(keep / (2000 - keep), abs=0.12)
+
+
+def linked(monkeypatch, spark, sets, buckets, **kw):
+    """near_duplicates over given shingle sets and their buckets: {doc: component}."""
+    rows = [(i, f"c{i:05}".encode(), len(s), sorted(s), b) for i, (s, b) in enumerate(zip(sets, buckets))]
+    monkeypatch.setattr(minhash, "banded", lambda *_, **__: spark.createDataFrame(
+        rows, "doc_id long, cls binary, n long, h array<long>, bands array<long>"))
+    return {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.range(0), **kw).collect()}
+
+
+@pytest.mark.parametrize("most", [0, 8])
+def test_a_chain_in_one_bucket_is_one_component(spark, monkeypatch, most):
+    """Each links to the next one only, whichever of them is the hub."""
+    monkeypatch.setattr(minhash, "MOST_PAIRS", most)
+    chain = [set(range(i, i + 10)) for i in range(8)]
+    assert set(linked(monkeypatch, spark, chain, [[1]] * 8).values()) == {0}
+
+
+def test_a_bucket_of_unlike_classes_is_compared_to_the_end(spark, monkeypatch):
+    """More classes that aren't alike than there are rounds: the one pair that links is found."""
+    monkeypatch.setattr(minhash, "MOST_PAIRS", 0)
+    sets = [{100 * i + k for k in range(10)} for i in range(40)] + [{k for k in range(9)}]
+    got = linked(monkeypatch, spark, sets, [[1]] * 41, hub_rounds=2)
+    assert got == {i: i for i in range(40)} | {40: 0}
