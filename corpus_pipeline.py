@@ -31,14 +31,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near duplicates; rows of null id lose exact copies only."""
+    """Keeps one row of each group of near duplicates: the smallest id, null ids last, then the text of the smallest hash.
+
+    Texts without words are near duplicates of nothing; they lose exact copies only.
+    """
     release()
     workers_find_package(spark)
-    groups = materialize(ngram_join.near_duplicates(docs), "pipeline-groups")
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    same = F.xxhash64("text")
-    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
-    return kept.withColumn("_same", same).dropDuplicates(["doc_id", "_same"]).select(*docs.columns)
+    groups = materialize(ngram_join.components(docs, same=True), "pipeline-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
+    first = groups.where("component is not null").groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.same")
+    first = first.unionByName(groups.where("component is null").select("doc_id", "same").distinct()).select(F.col("doc_id").alias("_doc"), F.col("same").alias("_of"))
+    kept = docs.withColumn("_same", F.xxhash64("text"))
+    kept = kept.join(first, (F.col("_same") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_same"]).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

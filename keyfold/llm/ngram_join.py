@@ -57,8 +57,9 @@ def class_key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def set_keys(docs: DataFrame, n: int, text: str, id_col: str) -> DataFrame:
-    """(doc_id, n_shingles, cls); cls is null for the empty set."""
+def set_keys(docs: DataFrame, n: int, text: str, id_col: str, same: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, cls); cls is null for the empty set. With ``same`` also the text's hash (xxhash64)."""
+    extra = ["same"] if same else []
 
     def keys(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -67,10 +68,13 @@ def set_keys(docs: DataFrame, n: int, text: str, id_col: str) -> DataFrame:
                 sets = shingle_sets(texts, n)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, end - first), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([class_key(s) if len(s) else None for s in sets], pa.binary())],
-                    names=["doc_id", "n_shingles", "cls"])
+                     pa.array([class_key(s) if len(s) else None for s in sets], pa.binary()),
+                     *[batch.column(2).slice(first, end - first) for _ in extra]],
+                    names=["doc_id", "n_shingles", "cls", *extra])
 
-    return _texts(docs, text, id_col).mapInArrow(keys, "doc_id long, n_shingles long, cls binary")
+    texts = _texts(docs, text, id_col)
+    return (texts.withColumn("same", F.xxhash64("text")) if same else texts).mapInArrow(
+        keys, "doc_id long, n_shingles long, cls binary" + ", same long" * same)
 
 
 def _texts(docs: DataFrame, text: str, id_col: str) -> DataFrame:
@@ -257,18 +261,30 @@ def component_labels(candidates: DataFrame, threshold: float, hub_rounds: int, m
 def near_duplicates(docs: DataFrame, *, n: int = 5, threshold: float = 0.75, text: str = "text", id_col: str = "doc_id",
                     hub_rounds: int = 12) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per document."""
+    return components(docs, n=n, threshold=threshold, text=text, id_col=id_col, hub_rounds=hub_rounds).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+def components(docs: DataFrame, *, n: int = 5, threshold: float = 0.75, text: str = "text", id_col: str = "doc_id",
+               hub_rounds: int = 12, same: bool = False) -> DataFrame:
+    """``near_duplicates`` with ``component``, a key that components without any id have too (null for the empty set).
+
+    With ``same`` also the text's hash, which tells rows of one id or of null id apart.
+    """
     size = docs.agg(F.sum(F.length(F.col(text).cast("string")))).first()[0] or 0
     fragments = max(12, -(-size // FRAGMENT_BYTES))
-    keys = materialize(set_keys(docs, n, text, id_col), "join-keys")
+    keys = materialize(set_keys(docs, n, text, id_col, same), "join-keys")
     features = lambda texts: [(class_key(s), s) for s in shingle_sets(texts, n)]
     candidates = materialize(linkable(shared_ngrams(docs, features, fragments, text, id_col), threshold), "join-linkable")
     labels = component_labels(candidates, threshold, hub_rounds)
-    classes = keys.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("component_id"))
+    classes = keys.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("component_id")).withColumn("component", F.col("cls"))
     if labels is not None:
         named = labels.join(candidates.select("id", "cls"), "id").join(classes, "cls")
-        roots = named.groupBy("label").agg(F.min("component_id").alias("root_id"))
-        named = named.join(roots, "label").select("cls", "root_id")
+        roots = named.groupBy("label").agg(F.min("component_id").alias("root_id"), F.min("cls").alias("root"))
+        named = named.join(roots, "label").select("cls", "root_id", "root")
         classes = classes.join(named.withColumn("linked", F.lit(True)), "cls", "left").select(
-            "cls", F.when(F.col("linked"), F.col("root_id")).otherwise(F.col("component_id")).alias("component_id"))
+            "cls", F.when(F.col("linked"), F.col("root_id")).otherwise(F.col("component_id")).alias("component_id"),
+            F.coalesce("root", "component").alias("component"))
     return (keys.join(classes, "cls", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+            .select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                    "component", *["same"] * same))

@@ -69,3 +69,18 @@ def test_awkward_rows(spark, docs, no_docs):
         for _, stage in corpus_pipeline.STAGES:
             out = corpus_pipeline._written(stage(spark, out, SF), "test")
             out.count()
+
+
+def test_rows_of_null_id_are_near_duplicates_too(spark, docs):
+    """One row of each component stays, though ids are null or repeated."""
+    from conftest import prose
+
+    near = lambda i, tail: prose(i, 60) + tail
+    rows = [(None, near(1, " a b")), (7, near(1, "")), (5, near(1, " c")), (None, near(1, "")),  # a document has an id
+            (None, near(2, "")), (None, near(2, " x")), (None, near(2, " x")),  # none has
+            (9, near(3, "")), (9, near(3, " y")), (9, near(4, "")),  # one id, two groups
+            (None, "?!" * 30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.text.split()[0]) for r in corpus_pipeline.near_duplicates(spark, table, SF).collect()]
+    first = lambda i: prose(i, 1)
+    assert sorted(got, key=str) == sorted([(5, first(1)), (None, first(2)), (9, first(3)), (9, first(4)), (None, "?!" * 30)], key=str)
