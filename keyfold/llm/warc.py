@@ -9,7 +9,8 @@ the WARC specification's annex on compression), so a payload that isn't wanted
 is never even decompressed. Archives without it, and plain ones, are read too.
 
 Writing is safe against lost and repeated tasks: each attempt writes files of
-its own name, and only those that the commit lists in the manifest are read.
+its own name, and only those that a commit lists in its manifest are read. Each
+commit adds a manifest; an overwriting one then drops the earlier ones.
 
 Cases: a null payload is empty; repeated records are kept; a null id has an
 empty last part in its record id and reads back as null; null or odd URIs are
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from keyfold.llm.common import scratch
 
 #: Names from the WARC and HTTP formats.
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest"
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEADER_OF = {
@@ -60,6 +61,11 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace("file:", "", 1))
 
 
+def manifests(store: fs.FileSystem, root: str) -> list[str]:
+    """Paths of the manifests of all commits."""
+    return [i.path for i in store.get_file_info(fs.FileSelector(root)) if i.base_name.startswith(MANIFEST) and i.base_name.endswith(".json")]
+
+
 def member(plain: bytes) -> bytes:
     """One gzip member that tells its own length."""
     pack = zlib.compressobj(6, zlib.DEFLATED, -15)
@@ -89,8 +95,8 @@ def digest_of(payload: bytes) -> str:
 
 
 class Writer(ds.DataSourceArrowWriter):
-    def __init__(self, path: str, max_file_bytes: int):
-        self.path, self.max_file_bytes = path, max_file_bytes
+    def __init__(self, path: str, max_file_bytes: int, overwrite: bool = False):
+        self.path, self.max_file_bytes, self.overwrite = path, max_file_bytes, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ds.WriterCommitMessage:
         store, root = file_system(self.path)
@@ -118,8 +124,11 @@ class Writer(ds.DataSourceArrowWriter):
         store, root = file_system(self.path)
         store.create_dir(root, recursive=True)
         names = sorted(n for m in messages if m for n in m.names)
-        with store.open_output_stream(f"{root}/{MANIFEST}") as out:
+        earlier = manifests(store, root) if self.overwrite else []
+        with store.open_output_stream(f"{root}/{MANIFEST}-{uuid.uuid4().hex}.json") as out:
             out.write(json.dumps(names).encode())
+        for path in earlier:
+            store.delete_file(path)
 
     def abort(self, messages: list[ds.WriterCommitMessage | None]) -> None:
         """Without a manifest nothing is read."""
@@ -183,9 +192,12 @@ class Reader(ds.DataSourceReader):
 
     def partitions(self) -> list[ds.InputPartition]:
         store, root = file_system(self.path)
-        if store.get_file_info(f"{root}/{MANIFEST}").type == fs.FileType.File:
-            with store.open_input_stream(f"{root}/{MANIFEST}") as f:
-                infos = store.get_file_info([f"{root}/{n}" for n in json.loads(f.read())])
+        if listed := manifests(store, root):
+            names: set[str] = set()
+            for path in listed:
+                with store.open_input_stream(path) as f:
+                    names.update(json.loads(f.read()))
+            infos = store.get_file_info([f"{root}/{n}" for n in sorted(names)])
         else:
             infos = [i for i in store.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.File and ".warc" in i.base_name]
         out, size = [], 0
@@ -293,7 +305,7 @@ class WarcSource(ds.DataSource):
                       int(get("partitionBytes", 128 << 20)))
 
     def writer(self, schema, overwrite: bool) -> Writer:
-        return Writer(self.options["path"], int(self.options.get("maxFileBytes", 1 << 30)))
+        return Writer(self.options["path"], int(self.options.get("maxFileBytes", 1 << 30)), overwrite)
 
 
 def register(spark: SparkSession) -> None:

@@ -76,3 +76,13 @@ def test_members_are_plain_gzip():
 def test_query(spark):
     assert queries.QUERIES["op1_warc"](spark, "/root/testdata/sf0.001").columns == [
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+
+
+def test_a_second_write_adds_and_overwrite_replaces(spark, pages, tmp_path):
+    path = f"file://{tmp_path}/w"
+    records = warc.as_records(pages)
+    warc.write_archives(records, path)
+    warc.write_archives(records.where("target_uri = 'v'"), path)
+    assert warc.read_archives(spark, path).count() == len(PAGES) + 2
+    records.where("target_uri = 'v'").write.format("warc").option("path", path).mode("overwrite").save()
+    assert warc.read_archives(spark, path).count() == 2
