@@ -388,21 +388,21 @@ def q_stream_latest_per_key(spark, sf_dir):
 def q_windowed_op_counts(spark, sf_dir):
     """Counts per hour over a topic in order of time, as a database log gives it, with a watermark of hours.
 
-    The events are written as four files sets, one stretch of time after the
-    other; each is a micro-batch of its own. Within a batch any order goes."""
+    The events are written as four sets of files, one stretch of time after the
+    other, and the stream is drained after each. Within a stretch any order goes."""
     root = scratch_dir(spark, "window")
     topic_dir = f"{root}/topics/user_activity"
     changes = stage_records(spark, logs.events_changes(spark, sf_dir), "window-source")
+    schema = infer_payload_schema(parse_envelope(changes))
     event_time = F.get_json_object("value", "$.ts_ms").cast("long")
     cuts = changes.agg(F.percentile_approx(event_time, [0.25, 0.5, 0.75], 1000)).first()[0] or []
     for low, high in zip([None, *cuts], [*cuts, None]):
         part = changes.where((event_time > low) if low is not None else F.lit(True)).where((event_time <= high) if high is not None else F.lit(True))
-        write_records(part.coalesce(1), topic_dir)
-    schema = infer_payload_schema(parse_envelope(read_records(spark, topic_dir)))
-    stream = spark.readStream.schema(KAFKA_SHAPE).option("maxFilesPerTrigger", 1).parquet(topic_dir)
-    rows = flatten_changes(parse_envelope(stream), USERS.with_(schema=schema))
-    view = continuous.windowed_op_counts_view(rows, window="1 hour", watermark="2 hours", group_by="event_type")
-    continuous.start_view(view, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        write_records(part, topic_dir)
+        stream = spark.readStream.schema(KAFKA_SHAPE).parquet(topic_dir)
+        rows = flatten_changes(parse_envelope(stream), USERS.with_(schema=schema))
+        view = continuous.windowed_op_counts_view(rows, window="1 hour", watermark="2 hours", group_by="event_type")
+        continuous.start_view(view, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return continuous.read_latest_rows(spark, f"{root}/out", ["window_start_ms", "event_type"])
 
 

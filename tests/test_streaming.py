@@ -187,3 +187,15 @@ def test_retried_batch_does_not_duplicate_dead_letters_or_rows(spark):
     assert first["dropped"] == 2 and again["skipped"]
     assert spark.read.parquet(f"{t.path}/dead_letters").count() == 2
     assert t.read().count() == 1 and t.commits().count() == 1
+
+
+def test_windowed_counts_write_and_read_many_files(spark, monkeypatch):
+    """Each stretch of time is written by as many tasks as its source has, and drained on its own."""
+    from keyfold.plans import catalog
+
+    parts, drains, write, start = [], [], catalog.write_records, catalog.continuous.start_view
+    monkeypatch.setattr(catalog, "stage_records", lambda s, records, label: records.repartition(5).localCheckpoint())
+    monkeypatch.setattr(catalog, "write_records", lambda df, path: (parts.append(df.rdd.getNumPartitions()), write(df, path)))
+    monkeypatch.setattr(catalog.continuous, "start_view", lambda *a, **k: (drains.append(1), start(*a, **k))[1])
+    assert catalog.q_windowed_op_counts(spark, "/root/testdata/sf0.001").count() > 0
+    assert parts == [5] * 4 and len(drains) == 4
