@@ -1,4 +1,4 @@
-from conftest import event, order
+from changes_data import event, order
 from keyfold.operators.dedupe import collapse_counts, deduplicate_batch, deduplicate_with_seen
 from keyfold.operators.flatten import flatten_changes
 from keyfold.sources.envelope import parse_envelope

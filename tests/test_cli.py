@@ -1,6 +1,6 @@
 import json
 
-from conftest import event
+from changes_data import event
 from keyfold.__main__ import main
 from keyfold.operators.flatten import flatten_changes
 from keyfold.session import scratch_dir

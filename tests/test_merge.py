@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import event, order
+from changes_data import event, order
 from keyfold.operators.dedupe import deduplicate_batch, deduplicate_with_seen
 from keyfold.operators.flatten import flatten_changes
 from keyfold.operators.merge import apply_changes, fold_changes, resolve_latest, stack_batches, visible

@@ -6,7 +6,7 @@ visible iff it ever had a non-delete change)."""
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import event, order
+from changes_data import event, order
 from keyfold.operators.dedupe import deduplicate_with_seen
 from keyfold.operators.flatten import flatten_changes
 from keyfold.operators.merge import fold_changes, resolve_latest, visible

@@ -1,5 +1,5 @@
 
-from conftest import event, order
+from changes_data import event, order
 from keyfold.session import scratch_dir
 from keyfold.sources.envelope import KAFKA_SHAPE, parse_envelope
 from keyfold.sources.files import write_records

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import event, order
+from changes_data import event, order
 from keyfold.operators import layout
 from keyfold.operators.flatten import flatten_changes
 from keyfold.session import scratch_dir
