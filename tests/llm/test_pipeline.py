@@ -73,7 +73,7 @@ def test_awkward_rows(spark, docs, no_docs):
 
 def test_rows_of_null_id_are_near_duplicates_too(spark, docs):
     """One row of each component stays, though ids are null or repeated."""
-    from conftest import prose
+    from llm_data import prose
 
     near = lambda i, tail: prose(i, 60) + tail
     rows = [(None, near(1, " a b")), (7, near(1, "")), (5, near(1, " c")), (None, near(1, "")),  # a document has an id
