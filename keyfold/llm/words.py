@@ -29,11 +29,11 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word in order, number of words of each text)."""
+def word_hashes(texts: list[bytes], between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word in order, number of words of each text); ``between``: which bytes part words."""
     data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-    space = _SPACE[data]
+    space = between[data]
     begins = ~space
     begins[1:] &= space[:-1]
     starts = np.flatnonzero(begins)
