@@ -51,9 +51,9 @@ def bytes_under(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(jpath).getLength())
 
 
-def list_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """(path, length) of every Parquet data file under `paths`, recursively, by one job."""
-    schema = "path string, length long"
+def list_files(spark: SparkSession, *paths: str, times: bool = False) -> DataFrame:
+    """(path, length) of every Parquet data file under `paths`, recursively, by one job; with `times` also `modified`."""
+    schema = "path string, length long" + ", modified timestamp" * times
     there = [p for p in paths if path_exists(spark, p)]
     if not there:
         return spark.createDataFrame([], schema)
@@ -62,7 +62,7 @@ def list_files(spark: SparkSession, *paths: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(there)
-        .select("path", "length")
+        .select("path", "length", *[F.col("modificationTime").alias("modified")] * times)
     )
 
 
@@ -188,20 +188,22 @@ def zordered(df: DataFrame, columns: Sequence[str], bounds, bits: int = 8) -> Da
 
 
 def clustered(df: DataFrame, n_files: int, *, zorder_by: Sequence[str] = (), partition_by: Sequence[str] = (),
-              key: Sequence[str] = (), stats: DataFrame | None = None) -> DataFrame:
+              key: Sequence[str] = (), bounds: Sequence[list] | None = None, bits: int = 0) -> DataFrame:
     """Lay out `df` for writing in `n_files` ranges of even size.
 
     The order is (partition columns, z-value, its columns, `key`) with z-order, else
     (partition columns, row hash): the key or the hash splits what a hot value of
-    the columns before would otherwise hold together. Quantiles for the z-value
-    come from `stats` (e.g. the raw scans behind a fold: column-pruned, no
-    shuffle). Range bounds are sampled once per exchange and held by the driver,
+    the columns before would otherwise hold together. The quantiles for the z-value
+    are `bounds` with `bits` (e.g. of the raw scans behind a fold: column-pruned, no
+    shuffle), or else taken from `df`. Range bounds are sampled once per exchange and held by the driver,
     so a retried task routes rows the same way.
     """
     pcols = [F.col(f"`{c}`") for c in partition_by]
     if zorder_by:
-        bits = zorder_bits(n_files, len(zorder_by))
-        keyed = zordered(df, zorder_by, zorder_bounds(stats if stats is not None else df, zorder_by, bits), bits)
+        if bounds is None:
+            bits = zorder_bits(n_files, len(zorder_by))
+            bounds = zorder_bounds(df, zorder_by, bits)
+        keyed = zordered(df, zorder_by, bounds, bits)
         # within a z-value by the columns themselves, which text needs (its number is a prefix)
         order = [*pcols, F.col("_z"), *[F.col(f"`{c}`") for c in dict.fromkeys([*zorder_by, *key])]]
     else:

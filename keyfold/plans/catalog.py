@@ -8,6 +8,8 @@ and the expected result of each is a closed-form SQL over the same tables.
 
 from __future__ import annotations
 
+import functools
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +18,12 @@ from pyspark.sql import functions as F
 from keyfold.functions.money import MONEY
 from keyfold.functions.predicates import live
 from keyfold.functions.schema import infer_payload_schema
+from keyfold.operators import layout
 from keyfold.operators.dedupe import collapse_counts, deduplicate_batch
 from keyfold.operators.flatten import flatten_changes
 from keyfold.operators.history import row_history
 from keyfold.operators.merge import apply_changes, stack_batches
-from keyfold.operators.reconcile import reconcile, table_checksum
+from keyfold.operators.reconcile import reconcile, reconcile_by_checksums, table_checksum
 from keyfold.plans import analytics as K
 from keyfold.plans.maintenance import maintain
 from keyfold.plans.pipeline import flattened_batches, fold_in_order, merge_in_order, resolve_log
@@ -30,7 +33,7 @@ from keyfold.sources import changelogs as logs
 from keyfold.sources.envelope import KAFKA_SHAPE, classify_records, dead_letters, parse_envelope
 from keyfold.sources.files import parsed_topic, read_records, stage_records, topic, write_records
 from keyfold.spec import TableSpec, get_spec
-from keyfold.streaming import continuous
+from keyfold.streaming import continuous, expiring, sessions
 from keyfold.streaming.sink import StreamConfig, process_batch, start_table_stream
 from keyfold.table import ChangeTable, register_views
 
@@ -309,6 +312,103 @@ def q_zorder_preserves_content(spark, sf_dir):
     return _orders_cols(t.read())
 
 
+def _twenty_commits(spark, sf_dir) -> list[DataFrame]:
+    """The whole orders log cut into twenty batches by LSN, whatever the order of its keys."""
+    rows = parse_envelope(_orders_log_union(spark, sf_dir))
+    return [rows.where(F.col("_lsn") % 20 == i) for i in range(20)]
+
+
+def _levelled_orders(spark, sf_dir) -> tuple[ChangeTable, list[dict]]:
+    """The log's batches as commits, compacted level by level as they come."""
+    table, runs = ChangeTable(spark, scratch_dir(spark, "levels"), ORDERS), []
+    for i, batch in enumerate(_twenty_commits(spark, sf_dir)):
+        changes = flatten_changes(batch, ORDERS)
+        # one log, one set of columns: a batch without priorities has them as NULL
+        table.append_changes(changes if "priority" in changes.columns else changes.withColumn("priority", F.lit(None).cast("string")))
+        runs += table.compact(fanout=4)
+    return table, runs
+
+
+def q_levelled_compaction_state(spark, sf_dir):
+    """Twenty commits, merged into runs as they come (C3): the state is that of the log."""
+    return _orders_cols(_levelled_orders(spark, sf_dir)[0].read())
+
+
+def q_levelled_compaction_runs(spark, sf_dir):
+    """Runs per level, the commits that they hold, and whether a level rewrote more than the log once."""
+    table, runs = _levelled_orders(spark, sf_dir)
+    log = layout.bytes_under(spark, table.log_path)
+    made = spark.createDataFrame(runs, "table string, commit long, level long, pieces long, lo long, hi long, bytes_read long, bytes_written long")
+    return made.groupBy("level").agg(F.count(F.lit(1)).alias("runs"), F.sum("pieces").alias("pieces"),
+                                     (F.sum("bytes_written") <= F.lit(1.1 * log)).alias("within_the_log"))
+
+
+def _skipping_orders(spark, sf_dir, label: str) -> ChangeTable:
+    """The first two batches compacted into many small files, the third on top as a log commit."""
+    table = ChangeTable(spark, scratch_dir(spark, label), ORDERS.with_(partition_by=()))
+    batches = [flatten_changes(rows, ORDERS) for rows in _orders_parsed(spark, sf_dir)]
+    for changes in batches[:2]:
+        table.append_changes(changes)
+    live = sum(layout.bytes_under(spark, d) for d in table._active_dirs())
+    table.optimize(target_file_mb=live / (1 << 20) / 64)
+    table.append_changes(batches[2])
+    return table
+
+
+POINT = {"order_id": (42, 42)}
+BOX = {"customer_id": (100, 140), "order_id": (1000, None)}
+
+
+def q_skipping_point(spark, sf_dir):
+    """One key, from the files whose zones and z-values can hold it (C4, L4)."""
+    return _orders_cols(_skipping_orders(spark, sf_dir, "zones").read_where(POINT))
+
+
+def q_skipping_box(spark, sf_dir):
+    """A range of customers and of orders: the box as ranges of z-values (C4, L4)."""
+    return _orders_cols(_skipping_orders(spark, sf_dir, "zones").read_where(BOX))
+
+
+def q_skipping_files(spark, sf_dir):
+    """Per read: files that hold a row of it but weren't chosen, and whether less than half of all files were (C4, M1)."""
+    table = _skipping_orders(spark, sf_dir, "zones")
+    snapshot = spark.read.parquet(f"{table.snapshot_path}/_commit=2").select("*", F.col("_metadata.file_path").alias("file"))
+    keys = snapshot.where("order_id in (1, 7, 42, 1000)").select("order_id").distinct()
+    n = snapshot.select("file").distinct().count()
+
+    def row(name: str, chosen: DataFrame, holding: DataFrame) -> DataFrame:
+        missed = holding.select("file").distinct().join(chosen, "file", "left_anti")
+        under_half = chosen.agg(F.count(F.lit(1)) * 2 < n).scalar()
+        return missed.agg(F.lit(name).alias("read"), F.count(F.lit(1)).alias("missed_files")).withColumn("under_half", under_half)
+
+    rows = [row("point", table.files_for(box=POINT), snapshot.where("order_id = 42")),
+            row("box", table.files_for(box=BOX), snapshot.where("customer_id between 100 and 140 and order_id >= 1000")),
+            row("keys", table.files_for(keys=keys), snapshot.join(keys, "order_id"))]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def q_rows_of_touched_keys(spark, sf_dir):
+    """Stored rows of the keys that the last commit touched, by the Bloom filters of the snapshot's files (M1, M3)."""
+    table = _skipping_orders(spark, sf_dir, "touched")
+    touched = spark.read.parquet(f"{table.log_path}/_commit=3").select("order_id")
+    return _orders_cols(table.rows_of(touched))
+
+
+def q_sweep_orphans(spark, sf_dir):
+    """Directories of writes that were never committed go, what versions read stays."""
+    table = _write_orders_table(spark, sf_dir, "sweep")
+    table.optimize()
+    planted = ["log/_commit=77", "snapshot/_commit=78", "run/_commit=79", "zones/_commit=80"]
+    for place in planted:
+        spark.read.parquet(f"{table.log_path}/_commit=0").write.parquet(f"{table.path}/{place}")
+    later = int(time.time() * 1000) + 3_600_000
+    swept = table.sweep(retain_hours=0, allow_short_retention=True, now_ms=later)
+    left = table.unreachable(older_than_ms=later).agg(F.count(F.lit(1)))
+    versions = functools.reduce(DataFrame.unionByName, [
+        table.read(v).agg(F.lit(v).cast("long").alias("version"), F.count(F.lit(1)).alias("rows")) for v in (1, 2, 3)])
+    return versions.withColumns({"left": left.scalar(), "planted_gone": F.lit(swept == sorted(planted))})
+
+
 def q_file_stats(spark, sf_dir):
     t = _write_orders_table(spark, sf_dir, "files")
     before = t.data_file_stats().withColumn("stage", F.lit("before"))
@@ -385,27 +485,86 @@ def q_stream_latest_per_key(spark, sf_dir):
     return out.select("user_id", "event_id", "event_type", "value", "_lsn", "_op")
 
 
-def q_windowed_op_counts(spark, sf_dir):
-    """Counts per hour over a topic in order of time, as a database log gives it, with a watermark of hours.
+def q_expiring_latest_per_key(spark, sf_dir):
+    """The latest row per user, from state in RocksDB that a silent user leaves after a week."""
+    root = scratch_dir(spark, "expiring")
+    changes, spec = _user_stream(spark, sf_dir, root)
+    with expiring.rocksdb_state(spark):
+        continuous.start_view(expiring.latest_per_key_expiring(changes, spec, ttl_ms=7 * 86_400_000), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return continuous.read_latest_rows(spark, f"{root}/out", spec.primary_key).select("user_id", "event_id", "event_type", "value", "_lsn", "_op")
+
 
-    The events are written as four sets of files, one stretch of time after the
-    other, and the stream is drained after each. Within a stretch any order goes."""
+def _drained_in_time(spark, changes: DataFrame, topic_dir: str, drain: Callable[[DataFrame], None]) -> None:
+    """The changes written as four sets of files, one stretch of time after the other, the stream drained after each.
+
+    Within a stretch any order goes."""
+    changes = changes.withColumn("_at", F.get_json_object("value", "$.ts_ms").cast("long"))
+    cuts = changes.agg(F.percentile_approx("_at", [0.25, 0.5, 0.75], 1000)).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = changes.where((F.col("_at") > low) if low is not None else F.lit(True)).where((F.col("_at") <= high) if high is not None else F.lit(True))
+        write_records(part, topic_dir)
+        drain(spark.readStream.schema(KAFKA_SHAPE).parquet(topic_dir))
+
+
+def q_windowed_op_counts(spark, sf_dir):
+    """Counts per hour over a topic in order of time, as a database log gives it, with a watermark of hours."""
     root = scratch_dir(spark, "window")
-    topic_dir = f"{root}/topics/user_activity"
     changes = stage_records(spark, logs.events_changes(spark, sf_dir), "window-source")
     schema = infer_payload_schema(parse_envelope(changes))
-    event_time = F.get_json_object("value", "$.ts_ms").cast("long")
-    cuts = changes.agg(F.percentile_approx(event_time, [0.25, 0.5, 0.75], 1000)).first()[0] or []
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        part = changes.where((event_time > low) if low is not None else F.lit(True)).where((event_time <= high) if high is not None else F.lit(True))
-        write_records(part, topic_dir)
-        stream = spark.readStream.schema(KAFKA_SHAPE).parquet(topic_dir)
+
+    def drain(stream: DataFrame) -> None:
         rows = flatten_changes(parse_envelope(stream), USERS.with_(schema=schema))
         view = continuous.windowed_op_counts_view(rows, window="1 hour", watermark="2 hours", group_by="event_type")
         continuous.start_view(view, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+
+    _drained_in_time(spark, changes, f"{root}/topics/user_activity", drain)
     return continuous.read_latest_rows(spark, f"{root}/out", ["window_start_ms", "event_type"])
 
 
+def q_user_sessions(spark, sf_dir):
+    """Sessions of each user, closed by a gap of twelve hours; a heartbeat closes the last ones."""
+    root = scratch_dir(spark, "sessions")
+    events = logs.events_changes(spark, sf_dir)
+    beat = logs.kafka_records(spark.range(1), F.struct(F.lit(-1).alias("user_id")), logs.envelope_value(
+        "c", F.lit(0), table="user_activity", after=F.lit('{"user_id":-1}'), ts_ms=F.lit(4_102_444_800_000)), "user_activity", F.lit(-1))
+    changes = stage_records(spark, events.unionByName(beat), "sessions-source")
+    schema = infer_payload_schema(parse_envelope(changes))
+
+    def drain(stream: DataFrame) -> None:
+        rows = flatten_changes(parse_envelope(stream), USERS.with_(schema=schema))
+        view = sessions.sessions_view(rows, ["user_id"], gap="12 hours", watermark="2 days")
+        with sessions.merged_early(spark):
+            continuous.start_view(view, f"{root}/out", f"{root}/checkpoint", mode="append").awaitTermination()
+
+    _drained_in_time(spark, changes, f"{root}/topics/user_activity", drain)
+    return spark.read.parquet(f"{root}/out").select("user_id", "session_start_ms", "session_end_ms", "events", "last_lsn")
+
+
+def q_lag_quantiles(spark, sf_dir):
+    """Median and 99th percentile of delivery lags, from the commits' sketches, against the log (K3, T9): whether their ranks are within the bound."""
+    table = ChangeTable(spark, scratch_dir(spark, "lags"), ORDERS)
+    for rows in _orders_parsed(spark, sf_dir):
+        late = F.timestamp_millis(F.col("_event_ts_ms") + (F.col("total_amount") * 10).cast("long"))
+        table.append_changes(flatten_changes(rows, ORDERS).withColumn("_ingested_at", late))
+    found = table.lag_quantiles((0.5, 0.99))
+    log = functools.reduce(DataFrame.unionByName, [flatten_changes(rows, ORDERS).select((F.col("total_amount") * 10).cast("long").alias("lag"))
+                                                   for rows in _orders_parsed(spark, sf_dir)]).where("lag is not null")
+    n = F.count(F.lit(1))
+    parts = [log.agg(F.lit(r.probability).alias("probability"), (
+        (F.count_if(F.col("lag") <= r.lag_ms) / n >= r.probability - 0.0035) & (F.count_if(F.col("lag") < r.lag_ms) / n <= r.probability + 0.0035)
+    ).alias("within_bound")) for r in found.collect()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def q_freshness_lag(spark, sf_dir):
+    """The longest time from a change at its source to its ingestion (Q13): here up to a second, by LSN."""
+    table = ChangeTable(spark, scratch_dir(spark, "lags"), ORDERS)
+    for rows in _orders_parsed(spark, sf_dir):
+        at = F.timestamp_millis(F.col("_source_ts_ms") + F.col("_lsn") % 977)
+        table.append_changes(flatten_changes(rows, ORDERS).withColumn("_ingested_at", at))
+    return K.freshness({"orders": table.read()}, with_lag=True).drop("last_write")
+
+
 # ---------------------------------------------------------------- analytics
 
 
@@ -485,14 +644,45 @@ def q_reconcile_clean(spark, sf_dir):
                      ORDERS.primary_key, ["customer_id", "status", "total_amount", "priority"])
 
 
-def q_reconcile_dirty(spark, sf_dir):
+def _dirty_source(spark, sf_dir) -> DataFrame:
+    """The orders before any change: not what the table holds."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    source = o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-                      F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total_amount"))
-    return reconcile(_orders_state(spark, sf_dir), source, ORDERS.primary_key,
+    return o.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                    F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total_amount"))
+
+
+def q_reconcile_dirty(spark, sf_dir):
+    return reconcile(_orders_state(spark, sf_dir), _dirty_source(spark, sf_dir), ORDERS.primary_key,
                      ["customer_id", "status", "total_amount"])
 
 
+def q_reconcile_tree_clean(spark, sf_dir):
+    """The table against its source by bucket checksums: nothing differs, no row is joined (K6)."""
+    return reconcile_by_checksums(_orders_state(spark, sf_dir), _expected_orders_source(spark, sf_dir), ["order_id"], ["customer_id", "status", "total_amount", "priority"])
+
+
+def q_reconcile_tree_dirty(spark, sf_dir):
+    """Against the base table: descends to the buckets that differ (K6, K7)."""
+    return reconcile_by_checksums(_orders_state(spark, sf_dir), _dirty_source(spark, sf_dir), ["order_id"], ["customer_id", "status", "total_amount"])
+
+
+def q_change_feed(spark, sf_dir):
+    """Net changes between two versions, with before-images of touched keys only."""
+    table = _write_orders_table(spark, sf_dir, "feed")
+    table.optimize()
+    return table.changes_between(0, 3).select("order_id", "_change", F.col("_before.status").alias("status_before"), F.col("_after.status").alias("status_after"),
+                                              F.col("_before.total_amount").alias("amount_before"), F.col("_after.total_amount").alias("amount_after"))
+
+
+def q_change_feed_roundtrip(spark, sf_dir):
+    """The feed from version 0 to 2, applied to the live rows of version 0, gives those of version 2."""
+    table = _write_orders_table(spark, sf_dir, "feed")
+    live_at = lambda v: live(table.read(v)).select("order_id", "customer_id", "status", "total_amount")
+    feed = table.changes_between(0, 2)
+    kept = live_at(0).join(feed.select("order_id"), "order_id", "left_anti")
+    return kept.unionByName(feed.where("_after is not null").select("_after.order_id", "_after.customer_id", "_after.status", "_after.total_amount"))
+
+
 def q_table_checksum(spark, sf_dir):
     return table_checksum(_orders_state(spark, sf_dir))
 
@@ -858,10 +1048,30 @@ ORACLE: dict[str, str] = {
         from orders""",
     "compaction_preserves_content": STATE,
     "zorder_preserves_content": STATE,
+    "levelled_compaction_state": STATE,
+    "levelled_compaction_runs": """
+        select cast(level as bigint) as level, cast(runs as bigint) as runs, cast(pieces as bigint) as pieces, true as within_the_log
+        from (values (1, 5, 20), (2, 1, 4)) r(level, runs, pieces)""",
+    "skipping_point": f"{STATE} where order_id = 42",
+    "skipping_box": f"{STATE} where customer_id between 100 and 140 and order_id >= 1000",
+    "skipping_files": "select read, cast(0 as bigint) as missed_files, true as under_half from (values ('point'), ('box'), ('keys')) r(read)",
+    "rows_of_touched_keys": f"{STATE} where order_id % 5 = 0",
+    "sweep_orphans": """
+        select cast(v as bigint) as version, (select count(*) from orders) as rows, cast(0 as bigint) as left, true as planted_gone
+        from (values (1), (2), (3)) r(v)""",
     "stream_drain_state": STATE,
     "stream_restart_state": STATE,
     "stream_fresh_checkpoint_state": STATE,
     "stream_latest_per_key": f"select user_id, event_id, event_type, value, _lsn, _op from ({USERS_LATEST}) u",
+    "expiring_latest_per_key": f"select user_id, event_id, event_type, value, _lsn, _op from ({USERS_LATEST}) u",
+    "user_sessions": """
+        with e as (select user_id, event_id, epoch_us(ts) // 1000 as t from events),
+        s as (select *, case when t - lag(t) over (partition by user_id order by t, event_id) <= 43200000 then 0 else 1 end as new from e),
+        n as (select *, sum(new) over (partition by user_id order by t, event_id rows unbounded preceding) as session from s)
+        select user_id, min(t) as session_start_ms, max(t) as session_end_ms, count(*) as events, max(event_id) as last_lsn
+        from n group by user_id, session""",
+    "freshness_lag": f"select 'orders' as table_name, max(_lsn) as max_lsn, max(_lsn % 977) / 1000 as max_lag_seconds from ({ORDERS_EXPECTED}) s",
+    "lag_quantiles": "select probability, true as within_bound from (values (cast(0.5 as double)), (cast(0.99 as double))) r(probability)",
     "windowed_op_counts": """
         select epoch_ms(date_trunc('hour', ts)) as window_start_ms, event_type, count(*) as events
         from events group by all""",
@@ -915,6 +1125,15 @@ ORACLE: dict[str, str] = {
                cast(0 as bigint) as mismatch_status, cast(0 as bigint) as mismatch_total_amount,
                cast(0 as bigint) as mismatch_priority
         from orders""",
+    "reconcile_tree_clean": """
+        select count(*) filter (where o_orderkey%7<>0) as source_rows,
+               count(*) filter (where o_orderkey%7<>0) as live_rows,
+               count(*) filter (where o_orderkey%7=0) as deleted_rows,
+               cast(0 as bigint) as missing_rows, cast(0 as bigint) as extra_rows,
+               cast(0 as bigint) as mismatched_rows, cast(0 as bigint) as mismatch_customer_id,
+               cast(0 as bigint) as mismatch_status, cast(0 as bigint) as mismatch_total_amount,
+               cast(0 as bigint) as mismatch_priority
+        from orders""",
     "reconcile_dirty": """
         select count(*) as source_rows,
                count(*) filter (where o_orderkey%7<>0) as live_rows,
@@ -926,6 +1145,26 @@ ORACLE: dict[str, str] = {
                count(*) filter (where o_orderkey%7<>0 and (o_orderkey%3=0 or o_orderkey%5=0)) as mismatch_status,
                count(*) filter (where o_orderkey%7<>0 and (o_orderkey%3=0 or o_orderkey%5=0)) as mismatch_total_amount
         from orders""",
+    "reconcile_tree_dirty": """
+        select count(*) as source_rows,
+               count(*) filter (where o_orderkey%7<>0) as live_rows,
+               count(*) filter (where o_orderkey%7=0) as deleted_rows,
+               count(*) filter (where o_orderkey%7=0) as missing_rows,
+               cast(0 as bigint) as extra_rows,
+               count(*) filter (where o_orderkey%7<>0 and (o_orderkey%3=0 or o_orderkey%5=0)) as mismatched_rows,
+               cast(0 as bigint) as mismatch_customer_id,
+               count(*) filter (where o_orderkey%7<>0 and (o_orderkey%3=0 or o_orderkey%5=0)) as mismatch_status,
+               count(*) filter (where o_orderkey%7<>0 and (o_orderkey%3=0 or o_orderkey%5=0)) as mismatch_total_amount
+        from orders""",
+    "change_feed": f"""
+        with v0 as (select o_orderkey as order_id, o_orderstatus as status, o_totalprice as total_amount from orders),
+        v3 as (select order_id, status, total_amount from ({ORDERS_EXPECTED}) s where not _deleted)
+        select v0.order_id, case when v3.order_id is null then 'delete' else 'update' end as _change, v0.status as status_before,
+               v3.status as status_after, v0.total_amount as amount_before, v3.total_amount as amount_after
+        from v0 left join v3 on v3.order_id = v0.order_id
+        where v3.order_id is null or v0.status <> v3.status or v0.total_amount <> v3.total_amount
+              or v0.order_id in (select order_id from ({ORDERS_EXPECTED}) s where priority is not null)""",
+    "change_feed_roundtrip": f"select order_id, customer_id, status, total_amount from ({ORDERS_EXPECTED}) s where not _deleted",
     "table_checksum": f"select count(*) as rows, cast(sum(_lsn) as bigint) as lsn_sum from ({ORDERS_EXPECTED}) s",
     "diff_to_changes_roundtrip": """
         select o_orderkey as order_id, o_custkey as customer_id,
