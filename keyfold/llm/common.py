@@ -64,7 +64,7 @@ def _at_exit() -> None:
         release()
 
 
-def batches_of_texts(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+def batches_of_texts(batch: pa.RecordBatch, column: str = "text", limit: int = 512 << 10) -> Iterator[tuple[int, int, list[bytes]]]:
     """(first row, end row, UTF-8 texts; null: empty) of a batch, in slices of about ``limit`` bytes.
 
     Only bounds memory: a text is never split, every row is in one slice.

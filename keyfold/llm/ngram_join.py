@@ -42,9 +42,9 @@ from keyfold.llm.components import stars
 from keyfold.llm.words import shingle_sets
 
 #: Text bytes whose n-grams make one fragment; about an eighth as many n-grams.
-FRAGMENT_BYTES = 24 << 20
+FRAGMENT_BYTES = 12 << 20
 #: N-grams that a task gathers before it sends them to the fragments.
-FLUSH = 1_200_000
+FLUSH = 300_000
 #: At most so many ids (8 bytes each) are broadcast.
 BROADCAST_IDS = 200_000
 #: Hubs that each n-gram names in a round.
