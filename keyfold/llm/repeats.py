@@ -43,11 +43,11 @@ from keyfold.llm.words import mix
 #: Bytes of an anchor.
 K = 20
 #: Bytes of context that a task gathers before it sends them to the shards.
-FLUSH = 8 << 20
+FLUSH = 4 << 20
 #: Text bytes whose anchors make one shard.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 6 << 20
 #: Spans that a shard holds before it merges them.
-MERGE_AT = 200_000
+MERGE_AT = 100_000
 _LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 
