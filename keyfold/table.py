@@ -638,8 +638,10 @@ class ChangeTable:
         right within 0.35 % (with 99 % confidence).
         """
         merged = self.commits().where("lag_sketch is not null").agg(F.kll_merge_agg_bigint(F.unbase64("lag_sketch"), LAG_SKETCH_K).alias("s"))
-        asked = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
-        return merged.where("s is not null").select("s", asked).select("probability", F.kll_sketch_get_quantile_bigint("s", "probability").alias("lag_ms"))
+        asked = F.array(*[F.lit(float(p)) for p in probabilities])
+        pairs = merged.where("s is not null").select(F.inline(F.arrays_zip(
+            asked.alias("probability"), F.kll_sketch_get_quantile_bigint("s", asked).alias("lag_ms"))))
+        return pairs.toDF("probability", "lag_ms")
 
     def history(self, limit: int = 20) -> DataFrame:
         return self.commits().orderBy(F.desc("_commit")).limit(limit)
