@@ -21,6 +21,7 @@ Columns beside those of the record are ignored.
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import json
 import struct
@@ -39,6 +40,8 @@ from keyfold.llm.common import scratch
 
 #: Names from the WARC and HTTP formats.
 MANIFEST = "_manifest"
+#: Lies in folders that this writer has begun: without a manifest, no write there has ended.
+BEGUN = "_begun"
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEADER_OF = {
@@ -101,6 +104,7 @@ class Writer(ds.DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ds.WriterCommitMessage:
         store, root = file_system(self.path)
         store.create_dir(root, recursive=True)
+        store.open_output_stream(f"{root}/{BEGUN}").close()
         attempt, names, out = uuid.uuid4().hex, [], None
         try:
             for batch in iterator:
@@ -131,7 +135,11 @@ class Writer(ds.DataSourceArrowWriter):
             store.delete_file(path)
 
     def abort(self, messages: list[ds.WriterCommitMessage | None]) -> None:
-        """Without a manifest nothing is read."""
+        """Deletes the files of tasks that had ended; what a failed task has left is in no manifest and is never read."""
+        store, root = file_system(self.path)
+        for name in [n for m in messages if m for n in m.names]:
+            with contextlib.suppress(FileNotFoundError):
+                store.delete_file(f"{root}/{name}")
 
 
 @dataclass
@@ -198,6 +206,8 @@ class Reader(ds.DataSourceReader):
                 with store.open_input_stream(path) as f:
                     names.update(json.loads(f.read()))
             infos = store.get_file_info([f"{root}/{n}" for n in sorted(names)])
+        elif store.get_file_info(f"{root}/{BEGUN}").type == fs.FileType.File:
+            infos = []  # a write that failed or hasn't ended: none of its files count
         else:
             infos = [i for i in store.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.File and ".warc" in i.base_name]
         out, size = [], 0

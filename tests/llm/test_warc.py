@@ -86,3 +86,18 @@ def test_a_second_write_adds_and_overwrite_replaces(spark, pages, tmp_path):
     assert warc.read_archives(spark, path).count() == len(PAGES) + 2
     records.where("target_uri = 'v'").write.format("warc").option("path", path).mode("overwrite").save()
     assert warc.read_archives(spark, path).count() == 2
+
+
+def test_a_write_that_failed_is_not_read(spark, pages, tmp_path):
+    """What tasks wrote before a job failed is deleted as far as they had ended, and never read."""
+    path = str(tmp_path / "failed")
+    batch = warc.as_records(pages).toArrow().to_batches()
+    done = warc.Writer(path, 1 << 20).write(iter(batch))
+    left = warc.Writer(path, 1 << 20).write(iter(batch))  # a task whose end the driver never heard of
+    assert warc.read_archives(spark, path).count() == 0
+    warc.Writer(path, 1 << 20).abort([done, None])
+    names = {p.name for p in (tmp_path / "failed").iterdir()}
+    assert not names & set(done.names) and names >= set(left.names)
+    assert warc.read_archives(spark, path).count() == 0
+    warc.write_archives(warc.as_records(pages), path)
+    assert warc.read_archives(spark, path).count() == len(PAGES)
