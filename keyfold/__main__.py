@@ -31,12 +31,14 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--tables", nargs="*", default=[t.name for t in TABLE_SPECS])
     s.add_argument("--once", action="store_true")
     s.add_argument("--trigger", default="10 seconds")
-    s.add_argument("--starting-offsets", default="earliest", help="Kafka: earliest, latest or a JSON of offsets; folders: earliest only")
+    s.add_argument("--starting-offsets", default="earliest", help="earliest or latest; Kafka: also a JSON of offsets")
     s.add_argument("--max-offsets-per-trigger", type=int, default=20_000)
     s.add_argument("--max-files-per-trigger", type=int, default=1000)
     s.add_argument("--max-bytes-per-trigger", help="for folders, instead of a number of files, such as 512m")
+    s.add_argument("--max-records-per-commit", type=int, help="for folders: a micro-batch is applied in slices of so many records")
     s.add_argument("--timeout", type=float)
     m = sub.add_parser("maintain")
+    m.add_argument("--levelled", action="store_true", help="merge small commits level by level; fold the whole table only when the log has grown")
     m.add_argument("--lake", required=True)
     m.add_argument("--retain-hours", type=float, default=168)
     m.add_argument("--target-mb", type=float, default=128)
@@ -92,7 +94,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         cfg = StreamConfig(lake_root=args.lake, checkpoint_root=args.checkpoints, source_root=args.source,
                            bootstrap_servers=args.bootstrap_servers, trigger_interval=args.trigger,
                            starting_offsets=args.starting_offsets, max_offsets_per_trigger=args.max_offsets_per_trigger,
-                           max_files_per_trigger=args.max_files_per_trigger, max_bytes_per_trigger=args.max_bytes_per_trigger)
+                           max_files_per_trigger=args.max_files_per_trigger, max_bytes_per_trigger=args.max_bytes_per_trigger,
+                           max_records_per_commit=args.max_records_per_commit)
         specs = [get_spec(t) for t in args.tables]
         _, failures = run_streams(spark, cfg, specs, once=args.once, timeout_seconds=args.timeout)
         out = {"streams": [r.asDict() for r in ingested(spark, cfg, specs).collect()], "failures": failures}
@@ -101,7 +104,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
         df = maintain(spark, args.lake, TABLE_SPECS, retain_hours=args.retain_hours,
                       target_file_mb=args.target_mb, skip_vacuum=args.skip_vacuum,
-                      allow_short_retention=args.allow_short_retention)
+                      allow_short_retention=args.allow_short_retention, levelled=args.levelled)
         out = [r.asDict() for r in df.collect()]
     elif args.command == "history":
         from keyfold.table import ChangeTable

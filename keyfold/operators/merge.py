@@ -19,6 +19,8 @@ lacks appear with NULL for older rows (E3).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,6 +164,36 @@ def latest_state(changes: DataFrame, spec: TableSpec, partial_columns=None) -> D
     )
 
 
+def fold_into(snapshot: DataFrame, log: DataFrame, spec: TableSpec, partial: Sequence[str] = ()) -> DataFrame:
+    """The log folded into a snapshot by one join on the key: what ``latest_state`` of both together gives.
+
+    Neither side is grouped with the other, so a snapshot that is bucketed by the
+    key stays where it is. A column that some log batches lack (``partial``) comes
+    from the newest change that had it, or from the snapshot's row.
+    """
+    pk = list(spec.primary_key)
+    log = with_fingerprint(log).withColumn(ORD, change_order())
+    others = [c for c in snapshot.columns if c not in pk and c != SEEN]
+    aggs = [F.max_by(F.struct(*[_q(c) for c in others]), F.col(ORD)).alias("_w"), F.max(ORD).alias("_o"), F.bool_or(SEEN).alias("_s")]
+    for i, c in enumerate(partial):
+        has = f"FILTER (WHERE array_contains({COLS}, '" + c.replace("'", "\\'") + "'))"
+        aggs += [F.expr(f"max_by(`{c}`, {ORD}) {has}").alias(f"_v{i}"), F.expr(f"max({ORD}) {has}").alias(f"_o{i}")]
+    newest = log.groupBy(*[_q(c) for c in pk]).agg(*aggs)
+    stored = snapshot.withColumn(ORD, change_order()).select(*[_q(c) for c in pk], F.struct(*[_q(c) for c in others], SEEN, ORD).alias("_t"))
+    t, old = F.col("_t"), F.col("_t").getField(ORD)
+    changed = t.isNull() | (F.col("_w").isNotNull() & (F.col("_o") > old))
+    out = []
+    for c in others:
+        if c in partial:
+            i = list(partial).index(c)
+            later = F.col(f"_o{i}").isNotNull() & (t.isNull() | (F.col(f"_o{i}") > old))
+            out.append(F.when(later, F.col(f"_v{i}")).otherwise(t.getField(c)).alias(c))
+        else:
+            out.append(F.when(changed, F.col("_w").getField(c)).otherwise(t.getField(c)).alias(c))
+    seen = F.coalesce(t.getField(SEEN), F.lit(False)) | F.coalesce("_s", F.lit(False))
+    return stored.join(newest, pk, "full_outer").select(*[_q(c) for c in pk], *out, seen.alias(SEEN))
+
+
 def visible(state: DataFrame, spec: TableSpec) -> DataFrame:
     """Hide tombstones (never-seen keys) and, for hard-delete tables, deleted rows."""
     out = state.filter(F.col(SEEN)) if SEEN in state.columns else state

@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import time
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -395,6 +396,17 @@ def q_skipping_files(spark, sf_dir):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def q_bucketed_fold_any_order(spark, sf_dir):
+    """Batches last to first into a table bucketed by its key: the snapshot is joined where it lies, twice."""
+    spec = ORDERS.with_(partition_by=(), zorder_by=(), buckets=16)
+    table = ChangeTable(spark, scratch_dir(spark, "buckets"), spec)
+    for rows in reversed(_orders_parsed(spark, sf_dir)):
+        table.append_changes(flatten_changes(rows, spec))
+        if table.version() in (0, 2):
+            table.optimize()
+    return _orders_cols(table.read())
+
+
 def q_rows_of_touched_keys(spark, sf_dir):
     """Stored rows of the keys that the last commit touched, by the Bloom filters of the snapshot's files (M1, M3)."""
     table = _skipping_orders(spark, sf_dir, "touched")
@@ -450,6 +462,32 @@ def q_stream_drain_state(spark, sf_dir):
     return _orders_cols(ChangeTable(spark, f"{cfg.lake_root}/orders", ORDERS).read())
 
 
+def q_stream_bounded_commits(spark, sf_dir):
+    """The drained log in commits of at most 5,000 records each (S2): its state."""
+    _, cfg, topic_dir = _stream_setup(spark, sf_dir, "bounded")
+    cfg = replace(cfg, max_records_per_commit=5_000)
+    for batch in _orders_batches(spark, sf_dir):
+        write_records(batch, topic_dir)
+    _drain(spark, cfg)
+    table = cfg.table(spark, ORDERS)
+    if table.commits().where("events + coalesce(dropped, 0) > 5000").take(1):
+        raise AssertionError("a commit holds more records than allowed")
+    return _orders_cols(table.read())
+
+
+def q_stream_from_latest(spark, sf_dir):
+    """A stream that starts at the end of its topic leaves the first two batches out and takes the third (S3)."""
+    _, cfg, topic_dir = _stream_setup(spark, sf_dir, "latest")
+    cfg = replace(cfg, starting_offsets="latest")
+    batches = _orders_batches(spark, sf_dir)
+    for batch in batches[:2]:
+        write_records(batch, topic_dir)
+    _drain(spark, cfg)
+    write_records(batches[2], topic_dir)
+    _drain(spark, cfg)
+    return cfg.table(spark, ORDERS).read().select("order_id", "customer_id", "status", "total_amount", "_op", "_lsn")
+
+
 def q_stream_restart_state(spark, sf_dir):
     root, cfg, topic_dir = _stream_setup(spark, sf_dir, "stream")
     for b in logs.orders_change_batches(spark, sf_dir):
@@ -1064,10 +1102,15 @@ ORACLE: dict[str, str] = {
     "skipping_box": f"{STATE} where customer_id between 100 and 140 and order_id >= 1000",
     "skipping_files": "select read, cast(0 as bigint) as missed_files, true as under_half from (values ('point'), ('box'), ('keys')) r(read)",
     "rows_of_touched_keys": f"{STATE} where order_id % 5 = 0",
+    "bucketed_fold_any_order": STATE,
     "sweep_orphans": """
         select cast(v as bigint) as version, (select count(*) from orders) as rows, cast(0 as bigint) as left, true as planted_gone
         from (values (1), (2), (3)) r(v)""",
     "stream_drain_state": STATE,
+    "stream_bounded_commits": STATE,
+    "stream_from_latest": """
+        select o_orderkey as order_id, o_custkey as customer_id, 'stale' as status, 0.5 as total_amount, 'u' as _op, 1000000000+o_orderkey as _lsn
+        from orders where o_orderkey%5=0""",
     "stream_restart_state": STATE,
     "stream_fresh_checkpoint_state": STATE,
     "stream_latest_per_key": f"select user_id, event_id, event_type, value, _lsn, _op from ({USERS_LATEST}) u",

@@ -26,20 +26,24 @@ from keyfold.spec import TableSpec
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Processing time always asks for one more batch, so a drain would never end: only data makes a batch.
+SETTINGS = {PROVIDER: ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
 @contextlib.contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
     """Queries started inside keep their state in RocksDB; a query takes its settings along when it starts."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 #: What a key's state holds: the change's position, whether the key ever had another change than a delete, and the row as JSON.

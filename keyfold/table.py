@@ -21,6 +21,7 @@ convention over DataFrameWriter, not a storage engine.
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 import time
 import uuid
@@ -35,7 +36,7 @@ from keyfold.functions.predicates import COLS, HASH, SEEN, change_order
 from keyfold.functions.schema import conform, evolve
 from keyfold.operators import compaction, layout, skipping
 from keyfold.operators.dedupe import deduplicate_with_seen
-from keyfold.operators.merge import latest_state, partial_columns, visible
+from keyfold.operators.merge import fold_into, latest_state, partial_columns, visible
 from keyfold.operators.skipping import Box
 from keyfold.spec import TableSpec
 
@@ -389,11 +390,30 @@ class ChangeTable:
     def _read_snapshot(self, snap: int, schema: T.StructType, files: list[str] | None = None) -> DataFrame:
         """Snapshot ``snap``, or only some of its files."""
         written = next(c.schema for c in self._meta() if c.kind == "optimize" and c.commit == snap) or schema
+        if self.spec.buckets and files is None:
+            rows = self._bucketed(f"{self.snapshot_path}/_commit={snap}", written)
+            later = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in rows.columns}
+            return conform(rows.withColumns(later), schema).select(*[f"`{f.name}`" for f in [*schema.fields, *self._meta_fields()]])
         paths = [f"{self.snapshot_path}/_commit={snap}"] if files is None else files
         if not paths:
             return self.spark.createDataFrame([], T.StructType([*schema.fields, *self._meta_fields()]))
         return self._read_typed([(path, written) for path in paths], schema, self._meta_fields())
 
+    def _bucketed(self, path: str, written: T.StructType) -> DataFrame:
+        """A bucketed snapshot, under a name of the session catalog: only that carries the bucketing to the planner."""
+        name = _catalog_name(path)
+        if not self.spark.catalog.tableExists(name):
+            schema = T.StructType([*written.fields, *self._meta_fields()])
+            ddl = self.spark._jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json()).toDDL()
+            keys = ", ".join(f"`{c}`" for c in self.spec.primary_key)
+            place = path.replace("'", "\\'")
+            self.spark.sql(f"create table {name} ({ddl}) using parquet clustered by ({keys}) into {self.spec.buckets} buckets location '{place}'")
+        return self.spark.table(name)
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Log rows where their buckets are."""
+        return rows.repartition(self.spec.buckets, *[F.col(f"`{c}`") for c in self.spec.primary_key]) if self.spec.buckets else rows
+
     def _read_typed(self, dirs: list[tuple[str, T.StructType]], schema: T.StructType, more: list) -> DataFrame:
         """Directories as one frame of the table's present types.
 
@@ -421,7 +441,9 @@ class ChangeTable:
             return sdf
         partial = self._partial(self._plan(as_of)[1], schema)
         if sdf is None:
-            return latest_state(log, self.spec, partial_columns=partial)
+            return latest_state(self._dealt(log), self.spec, partial_columns=partial)
+        if self.spec.buckets:
+            return fold_into(sdf, self._dealt(log), self.spec, partial)
         with_cols = self._with_all_columns(sdf, schema)
         rows, size = bound
         if rows > self.BROADCAST_KEYS_MAX_ROWS or size > self.BROADCAST_KEYS_MAX_BYTES:
@@ -639,7 +661,7 @@ class ChangeTable:
         """
         merged = self.commits().where("lag_sketch is not null").agg(F.kll_merge_agg_bigint(F.unbase64("lag_sketch"), LAG_SKETCH_K).alias("s"))
         asked = F.array(*[F.lit(float(p)) for p in probabilities])
-        pairs = merged.where("s is not null").select(F.inline(F.arrays_zip(
+        pairs = merged.where(F.kll_sketch_get_n_bigint("s") > 0).select(F.inline(F.arrays_zip(
             asked.alias("probability"), F.kll_sketch_get_quantile_bigint("s", asked).alias("lag_ms"))))
         return pairs.toDF("probability", "lag_ms")
 
@@ -675,7 +697,7 @@ class ChangeTable:
         if zorder and self.spec.zorder_by:
             bits = layout.zorder_bits(n_files, len(self.spec.zorder_by))
             bounds = layout.zorder_bounds(raw, self.spec.zorder_by, bits)  # quantiles from the scans, not from the fold
-        data = layout.clustered(
+        data = st if self.spec.buckets else layout.clustered(
             st, n_files,
             zorder_by=self.spec.zorder_by if zorder else (),
             partition_by=self.spec.partition_by,
@@ -688,7 +710,11 @@ class ChangeTable:
             # empty string or any other value reads back as it was.
             copies = {f"{_DIR}{c}": F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in self.spec.partition_by}
             writer = data.withColumns(copies).write.mode("overwrite").partitionBy(*copies)
-        writer.parquet(f"{self.snapshot_path}/_commit={n}")
+        path = f"{self.snapshot_path}/_commit={n}"
+        if self.spec.buckets:  # the fold has dealt the rows already: a task writes its buckets
+            writer.bucketBy(self.spec.buckets, *self.spec.primary_key).option("path", path).saveAsTable(_catalog_name(path))
+        else:
+            writer.parquet(path)
         elapsed = time.monotonic() - started
         self._index_snapshot(n, written, bounds, bits)
         self._write_commit({
@@ -806,6 +832,10 @@ class ChangeTable:
         return [d for d in found if layout.delete_path(self.spark, f"{self.path}/{d}")]
 
 
+def _catalog_name(path: str) -> str:
+    return f"keyfold_{hashlib.md5(path.encode()).hexdigest()}"
+
+
 def register_views(spark: SparkSession, root: str, specs) -> list[str]:
     """One temp view per existing table (`<name>`) plus `<name>_live` without
     soft-deleted rows (S9, P14). Missing tables are skipped."""

@@ -5,6 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from changes_data import event, order
+from keyfold.operators import layout
 from keyfold.operators.flatten import flatten_changes
 from keyfold.session import scratch_dir
 from keyfold.sources.envelope import KAFKA_SHAPE, parse_envelope
@@ -63,6 +64,8 @@ def at(minute, key=1, lsn=None):
 
 def closed(topic):
     base = 1_600_000_000_000 + 40
+    if not layout.list_files(topic.spark, f"{topic.root}/out").take(1):
+        return []
     return sorted((r.order_id, (r.session_start_ms - base) // MINUTE, (r.session_end_ms - base) // MINUTE, r.events)
                   for r in topic.spark.read.parquet(f"{topic.root}/out").collect())
 

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 
 from changes_data import event, order
 from keyfold.session import scratch_dir
@@ -6,7 +7,7 @@ from keyfold.sources.files import write_records
 from keyfold.operators.flatten import flatten_changes
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
-from keyfold.streaming.sink import ProgressRecorder, StreamConfig, ingested, process_batch, run_streams, start_table_stream
+from keyfold.streaming.sink import ProgressRecorder, StreamConfig, ingested, process_batch, run_streams, slices, start_table_stream
 from keyfold.table import ChangeTable
 
 ORDERS = get_spec("orders")
@@ -119,13 +120,51 @@ def test_pinned_schema_and_batch_without_rows(spark):
     assert t.read().count() == 1
 
 
-def test_folder_sources_start_at_the_beginning(spark):
+def test_unknown_start_is_refused(spark):
     root, cfg, _ = setup(spark)
-    cfg.starting_offsets = "latest"
+    cfg.starting_offsets = "middle"
     queries, failures = run_streams(spark, cfg, [ORDERS], once=True)
     assert not queries and "earliest" in failures["orders"]
 
 
+def test_start_at_the_end_of_a_folder(spark):
+    root, cfg, topic = setup(spark)
+    cfg.starting_offsets = "latest"
+    write_records(records(spark, [("1", event("c", 1, order(1)))]), topic)
+    drain(spark, cfg)
+    assert not ChangeTable(spark, f"{cfg.lake_root}/orders", ORDERS).exists()
+    write_records(records(spark, [("2", event("c", 2, order(2)))]), topic)
+    drain(spark, cfg)
+    write_records(records(spark, [("3", event("c", 3, order(3)))]), topic)
+    drain(spark, cfg)  # later starts go on where the checkpoint is
+    assert state(spark, cfg) == [(2, "new", False), (3, "new", False)]
+
+
+def test_latest_on_an_empty_topic_skips_nothing_later(spark):
+    root, cfg, topic = setup(spark)
+    cfg.starting_offsets = "latest"
+    drain(spark, cfg)
+    write_records(records(spark, [("1", event("c", 1, order(1)))]), topic)
+    drain(spark, cfg)
+    assert state(spark, cfg) == [(1, "new", False)]
+
+
+def test_slices_of_a_batch(spark):
+    root, cfg, topic = setup(spark)
+    cfg.max_records_per_commit = 4
+    for part in range(3):
+        write_records(records(spark, [(str(k), event("c", k + 1, order(k))) for k in range(part * 7, part * 7 + 7)]).coalesce(1), topic)
+    h = drain(spark, cfg)
+    table = ChangeTable(spark, f"{cfg.lake_root}/orders", ORDERS)
+    assert [c.events for c in table._meta()] == [4, 4, 4, 4, 4, 1] and h.events == 21
+    assert len(state(spark, cfg)) == 21
+    # a retried batch: the slices that were committed are the same ones again, and skipped
+    batch = spark.read.schema(KAFKA_SHAPE).parquet(topic).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    keys = [[sorted(r.key for r in s.collect()) for s in slices(batch.repartition(n), 4)] for n in (1, 5)]
+    assert keys[0] == keys[1] and [len(k) for k in keys[0]] == [4, 4, 4, 4, 4, 1]
+    assert len(slices(batch, None)) == len(slices(batch, 100)) == 1
+
+
 def test_continuous_latest_per_key_and_window_counts(spark):
     root = scratch_dir(spark, "cont")
     src = f"{root}/src"
