@@ -418,7 +418,7 @@ def q_sweep_orphans(spark, sf_dir):
     """Directories of writes that were never committed go, what versions read stays."""
     table = _write_orders_table(spark, sf_dir, "sweep")
     table.optimize()
-    planted = ["log/_commit=77", "snapshot/_commit=78", "run/_commit=79", "zones/_commit=80"]
+    planted = ["log/_commit=77", "snapshot/_commit=78", "run/_commit=79", "_zones/_commit=80"]
     for place in planted:
         spark.read.parquet(f"{table.log_path}/_commit=0").write.parquet(f"{table.path}/{place}")
     later = int(time.time() * 1000) + 3_600_000

@@ -3,7 +3,7 @@
     <path>/log/_commit=N/...        collapsed batch N (payload + metadata + _seen, _h, _cols)
     <path>/run/_commit=N/...        several log commits merged into one (levelled compaction)
     <path>/snapshot/_commit=N/...   folded state as of commit N (compacted, clustered, tombstones kept)
-    <path>/zones/..., keys/...      per file of a snapshot: zone map and z-bounds, Bloom filter of keys
+    <path>/_zones/..., _keys/...    per file of a snapshot: zone map and z-bounds, Bloom filter of keys
     <path>/commits/...              one row per commit: what it was and where it came from
 
 Writing a batch is O(batch): collapse it per key, append one `_commit=N`
@@ -149,8 +149,8 @@ class ChangeTable:
         self.log_path = f"{self.path}/log"
         self.run_path = f"{self.path}/run"
         self.snapshot_path = f"{self.path}/snapshot"
-        self.zones_path = f"{self.path}/zones"
-        self.keys_path = f"{self.path}/keys"
+        self.zones_path = f"{self.path}/_zones"  # hidden from listings of data files
+        self.keys_path = f"{self.path}/_keys"
         self.commits_path = f"{self.path}/commits"
         self._read_files: dict[tuple[str, int], list[dict]] = {}
         self._meta_key: tuple | None = None
@@ -810,7 +810,7 @@ class ChangeTable:
         commits reach; a write under way is younger than any retention.
         """
         files = layout.list_files(self.spark, self.log_path, self.run_path, self.snapshot_path, self.zones_path, self.keys_path, times=True)
-        place = files.select(F.regexp_extract("path", r"/((?:log|run|snapshot|zones|keys)/[^/]+)/", 1).alias("directory"), "length", "modified")
+        place = files.select(F.regexp_extract("path", r"/((?:log|run|snapshot|_zones|_keys)/[^/]+)/", 1).alias("directory"), "length", "modified")
         held = place.groupBy("directory").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("modified").alias("modified"))
         meta = self._meta()
         oldest = max((c.batch_id or 0 for c in meta if c.kind == "vacuum"), default=0)
@@ -819,7 +819,7 @@ class ChangeTable:
             self._dir(c) for c in meta if c.kind in ("merge", "run", "optimize")}
         names = {d.removeprefix(f"{self.path}/") for d in reached}
         names |= {f"{beside}{d.removeprefix('snapshot/_commit=')}" for d in names if d.startswith("snapshot/")
-                  for beside in ("zones/_commit=", "zones/bounds-", "keys/_commit=")}
+                  for beside in ("_zones/_commit=", "_zones/bounds-", "_keys/_commit=")}
         live = self.spark.createDataFrame([(d,) for d in sorted(names)], "directory string")
         return held.join(live, "directory", "left_anti").where(F.unix_millis("modified") < older_than_ms).select("directory", "files", "bytes")
 

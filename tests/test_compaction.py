@@ -140,13 +140,13 @@ def test_sweep_takes_orphans_only(spark, key_values):
         write(t, key_values, batch)
     t.optimize()
     want = content(t.read())
-    for place in ("log/_commit=50", "run/_commit=51", "snapshot/_commit=52", "keys/_commit=52"):
+    for place in ("log/_commit=50", "run/_commit=51", "snapshot/_commit=52", "_keys/_commit=52"):
         spark.read.parquet(f"{t.log_path}/_commit=0").write.parquet(f"{t.path}/{place}")
     with pytest.raises(ValueError):
         t.sweep(retain_hours=1)
     assert t.sweep() == []  # too young to be told from a write under way
     gone = t.sweep(retain_hours=0, allow_short_retention=True, now_ms=2**45)
-    assert gone == ["keys/_commit=52", "log/_commit=50", "run/_commit=51", "snapshot/_commit=52"]
+    assert gone == ["_keys/_commit=52", "log/_commit=50", "run/_commit=51", "snapshot/_commit=52"]
     assert content(t.read()) == want and t.read(as_of=0).count() and t.files_for(box={"order_id": (0, 5)}) is not None
     assert t.sweep(retain_hours=0, allow_short_retention=True, now_ms=2**45) == []
 
