@@ -22,9 +22,18 @@ MIN_LANGUAGE_SCORE = 0.3
 MIN_SCORED_CHARS = 20
 
 
+#: Rows that go to a Python worker at once: whole texts are long, and a worker holds a few batches.
+ROWS_PER_BATCH = 1000
+
+
+def _prepared(spark: SparkSession) -> None:
+    workers_find_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that are null, have no letter, or are in none of the labelled languages."""
-    workers_find_package(spark)
+    _prepared(spark)
     model = langid.train(docs, learn=F.lit(True))
     known = (F.col("lang_pred") != langid.UNKNOWN) & ((F.col("score") >= MIN_LANGUAGE_SCORE) | (F.length("text") < MIN_SCORED_CHARS))
     return langid.predict(docs, model).where(known).select(*docs.columns)
@@ -36,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Texts without words are near duplicates of nothing; they lose exact copies only.
     """
     release()
-    workers_find_package(spark)
+    _prepared(spark)
     groups = materialize(ngram_join.components(docs, same=True), "pipeline-groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
     first = groups.where("component is not null").groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.same")
@@ -49,7 +58,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts out passages of 50 bytes or more that a document of smaller id has too."""
     release()
-    workers_find_package(spark)
+    _prepared(spark)
     cut = repeats.without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
@@ -63,7 +72,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, placed in windows of several context sizes."""
     release()
-    workers_find_package(spark)
+    _prepared(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
