@@ -1109,7 +1109,7 @@ ORACLE: dict[str, str] = {
     "stream_drain_state": STATE,
     "stream_bounded_commits": STATE,
     "stream_from_latest": """
-        select o_orderkey as order_id, o_custkey as customer_id, 'stale' as status, 0.5 as total_amount, 'u' as _op, 1000000000+o_orderkey as _lsn
+        select o_orderkey as order_id, o_custkey as customer_id, 'stale' as status, cast(0.5 as double) as total_amount, 'u' as _op, 1000000000+o_orderkey as _lsn
         from orders where o_orderkey%5=0""",
     "stream_restart_state": STATE,
     "stream_fresh_checkpoint_state": STATE,
