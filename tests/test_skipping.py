@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,3 +115,27 @@ def test_a_table_without_a_snapshot_is_read_whole(spark, key_values):
     t = ChangeTable(spark, scratch_dir(spark, "raw"), ORDERS)
     t.append_changes(flatten_changes(parse_envelope(key_values([(str(k), event("c", k + 1, order(k))) for k in range(5)])), ORDERS))
     assert t.files_for(box={"order_id": (1, 1)}) is None and t.read_where({"order_id": (1, 2)}).count() == 2
+
+
+def test_filter_words_are_the_bits_of_the_keys(spark):
+    """Words without a bit lie before, between and after the others, and are zero."""
+    path = scratch_dir(spark, "few-keys")
+    spark.range(0, 3).coalesce(1).write.parquet(path)
+    n_bits = 64 * 200
+    keys = spark.read.parquet(path)
+    made = skipping.bloom_filters(keys, ["id"], n_bits).collect()
+    places = {p for r in keys.select(F.array(*skipping._bloom_places([F.col("id")], n_bits)).alias("p")).collect() for p in r.p}
+    want = [sum(1 << (p % 64) for p in places if p // 64 == w) for w in range(n_bits // 64)]
+    assert len(made) == 1 and [w % (1 << 64) for w in made[0].words] == want
+    assert 3 < sum(w > 0 for w in want) < 30
+
+
+def test_filter_of_a_large_file_is_built_in_proportion_to_it(spark):
+    """A filter of 100,000 words takes seconds: the work doesn't grow with their square."""
+    path = scratch_dir(spark, "many-keys")
+    spark.range(640_000).coalesce(1).write.parquet(path)
+    n_bits = skipping.bloom_bits(640_000, 1)
+    begun = time.monotonic()
+    words = skipping.bloom_filters(spark.read.parquet(path), ["id"], n_bits).first().words
+    assert time.monotonic() - begun < 25
+    assert len(words) == n_bits // 64 and 0.4 < sum(bin(w % (1 << 64)).count("1") for w in words) / n_bits < 0.6
