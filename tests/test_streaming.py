@@ -7,7 +7,7 @@ from keyfold.sources.files import write_records
 from keyfold.operators.flatten import flatten_changes
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
-from keyfold.streaming.sink import ProgressRecorder, StreamConfig, ingested, process_batch, run_streams, slices, start_table_stream
+from keyfold.streaming.sink import ProgressRecorder, StreamConfig, ingested, numbered, process_batch, process_slices, run_streams, slices, start_table_stream
 from keyfold.table import ChangeTable
 
 ORDERS = get_spec("orders")
@@ -165,6 +165,50 @@ def test_slices_of_a_batch(spark):
     assert len(slices(batch, None)) == len(slices(batch, 100)) == 1
 
 
+def sliced_batch(spark, root, pairs):
+    path = f"{root}/batch"
+    write_records(records(spark, pairs).coalesce(1), path)
+    return spark.read.schema(KAFKA_SHAPE).parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def test_slices_together_are_slices_one_after_the_other(spark):
+    """Commits, their columns and counts, dead letters and state: with junk first, a new column, a drifted type, bad keys and a slice of junk."""
+    pairs = [("0", "{bad"), ("0", None)] + [(str(k), event("c", k + 1, order(k))) for k in range(5)] + [("2", event("d", 90, order(2)))]
+    pairs += [(str(k), event("u", 100 + k, order(k, "moved") | {"priority": "high"})) for k in range(4)] + [("x", "{bad")] * 2
+    pairs += [(str(k), event("u", 200 + k, order(k) | {"total_amount": "n/a"})) for k in range(3)] + [("X", event("c", 300, order("X1")))]
+    pairs += [(str(k), event("u", 400, order(1, f"s{k}"))) for k in range(4)] + [("9", event("d", 500, order(9)))]
+    root = scratch_dir(spark, "together")
+    batch = sliced_batch(spark, root, pairs)
+    made = []
+    for way in ("one", "all"):
+        t = ChangeTable(spark, f"{root}/{way}/orders", ORDERS)
+        for _ in range(2):  # the second time all are there
+            if way == "all":
+                process_slices(spark, *numbered(batch, 2), t, query_id="q", batch_id=3)
+            else:
+                for i, part in enumerate(slices(batch, 2)):
+                    process_batch(spark, part, t, query_id=f"q#{i}" if i else "q", batch_id=3)
+        commits = [(c.commit, c.kind, c.query_id, c.batch_id, c.events, c.deduped, c.dropped, c.key_bytes, c.schema, c.batch_columns, bool(c.lag_sketch)) for c in t._meta()]
+        dead = sorted(map(str, spark.read.parquet(f"{t.path}/dead_letters").collect()))
+        made.append((commits, dead, sorted(map(str, t.read().drop("_ingested_at").collect()))))
+    assert len(made[0][0]) > 8 and any("bad_key" in d for d in made[0][1])
+    assert made[0] == made[1]
+
+
+def test_jobs_do_not_grow_with_the_slices(spark):
+    sc, jobs = spark.sparkContext, []
+    for n in (10, 60):
+        root = scratch_dir(spark, "jobs")
+        batch = sliced_batch(spark, root, [(str(k), event("c", k + 1, order(k))) for k in range(n)])
+        t = ChangeTable(spark, f"{root}/orders", ORDERS)
+        sc.setJobGroup(f"slices-{n}", "")
+        process_slices(spark, *numbered(batch, 2), t, query_id="q", batch_id=0)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"slices-{n}")))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        assert len(t._meta()) == n // 2 and t.read().count() == n
+    assert jobs[1] <= jobs[0] + 6
+
+
 def test_continuous_latest_per_key_and_window_counts(spark):
     root = scratch_dir(spark, "cont")
     src = f"{root}/src"
