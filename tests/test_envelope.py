@@ -2,7 +2,9 @@ from pyspark.sql import functions as F
 
 from changes_data import START, event, order
 from keyfold.functions.schema import infer_payload_schema, variant_type_to_struct
+from keyfold.operators.flatten import flatten_with_schema
 from keyfold.sources.envelope import dead_letters, parse_envelope
+from keyfold.spec import get_spec
 from pyspark.sql import types as T
 
 
@@ -121,3 +123,23 @@ def test_keys_that_dont_fit_their_type(key_values):
     assert bad(T.LongType()) == ["0", "1", "4", "5", "6"]
     assert bad(T.DoubleType()) == ["0", "5", "6"]
     assert bad(T.StringType()) == []
+
+
+def _parses(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+
+def test_each_record_is_parsed_once(key_values):
+    """The tests for an image and for a key don't repeat the parse below it, nor what makes the text."""
+    batch = key_values([("1", event("c", 1, order(1))), ("2", None), ("3", event("c", 3, order(None))), ("4", event("d", 4, order(4)))])
+    made = batch.withColumn("value", F.concat(F.col("value"), F.lit(" ")))
+    changes = parse_envelope(made)
+    assert _parses(changes) == 1
+    assert changes._jdf.queryExecution().optimizedPlan().toString().count("concat(") == 1
+    rows = changes.localCheckpoint()
+    kind = infer_payload_schema(rows)
+    flat = flatten_with_schema(rows, kind, get_spec("orders"))
+    assert _parses(flat) == 1
+    assert sorted(r.order_id for r in flat.collect()) == [1, 4]
+    absent = T.StructType([f for f in kind.fields if f.name != "order_id"])
+    assert flatten_with_schema(rows, absent, get_spec("orders")).collect() == []
