@@ -59,8 +59,9 @@ def fold_in_order(batches: Sequence[DataFrame], spec: TableSpec, order: Sequence
     return visible(state, spec)
 
 
-def resolve_log(batches: Sequence[DataFrame], spec: TableSpec) -> DataFrame:
-    """Whole-log resolve (M10) with per-batch column presence."""
+def resolve_log(batches: Sequence[DataFrame], spec: TableSpec, columns: Sequence[str] | None = None) -> DataFrame:
+    """Whole-log resolve (M10) with per-batch column presence (E6); of all columns, or only of those beside the key."""
     flat = flattened_batches(batches, spec)
     partial = partial_columns([f.columns for f in flat])
-    return visible(latest_state(stack_batches(flat), spec, partial_columns=partial), spec)
+    kept = None if columns is None else [*columns, "_deleted"]  # which rows are visible depends on it
+    return visible(latest_state(stack_batches(flat), spec, partial_columns=partial, columns=kept), spec)

@@ -8,6 +8,7 @@ from changes_data import event, order
 from keyfold.operators.dedupe import deduplicate_batch, deduplicate_with_seen
 from keyfold.operators.flatten import flatten_changes
 from keyfold.operators.merge import apply_changes, fold_changes, resolve_latest, stack_batches, visible
+from keyfold.plans.pipeline import resolve_log
 from keyfold.sources.envelope import parse_envelope
 from keyfold.spec import get_spec
 
@@ -195,3 +196,15 @@ def test_nested_object_gains_a_field(key_values, spark):
     st = merge_all(key_values, [[("1", event("c", 1, order(1, ship={"city": "A"})))],
                                 [("1", event("u", 2, order(1, ship={"city": "C", "zip": 9})))]])
     assert [(r["ship"]["city"], r["ship"]["zip"]) for r in st.collect()] == [("C", 9)]
+
+
+def test_latest_state_of_some_columns(key_values):
+    """The wanted columns of the same rows as in the whole state; others aren't in the aggregate's buffers."""
+    batches = [key_values([("1", event("c", 5, order(1, "a"))), ("1", event("u", 5, order(1, "b"))), ("2", event("c", 2, order(2)))]),
+               key_values([("2", event("d", 9, order(2, "gone"))), ("3", event("d", 4, order(3))), ("1", event("u", 1, order(1, priority="high")))])]
+    whole = resolve_log(batches, ORDERS)
+    some = resolve_log(batches, ORDERS, ["status", "priority"])
+    picked = ["order_id", "status", "priority", "_deleted"]
+    assert sorted(map(tuple, some.select(*picked).collect())) == sorted(map(tuple, whole.select(*picked).collect()))
+    aggregates = [line for line in some._jdf.queryExecution().optimizedPlan().toString().splitlines() if "max_by" in line]
+    assert aggregates and not any("customer_id" in line for line in aggregates)
