@@ -42,7 +42,7 @@ from keyfold.llm.components import stars
 from keyfold.llm.words import shingle_sets
 
 #: Text bytes whose n-grams make one fragment; about an eighth as many n-grams.
-FRAGMENT_BYTES = 12 << 20
+FRAGMENT_BYTES = 20 << 20
 #: N-grams that a task gathers before it sends them to the fragments.
 FLUSH = 300_000
 #: At most so many ids (8 bytes each) are broadcast.
@@ -117,30 +117,39 @@ def shared_ngrams(docs: DataFrame, features: Callable[[list[bytes]], list[tuple[
             a, b = edges[f], edges[f + 1]
             if a < b:
                 own, counts = np.unique(owner[a:b], return_counts=True)
-                rows.append((f, keys[own].tobytes(), counts.astype(np.int32).tobytes(), lengths[own].astype(np.int32).tobytes(),
-                             _low48(hashes[a:b])))
+                rows.append((f, keys[own].tobytes(), _narrow(counts), _narrow(lengths[own]), _low48(hashes[a:b])))
         return pa.RecordBatch.from_pylist([dict(zip(("f", "cls", "counts", "n", "h"), r)) for r in rows],
                                           schema=pa.schema([("f", pa.int32()), *[(c, pa.binary()) for c in ("cls", "counts", "n", "h")]]))
 
     def count(table: pa.Table) -> pa.Table:
-        joined = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
-        cls, counts, n_all, raw = joined("cls", "V16"), joined("counts", "i4"), joined("n", "i4"), joined("h", "u1").reshape(-1, 6)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :6] = raw
-        hashes = wide.view(np.uint64).ravel() | np.uint64(table.column("f")[0].as_py() % 65536) << np.uint64(48)
+        cls = np.frombuffer(b"".join(table.column("cls").to_pylist()), dtype="V16")
+        counts, n_all = (np.concatenate([_widened(x.as_py(), len(c.as_buffer()) // 16) for x, c in zip(table.column(name), table.column("cls"))])
+                         for name in ("counts", "n"))
         # several tasks may have sent the same class: count it once
         _, first = np.unique(cls, return_index=True)
         once = np.zeros(len(cls), dtype=bool)
         once[first] = True
-        keep = np.repeat(once, counts)
-        hashes, cls, counts, n_all = hashes[keep], cls[once], counts[once], n_all[once]
-        owner = np.repeat(np.arange(len(cls)), counts)
+        # a fragment is large: its hashes are widened in place and no copy outlives its use
+        wide, at, sender = np.zeros((int(counts[once].sum()), 8), np.uint8), 0, 0
+        for names, data in zip(table.column("cls"), table.column("h")):
+            upto = sender + len(names.as_buffer()) // 16
+            part = np.frombuffer(data.as_buffer(), np.uint8).reshape(-1, 6)
+            if not once[sender:upto].all():
+                part = part[np.repeat(once[sender:upto], counts[sender:upto])]
+            wide[at:at + len(part), :6] = part
+            at, sender = at + len(part), upto
+        hashes = wide.view(np.uint64).ravel()
+        hashes |= np.uint64(table.column("f")[0].as_py() % 65536) << np.uint64(48)
+        cls, counts, n_all = cls[once], counts[once], n_all[once]
+        owner = np.repeat(np.arange(len(cls), dtype=np.int32), counts)
         order = np.argsort(hashes, kind="stable")
         ordered = hashes[order]
         begins = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        runs = np.diff(np.append(begins, len(ordered)))
+        runs = np.diff(np.append(begins, len(ordered))).astype(np.int32)
+        del ordered
         df = np.empty(len(hashes), dtype=np.int32)
         df[order] = np.repeat(runs, runs)
+        del order
         shared = df > 1
         own, sizes = np.unique(owner[shared], return_counts=True)
         offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
@@ -162,6 +171,16 @@ def _low48(hashes: np.ndarray) -> bytes:
     return np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
+def _narrow(numbers: np.ndarray) -> bytes:
+    """Positive numbers in as many bytes each as the largest needs."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max()))).tobytes()
+
+
+def _widened(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``_narrow``."""
+    return np.frombuffer(data, dtype=f"u{len(data) // n}").astype(np.int32)
+
+
 def fragment_of(hashes: np.ndarray, fragments: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.int32)
 
@@ -177,6 +196,27 @@ def linkable(shared: DataFrame, threshold: float) -> DataFrame:
             .select(F.monotonically_increasing_id().alias("id"), "cls", "n", F.col("z.h").alias("h")))
 
 
+def needed(na: Column, nb: Column, threshold: float) -> Column:
+    """The least overlap of a link between classes of these sizes."""
+    hundredths = round(threshold * 100)
+    return F.ceil((na + nb) * hundredths / (100 + hundredths)).cast("int")
+
+
+def meetings(na: Column, nb: Column, threshold: float) -> Column:
+    """How many n-grams a pair that links has in common before the last ``needed - meetings`` of either class.
+
+    Of the common n-grams at most so many as lie behind that place in one class
+    are left out, so the others are ``meetings`` at least. That place lies within
+    the prefixes, which end where ceil(threshold * n) - 1 n-grams are left.
+    """
+    least = F.ceil(F.lit(threshold) * F.greatest(na, nb)).cast("int")
+    return F.least(_spare(F.least(na, nb)), needed(na, nb, threshold) - least + 1)
+
+
+def _spare(n: Column) -> Column:
+    return F.shiftright(n, 4) + 1
+
+
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """(a, b, overlap): counted in each segment of the order, then summed.
 
@@ -206,37 +246,47 @@ def component_labels(candidates: DataFrame, threshold: float, hub_rounds: int, m
     n-gram are left to check.
     """
     least = F.ceil(F.lit(threshold) * F.col("n")).cast("int")
-    prefix = materialize(candidates.select("id", "n", F.explode(F.slice("h", F.lit(1), F.size("h") - least + 1)).alias("p")), "join-prefix")
-    segment = F.shiftright(F.col("h1"), 40).bitwiseAND(F.lit(SEGMENTS - 1)).cast("int")
-    segments = materialize(candidates.select("id", F.explode("h").alias("h1")).groupBy("id", segment.alias("s"))
-                           .agg(F.collect_list("h1").alias("h")), "join-segments")
+    # rest: how many n-grams come after this one
+    prefix = candidates.select("id", "n", F.size("h").alias("size"), F.posexplode(F.slice("h", F.lit(1), F.size("h") - least + 1)).alias("at", "p"))
+    prefix = materialize(prefix.select("id", "n", "p", (F.col("size") - 1 - F.col("at")).alias("rest")), "join-prefix")
+    within = lambda s: F.filter("h", lambda h: F.shiftright(h, 40).bitwiseAND(F.lit(SEGMENTS - 1)) == s)
+    cut = F.array(*[F.struct(F.lit(s).alias("s"), within(s).alias("h")) for s in range(SEGMENTS)])
+    segments = materialize(candidates.select("id", F.inline(cut)).where(F.size("h") > 0), "join-segments")
     sizes = candidates.select("id", "n")
     rows = prefix.count()
-    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * round(threshold * 100)
+    na, nb = F.col("na"), F.col("nb")
+    meet = meetings(na, nb, threshold)
+    early = F.least("resta", "restb") >= needed(na, nb, threshold) - meet
+    # the smaller class of a pair meets the other early
+    first = F.col("rest") >= needed(F.col("n"), F.col("n"), threshold) - _spare(F.col("n"))
     labels = done = None
     for turn in range(hub_rounds + 1):
         held = prefix if labels is None else prefix.join(labels, "id", "left")
         held = held.withColumn("label", F.coalesce("label", "id") if labels is not None else F.col("id"))
-        # n-grams that still hold two components, their pairs across them, and their hubs: the same few for all of a family
-        hubs = [F.min_by(F.struct("id", "n", "label"), F.xxhash64("id", F.lit(turn * HUBS + i))).alias(f"hub{i}") for i in range(HUBS)]
-        parts = held.groupBy("p", "label").agg(F.count("*").alias("k"), *hubs)
-        chosen = F.array_distinct(F.array(*[F.min_by(f"hub{i}", F.xxhash64(f"hub{i}.id", F.lit(turn * HUBS + i))) for i in range(HUBS)]))
-        open_ = materialize(parts.groupBy("p").agg(
-            F.count("*").alias("parts"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("inside"), chosen.alias("hubs"))
-            .where("parts > 1"), "join-open")
-        left = open_.agg(F.sum((F.col("k") * F.col("k") - F.col("inside")) / 2)).first()[0] or 0
+        # n-grams that still hold two components, and their pairs across them
+        parts = held.select("p", first.cast("long").alias("early"), F.lit(1).alias("k"))
+        if labels is not None:
+            parts = held.groupBy("p", "label").agg(F.sum(first.cast("long")).alias("early"), F.count("*").alias("k"))
+        across = F.sum("early") * F.sum("k") - F.sum(F.col("early") * F.col("k"))
+        open_ = materialize(parts.groupBy("p").agg(across.alias("across")).where("across > 0"), "join-open")
+        left = open_.agg(F.sum("across")).first()[0] or 0
         if not left:
             break
         every = turn == hub_rounds or left <= most_pairs * rows
-        mine = held.select("p", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+        mine = held.select("p", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.col("rest").alias("restb"))
+        able = held.where(first).join(open_.select("p"), "p", "left_semi")
         if every:
-            other = held.join(open_.select("p"), "p", "left_semi").select("p", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-            met = other.join(mine, "p").where((F.col("la") < F.col("lb")) & fits)
-            pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            other = able.select("p", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("rest").alias("resta"))
+            met = other.join(mine, "p").where((F.col("la") != F.col("lb")) & ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & early)
+            common = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")).where(F.col("c") >= meet)
+            pairs = common.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         else:
-            other = open_.select("p", F.explode("hubs").alias("hub")).select(
-                "p", F.col("hub.id").alias("a"), F.col("hub.n").alias("na"), F.col("hub.label").alias("la"))
-            met = other.join(mine, "p").where((F.col("la") != F.col("lb")) & fits)
+            # the same few hubs for all of a family
+            hubs = [F.min_by(F.struct("id", "n", "label", "rest"), F.xxhash64("id", F.lit(turn * HUBS + i))) for i in range(HUBS)]
+            other = able.groupBy("p").agg(F.array_distinct(F.array(*hubs)).alias("hubs"))
+            other = other.select("p", F.explode("hubs").alias("hub")).select(
+                "p", F.col("hub.id").alias("a"), F.col("hub.n").alias("na"), F.col("hub.label").alias("la"), F.col("hub.rest").alias("resta"))
+            met = other.join(mine, "p").where((F.col("la") != F.col("lb")) & early)
             common = met.groupBy("a", "b").agg(F.count("*").alias("c"))
             best = Window.partitionBy("b").orderBy(F.col("c").desc(), "a")
             pairs = (common.withColumn("r", F.row_number().over(best)).where("r <= 2")

@@ -71,3 +71,19 @@ def test_families_with_differing_members(spark, rounds, monkeypatch):
     # go through hub rounds even though there are few pairs
     monkeypatch.setattr(ngram_join.component_labels, "__defaults__", (0,))
     assert got(df, hub_rounds=rounds) == brute(rows)
+
+
+def test_pairs_that_meet_too_rarely_are_not_checked(spark, monkeypatch):
+    """Texts that share a passage with many others, too little for a link, come to no exact check; those that link do."""
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(40)]
+    rows, checked = [], []
+    for i in range(40):
+        words = passage + [f"w{i}x{k}" for k in range(8)]
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, " ".join([*words, "end"]))]
+    rows += [(500 + i, " ".join(rng.sample(passage, 30))) for i in range(5)]
+    overlaps = ngram_join.overlaps
+    monkeypatch.setattr(ngram_join, "overlaps", lambda pairs, segments: checked.extend(pairs.collect()) or overlaps(pairs, segments))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(df, hub_rounds=0) == brute(rows)
+    assert len(checked) == 40
