@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.llm import langid, mixing, ngram_join, packing, repeats
-from keyfold.llm.common import materialize, release, table, workers_find_package
+from keyfold.llm.common import materialize, release, table, workers_find_package, workers_return_memory
 from keyfold.session import scratch_dir
 
 #: A text counts as one of the known languages if so much of it is made of that language's n-grams.
@@ -28,6 +28,7 @@ ROWS_PER_BATCH = 1000
 
 def _prepared(spark: SparkSession) -> None:
     workers_find_package(spark)
+    workers_return_memory(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
 
 

@@ -46,6 +46,8 @@ K = 20
 FLUSH = 4 << 20
 #: Text bytes whose anchors make one shard.
 SHARD_BYTES = 6 << 20
+#: Suffixes of a shard that are compared at once.
+SLICE = 1 << 15
 #: Spans that a shard holds before it merges them.
 MERGE_AT = 100_000
 _LAST = (1 << 63) - 1
@@ -108,9 +110,15 @@ def _prefix_lengths(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def _sorted(rows: np.ndarray, *first: np.ndarray) -> np.ndarray:
     """Order of byte rows, after the keys ``first``."""
-    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
-    wide[:, :rows.shape[1]] = rows
-    return np.lexsort((*wide.view(">u8").T[::-1], *first[::-1]))
+    # the last key first; eight bytes are widened at a time
+    order = np.arange(len(rows))
+    for at in range((rows.shape[1] - 1) // 8 * 8, -1, -8):
+        wide = np.zeros((len(rows), 8), np.uint8)
+        wide[:, :rows.shape[1] - at] = rows[:, at:at + 8]
+        order = order[np.argsort(wide.view(">u8").ravel().astype(np.uint64)[order], kind="stable")]
+    for key in first[::-1]:
+        order = order[np.argsort(key[order], kind="stable")]
+    return order
 
 
 def intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
@@ -132,7 +140,10 @@ class Shard:
         self.order = _sorted(right)
         self.min_bytes = min_bytes
         self.left, self.n_left = left[self.order], n_left[self.order]
-        self.lcp = _prefix_lengths(right[self.order], n_right[self.order])
+        self.lcp = np.zeros(len(right), np.int64)
+        for at in range(0, len(right), SLICE):  # each with the row before it
+            rows = self.order[max(0, at - 1):at + SLICE]
+            self.lcp[at:at + SLICE] = _prefix_lengths(right[rows], n_right[rows])[min(at, 1):]
         self.lcp[self.lcp < K] = 0  # another anchor
 
     def groups(self, batch: int = 60_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -290,7 +301,7 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
 
     def scan(table: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor()
-        raw = {c: table.column(c).to_pylist() for c in columns}
+        raw = {c: table.column(c).to_pylist() for c in columns if c != "around"}
         plain = lambda c: [unpack.decompress(x, max_output_size=1 << 31) for x in raw[c]]
         whole = lambda chunks, kind: np.frombuffer(b"".join(chunks), kind)
         cls, keys = whole(raw["cls"], "V16"), whole(raw["keys"], "i8")
@@ -300,9 +311,12 @@ def maximal_repeats(docs: DataFrame, *, min_bytes: int = 50, text: str = "text",
             before += len(names) // 16
         owner = np.concatenate(owners)
         places, totals = whole(plain("places"), "i8"), whole(plain("totals"), "i8")
-        around = whole(plain("around"), "u1").reshape(-1, side + min_bytes)
-        left = np.ascontiguousarray(around[:, :side][:, ::-1])
-        shard = Shard(around[:, side:], np.minimum(min_bytes, totals - places), left, np.minimum(side, places), min_bytes)
+        left, right, at = np.empty((len(places), side), np.uint8), np.empty((len(places), min_bytes), np.uint8), 0
+        for chunk in table.column("around"):
+            around = np.frombuffer(unpack.decompress(chunk.as_buffer(), max_output_size=1 << 31), np.uint8).reshape(-1, side + min_bytes)
+            left[at:at + len(around)], right[at:at + len(around)] = around[:, :side][:, ::-1], around[:, side:]
+            at += len(around)
+        shard = Shard(right, np.minimum(min_bytes, totals - places), left, np.minimum(side, places), min_bytes)
         merge = _unions if covered_only else _distinct
         found, held, most = [], 0, MERGE_AT
         for members, sizes, to_left, to_right in shard.groups():

@@ -2,13 +2,17 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from keyfold.llm import repeats
+from keyfold.llm.common import workers_return_memory
 
 LAST = (1 << 63) - 1
 
@@ -93,3 +97,36 @@ def test_equal_windows_have_equal_anchors(passage, before, after):
     for at in range(len(passage) - 49):
         mine = lambda found, at=at: {x for x in found if at <= x[0] <= at + 30}
         assert mine(alone) & mine(around)
+
+
+def test_a_shard_is_sorted_without_copies_of_itself():
+    """Sorting suffixes and comparing neighbours takes little besides the suffixes and what lies to their left."""
+    rng = np.random.default_rng(5)
+    n = 100_000
+    right, left = rng.integers(97, 123, (n, 50)).astype(np.uint8), rng.integers(97, 123, (n, 30)).astype(np.uint8)
+    tracemalloc.start()
+    shard = repeats.Shard(right, np.full(n, 50), left, np.full(n, 30), 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rows = [right[i].tobytes() for i in shard.order]
+    assert rows == sorted(rows)
+    assert peak < 150 * n
+
+
+def test_workers_give_freed_memory_back(spark, docs):
+    """A worker that has freed large arrays is as small as before."""
+
+    def held(parts):
+        resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096
+        for _ in parts:
+            before = resident()
+            np.ones(8 << 20, np.uint8)  # raises the size from which malloc maps, unless that is fixed
+            for _ in range(3):
+                arrays = [np.ones(2 << 20, np.uint8) for _ in range(40)]
+                last = np.ones(1 << 18, np.uint8)
+                del arrays
+            yield pa.RecordBatch.from_pydict({"kept": [resident() - before - len(last)]}, schema=pa.schema([("kept", pa.int64())]))
+
+    workers_return_memory(spark)
+    kept = docs.limit(1).mapInArrow(held, "kept long").agg(F.max("kept")).first()[0]
+    assert kept < 16 << 20
