@@ -7,6 +7,7 @@ from keyfold.sources.files import write_records
 from keyfold.operators.flatten import flatten_changes
 from keyfold.spec import TableSpec, get_spec
 from keyfold.streaming import continuous
+from keyfold.streaming import sink
 from keyfold.streaming.sink import ProgressRecorder, StreamConfig, ingested, numbered, process_batch, process_slices, run_streams, slices, start_table_stream
 from keyfold.table import ChangeTable
 
@@ -195,6 +196,50 @@ def test_slices_together_are_slices_one_after_the_other(spark):
     assert made[0] == made[1]
 
 
+def test_large_micro_batch_is_held_in_parts(spark, monkeypatch):
+    """What is parsed at once stays within PART_RECORDS, from the files of those slices; commits, dead letters and state are the same."""
+    root = scratch_dir(spark, "parts")
+    junk = [(str(k), "{bad") for k in range(13)]  # the first parts make no schema
+    made = junk + [(str(k), event("c", k + 1, order(k))) for k in range(20)] + [(str(k), event("u", 100 + k, order(k) | {"priority": "high"})) for k in range(9)]
+    for i in range(0, len(made), 7):
+        write_records(records(spark, made[i:i + 7]).coalesce(1), f"{root}/batch")
+    batch = spark.read.schema(KAFKA_SHAPE).parquet(f"{root}/batch").select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    parse, seen, found = sink.parse_with_reasons, [], []
+    monkeypatch.setattr(sink, "parse_with_reasons", lambda df, **k: (seen.append(df.count()), parse(df, **k))[1])
+    for at_once in (1000, 6):
+        monkeypatch.setattr(sink, "PART_RECORDS", at_once, raising=False)
+        seen.clear()
+        t = ChangeTable(spark, f"{root}/{at_once}/orders", ORDERS)
+        for _ in range(2):  # the second time all are there
+            process_slices(spark, *numbered(batch, 2), t, most=2, query_id="q", batch_id=3)
+        commits = [(c.commit, c.kind, c.query_id, c.events, c.deduped, c.dropped, c.schema, c.batch_columns) for c in t._meta()]
+        dead = sorted(map(str, spark.read.parquet(f"{t.path}/dead_letters").collect()))
+        found.append((commits, dead, sorted(map(str, t.read().drop("_ingested_at").collect()))))
+    assert 0 < max(seen) <= 6
+    assert found[0] == found[1] and len(found[0][2]) == 20 and len(found[0][1]) == 13
+
+
+def test_slices_of_a_stream_read_their_files(spark, monkeypatch):
+    """A part of a micro-batch scans its own files, also under a folder with signs that paths escape."""
+    root = scratch_dir(spark, "odd %20 b")
+    cfg = StreamConfig(lake_root=f"{scratch_dir(spark, 'odd-lake')}/lake", checkpoint_root=scratch_dir(spark, "odd-ck"), source_root=root, max_records_per_commit=2)
+    for part in range(4):
+        write_records(records(spark, [(str(k), event("c", k + 1, order(k))) for k in range(part * 3, part * 3 + 3)]).coalesce(1), f"{root}/cdc.shop.orders")
+    parse, scans = sink.parse_with_reasons, []
+
+    def kept(df, **k):
+        plan = df._jdf.queryExecution().executedPlan()
+        scans.append((df.count(), "FileScan parquet" in plan.toString() and "PartitionFilters" in plan.toString()))
+        return parse(df, **k)
+
+    monkeypatch.setattr(sink, "parse_with_reasons", kept)
+    monkeypatch.setattr(sink, "PART_RECORDS", 4)
+    start_table_stream(spark, cfg, ORDERS, once=True).awaitTermination()
+    assert max(n for n, _ in scans) <= 4 and all(scanned for _, scanned in scans)
+    assert [c.events for c in cfg.table(spark, ORDERS)._meta()] == [2] * 6 and cfg.table(spark, ORDERS).read().count() == 12
+
+
 def test_jobs_do_not_grow_with_the_slices(spark):
     sc, jobs = spark.sparkContext, []
     for n in (10, 60):
